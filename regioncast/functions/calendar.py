@@ -30,7 +30,7 @@ def parse_day(c: str | Column, lenient: bool = False) -> Column:
     NULL instead.
     """
     c = _col(c)
-    return F.try_to_date(c, F.lit(DAY_FORMAT)) if lenient else F.to_date(c, DAY_FORMAT)
+    return F.try_to_date(c, DAY_FORMAT) if lenient else F.to_date(c, DAY_FORMAT)
 
 
 def day_string(d: str | Column) -> Column:

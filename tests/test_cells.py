@@ -1,0 +1,72 @@
+"""Cell-table operators (FIXTURES.md section 4, "Cells")."""
+
+import pytest
+
+from regioncast.operators import cell_history, delete_cells, latest_cells, put_cells, scan_cells, to_cells
+from regioncast.operators.cells import CELL_SCHEMA, empty_cells
+
+
+def _cells(spark, rows):
+    return spark.createDataFrame(rows, CELL_SCHEMA)
+
+
+def _values(df):
+    return sorted((r.row_key, r.family, r.qualifier, r.ts, r.value) for r in df.collect())
+
+
+def test_versions_latest_history_delete(spark):
+    table = put_cells(empty_cells(spark), _cells(spark, [("r", "cf", "q", 1, "a")]))
+    table = put_cells(table, _cells(spark, [("r", "cf", "q", 2, "b")]))
+    assert [(r.ts, r.value) for r in latest_cells(table).collect()] == [(2, "b")]
+    assert [(r.ts, r.value) for r in cell_history(table).collect()] == [(1, "a"), (2, "b")]
+    target = spark.createDataFrame([("r", "cf", "q")], "row_key string, family string, qualifier string")
+    after = delete_cells(table, target, versions="latest")
+    assert [(r.ts, r.value) for r in latest_cells(after).collect()] == [(1, "a")]
+    assert delete_cells(table, target, versions="all").count() == 0
+
+
+def test_put_replaces_same_version(spark):
+    table = put_cells(empty_cells(spark), _cells(spark, [("r", "cf", "q", 1, "a"), ("r", "cf", "q", 1, "c")]))
+    assert _values(table) == [("r", "cf", "q", 1, "c")]
+    table = put_cells(table, _cells(spark, [("r", "cf", "q", 1, "b")]))
+    assert _values(table) == [("r", "cf", "q", 1, "b")]
+
+
+def test_put_rejects_bad_schema(spark):
+    bad = spark.createDataFrame([("r", "cf", "v")], "row_key string, family string, value string")
+    with pytest.raises(ValueError, match="missing cell column"):
+        put_cells(empty_cells(spark), bad)
+
+
+def test_row_and_family_deletes_remove_all_versions(spark):
+    table = _cells(spark, [("r", "f1", "q", 1, "a"), ("r", "f1", "q", 2, "b"), ("r", "f2", "q", 1, "c"),
+                           ("s", "f1", "q", 1, "d")])
+    fam = spark.createDataFrame([("r", "f1")], "row_key string, family string")
+    assert _values(delete_cells(table, fam)) == [("r", "f2", "q", 1, "c"), ("s", "f1", "q", 1, "d")]
+    row = spark.createDataFrame([("r",)], "row_key string")
+    assert _values(delete_cells(table, row)) == [("s", "f1", "q", 1, "d")]
+
+
+def test_scan_narrowed(spark):
+    table = _cells(spark, [("r", "f1", "q", 1, "a"), ("r", "f1", "q", 2, "b"), ("r", "f1", "p", 1, "x"),
+                           ("r", "f2", "q", 1, "c")])
+    assert _values(scan_cells(table, family="f1", qualifier="q")) == [("r", "f1", "q", 2, "b")]
+    assert len(_values(scan_cells(table, family="f1"))) == 2
+    assert len(_values(scan_cells(table))) == 3
+
+
+def test_to_cells_b13_key_kept_whole(spark):
+    df = spark.createDataFrame([("Gennaio", "Valle d'Aosta / Vallée d'Aoste", 12)],
+                               "mese string, regione string, numero_medio_vaccini bigint")
+    cells = to_cells(df, ["mese", "regione"], "cf1",
+                     {"media_vaccinati": "numero_medio_vaccini", "regione": "regione", "mese": "mese"}, ts=5)
+    got = {r.qualifier: (r.row_key, r.value, r.ts) for r in cells.collect()}
+    key = "Gennaio/Valle d'Aosta / Vallée d'Aoste"
+    assert got["regione"] == (key, "Valle d'Aosta / Vallée d'Aoste", 5)
+    assert got["media_vaccinati"] == (key, "12", 5)
+
+
+def test_double_text_like_java(spark):
+    df = spark.createDataFrame([("K-MEANS", 5, 7.134186056607093e-4)], "modello string, k int, c double")
+    cells = to_cells(df, ["modello", "k"], "cf3_performance", {"cost": "c"}, ts=1).first()
+    assert cells.row_key == "K-MEANS/5" and cells.value == "7.134186056607093E-4"
