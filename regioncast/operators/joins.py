@@ -1,0 +1,37 @@
+"""Joins of a large table with a side that is usually small.
+
+A broadcast avoids shuffling the large side, but is only safe when the
+small side's size is known.  ``join_small`` measures it: the small side is
+cached, its rows are counted (``limit(max_rows + 1)`` keeps the count
+cheap when it is not small), and it is broadcast only when within the
+bound; beyond it the join stays a shuffle join, with AQE splitting skewed
+partitions.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner",
+               max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``big.join(small, on, how)``, broadcasting ``small`` only within ``max_rows``.
+
+    Pick ``max_rows`` from the small side's row width so that
+    ``max_rows x width`` stays well under executor memory (e.g. 100k rows of
+    64 doubles is about 50 MB).
+    """
+    small = small.cache()
+    if is_small(small, max_rows):
+        return big.join(F.broadcast(small), on=on, how=how)
+    return big.join(small, on=on, how=how)

@@ -27,13 +27,21 @@ MODES = ("strict", "carryover")
 
 
 def qualify_months(df: DataFrame, keys: Sequence[str], day: str = "day", value: str = "n",
-                   mode: str = "strict", min_days: int = 2) -> DataFrame:
-    """Rows of ``df`` (a DATE column ``day``) that survive the month rule."""
+                   mode: str = "strict", min_days: int = 2, month: str | None = None) -> DataFrame:
+    """Rows of ``df`` (a DATE column ``day``) that survive the month rule.
+
+    ``month`` names a column of ``df`` already holding ``month_start(day)``;
+    passing it lets a later group-by on (keys, month) reuse the windows'
+    partitioning instead of shuffling again.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     keys = list(keys)
-    month = "_q_month"
-    rows = df.withColumn(month, month_start(day))
+    if month is None:
+        month = "_q_month"
+        rows = df.withColumn(month, month_start(day))
+    else:
+        rows = df
     per_month = Window.partitionBy(*keys, month)
     # Ordering by (month, day) rather than day alone gives both windows the
     # same sort order, so Spark sorts the partition once.

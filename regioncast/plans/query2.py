@@ -36,17 +36,17 @@ def daily_band_totals(doses: DataFrame, lo: str | None, hi: str | None) -> DataF
 def qualified_days(doses: DataFrame, lo: str | None = REFERENCE["first_february"],
                    hi: str | None = REFERENCE["first_june"], mode: str = "strict",
                    min_days: int = MIN_DAYS, zero_fill: bool = False) -> DataFrame:
-    """Per-day rows that enter the regression (after G1/G2 and optional G3)."""
-    daily = daily_band_totals(doses, lo, hi)
-    kept = qualify_months(daily, ["area", "band"], "day", "n", mode=mode, min_days=min_days)
+    """Per-day rows (day, area, band, n, month) that enter the regression (G1/G2, optional G3)."""
+    daily = daily_band_totals(doses, lo, hi).withColumn("month", month_start("day"))
+    kept = qualify_months(daily, ["area", "band"], "day", "n", mode=mode, min_days=min_days, month="month")
     if zero_fill:
-        kept = fill_missing_days(kept, ["area", "band"], "day", "n")
+        kept = fill_missing_days(kept, ["area", "band"], "day", "n", month="month")
     return kept
 
 
 def band_month_forecasts(kept: DataFrame, x_mode: str = "dayofyear") -> DataFrame:
     """(area, band, month, target, pred): forecast for the first day of the next month."""
-    rows = kept.withColumn("month", month_start("day"))
+    rows = kept if "month" in kept.columns else kept.withColumn("month", month_start("day"))
     preds = predict_linear(rows, ["area", "band", "month"],
                            x=day_x("day", x_mode), y=F.col("n"),
                            at=day_x(next_month_start("month"), x_mode))
