@@ -26,24 +26,30 @@ def day_window(df: DataFrame, col: str = "day", lo: str | None = None, hi: str |
     c = F.col(col)
     text = _is_string(df, col)
     d = parse_day(c) if text else c
-    cond: Column | None = None
-
-    def both(x: Column | None, y: Column) -> Column:
-        return y if x is None else x & y
-
+    raw: list[Column] = []      # comparisons on the stored column itself
+    parsed: list[Column] = []   # comparisons on the parsed date (text columns)
     if lo is not None:
         lo_d = F.to_date(F.lit(lo))
+        (raw if not text else parsed).append((d > lo_d) if lo_open else (d >= lo_d))
         if text:
-            cond = both(cond, (c > F.lit(lo)) if lo_open else (c >= F.lit(lo)))
-        cond = both(cond, (d > lo_d) if lo_open else (d >= lo_d))
+            raw.append((c > F.lit(lo)) if lo_open else (c >= F.lit(lo)))
     if hi is not None:
         hi_d = F.to_date(F.lit(hi))
+        (raw if not text else parsed).append((d < hi_d) if hi_open else (d <= hi_d))
         if text:
-            cond = both(cond, (c < F.lit(hi)) if hi_open else (c <= F.lit(hi)))
-        cond = both(cond, (d < hi_d) if hi_open else (d <= hi_d))
-    if cond is None:
-        cond = F.lit(True)
-    return (c.isNull() | cond) if keep_nulls else cond
+            raw.append((c < F.lit(hi)) if hi_open else (c <= F.lit(hi)))
+    if not raw:
+        return F.lit(True)
+    if keep_nulls:
+        # ``day IS NULL OR (raw bounds)`` stays a filter Parquet can evaluate
+        # on row-group statistics; the parsed checks must not join that OR
+        # (they cannot be pushed), so they let NULL through by themselves.
+        raw = [c.isNull() | p for p in raw]
+        parsed = [F.coalesce(p, F.lit(True)) for p in parsed]
+    cond = raw[0]
+    for p in raw[1:] + parsed:
+        cond = cond & p
+    return cond
 
 
 def between_days(df: DataFrame, col: str = "day", lo: str | None = None, hi: str | None = None,
