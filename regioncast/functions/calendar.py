@@ -23,14 +23,28 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_day(c: str | Column, lenient: bool = False) -> Column:
+def parse_day(c: str | Column, lenient: bool = False, mode: str | None = None) -> Column:
     """Parse a ``yyyy-MM-dd`` string to a date.
 
-    Strict parsing raises on malformed input (ANSI mode); ``lenient`` gives
-    NULL instead.
+    ``strict`` (default) raises on malformed input (ANSI mode); ``lenient``
+    (or ``lenient=True``) gives NULL instead; ``smart`` resolves a day past
+    the end of its month to the month's last day (``2021-02-30`` ->
+    ``2021-02-28``), as Java's default date resolver does, and gives NULL
+    for text that is not three numbers with a valid month.
     """
     c = _col(c)
-    return F.try_to_date(c, DAY_FORMAT) if lenient else F.to_date(c, DAY_FORMAT)
+    mode = mode or ("lenient" if lenient else "strict")
+    if mode == "strict":
+        return F.to_date(c, DAY_FORMAT)
+    if mode == "lenient":
+        return F.try_to_date(c, DAY_FORMAT)
+    if mode == "smart":
+        parts = F.split(c, "-")
+        y, m, d = (F.element_at(parts, i).try_cast("int") for i in (1, 2, 3))
+        first = F.when((F.size(parts) == 3) & m.between(1, 12) & d.between(1, 31),
+                       F.make_date(y, m, F.lit(1)))
+        return F.date_add(first, F.least(d, F.dayofmonth(F.last_day(first))) - 1)
+    raise ValueError(f"unknown parse mode {mode!r}")
 
 
 def day_string(d: str | Column) -> Column:

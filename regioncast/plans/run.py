@@ -50,8 +50,9 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
     clusters, report = cluster_areas(saved_shares, seed=seed)
     paths["q3_model"] = write_result(report, out, "query3_performance")
     # The reference appends the eight cluster tables to a staging folder and
-    # compacts them into one file; one union and one write do the same.
-    staging = write_result(clusters, out, "query3_cluster_staging", mode="append")
+    # compacts them into one file; one union and one write do the same, and
+    # overwriting (not appending) keeps a re-run from duplicating rows.
+    staging = write_result(clusters, out, "query3_cluster_staging")
     compact(spark, staging, f"{out}/query3_cluster", num_files=1)
     paths["q3_cluster"] = f"{out}/query3_cluster"
 

@@ -34,6 +34,15 @@ def test_strict_parse_fails_lenient_gives_null(spark):
     assert _one(spark, parse_day("day", lenient=True), "not a day") is None
 
 
+def test_smart_parse_clamps_day_like_java(spark):
+    smart = day_string(parse_day("day", mode="smart"))
+    assert _one(spark, smart, "2021-02-30") == "2021-02-28"
+    assert _one(spark, smart, "2020-02-30") == "2020-02-29"
+    assert _one(spark, smart, "2021-04-31") == "2021-04-30"
+    assert _one(spark, smart, "2021-05-17") == "2021-05-17"
+    assert _one(spark, smart, "2021-13-01") is None
+
+
 def test_b8_month_length_uses_data_year(spark):
     p = parse_day("day")
     assert _one(spark, days_in_month(p), "2020-02-10") == 29
