@@ -43,7 +43,7 @@ from regioncast.plans.query1 import avg_daily_doses_per_centre, centres_per_area
 from regioncast.plans.query2 import band_month_forecasts, daily_band_totals, qualified_days, top_areas_next_month
 from regioncast.plans.query3 import area_forecasts, cluster_areas, coverage_share
 from regioncast.session import shared_dir
-from regioncast.sinks.files import compact, write_csv, write_result
+from regioncast.sinks.files import compact, write_cells, write_csv, write_result
 from regioncast.sources import tables as T
 from regioncast.sources.files import by_position, ingest_csv
 
@@ -216,12 +216,20 @@ def _event_batches(spark, sf):
 
 
 def _event_table(spark, sf):
+    """The two put batches resolved into one stored cell table.
+
+    Like a key-value table, the result is written (to the shared folder) and
+    read back, so the operations below scan a stored table once or twice
+    instead of re-running the puts inside every branch of their plans.
+    """
     first, second = _event_batches(spark, sf)
-    return put_cells(first, second)
+    path = write_cells(put_cells(first, second), shared_dir(spark, "cells"), "events")
+    return spark.read.parquet(path)
 
 
 def q_cells_put(spark, sf):
-    return _event_table(spark, sf)
+    first, second = _event_batches(spark, sf)
+    return put_cells(first, second)
 
 
 def q_cells_latest(spark, sf):
