@@ -28,7 +28,14 @@ from regioncast.functions.calendar import (
 )
 from regioncast.functions.names import normalise_names
 from regioncast.operators.aggregate import sum_by
-from regioncast.operators.cells import cell_history, delete_cells, latest_cells, put_cells, scan_cells
+from regioncast.operators.cells import (
+    cell_history,
+    delete_cells,
+    empty_cells,
+    latest_cells,
+    put_cells,
+    scan_cells,
+)
 from regioncast.operators.clustering import cluster_cost
 from regioncast.operators.filters import between_days
 from regioncast.plans.exports import (
@@ -215,6 +222,12 @@ def _event_batches(spark, sf):
     return cells.where(F.col("ts") < split), cells.where(F.col("ts") >= split)
 
 
+def _put_both(spark, sf):
+    """An empty table, then the two event batches put one after the other."""
+    first, second = _event_batches(spark, sf)
+    return put_cells(put_cells(empty_cells(spark), first), second)
+
+
 def _event_table(spark, sf):
     """The two put batches resolved into one stored cell table.
 
@@ -222,14 +235,12 @@ def _event_table(spark, sf):
     read back, so the operations below scan a stored table once or twice
     instead of re-running the puts inside every branch of their plans.
     """
-    first, second = _event_batches(spark, sf)
-    path = write_cells(put_cells(first, second), shared_dir(spark, "cells"), "events")
+    path = write_cells(_put_both(spark, sf), shared_dir(spark, "cells"), "events")
     return spark.read.parquet(path)
 
 
 def q_cells_put(spark, sf):
-    first, second = _event_batches(spark, sf)
-    return put_cells(first, second)
+    return _put_both(spark, sf)
 
 
 def q_cells_latest(spark, sf):

@@ -10,7 +10,9 @@ distributed aggregates and joins.
 Skew: a single hot cell may hold a large share of all versions.  Latest
 values are max-aggregates (partial aggregation before the shuffle), the
 history is returned one row per version (never collected into one list),
-and deletes are joins that AQE can split when one key is skewed.
+and puts, key lookups and deletes join the table with the (usually small)
+batch or key list, broadcast after a row count; beyond the bound they are
+shuffle joins that AQE can split when one key is skewed.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from regioncast.operators.joins import join_small
+
 CELL_COLUMNS = ("row_key", "family", "qualifier", "ts", "value")
 CELL_SCHEMA = StructType([
     StructField("row_key", StringType(), False),
@@ -67,19 +71,34 @@ def to_cells(df: DataFrame, key_cols: Sequence[str], family: str,
                        F.lit(int(ts)).cast("bigint").alias("ts"), "value")
 
 
-def put_cells(cells: DataFrame, new: DataFrame) -> DataFrame:
+def resolve_versions(cells: DataFrame) -> DataFrame:
+    """One row per (row_key, family, qualifier, ts): duplicates of a version
+    resolve to the greatest value (a partial/final max aggregate)."""
+    cells = check_cells(cells)
+    return (cells.groupBy(*CELL_ID, "ts").agg(F.max("value").alias("value"))
+            .select(*CELL_COLUMNS))
+
+
+def put_cells(cells: DataFrame, new: DataFrame, max_batch_rows: int = 200_000) -> DataFrame:
     """Put new cells (C2): new versions are added; a put on an existing
     (row_key, family, qualifier, ts) replaces that version.
 
-    Within one batch, duplicates of a version resolve to the greatest value,
-    so the result is deterministic.
+    ``cells`` is a stored table (one row per version, as every put leaves
+    it).  Only the batch is shuffled: its duplicates resolve to the greatest
+    value, the old versions it replaces are dropped with an anti-join (the
+    batch's version keys are broadcast when their count is within
+    ``max_batch_rows``), and the resolved batch is appended.  The stored
+    table is never re-shuffled for a put.
     """
-    old = check_cells(cells, "cells").withColumn("_batch", F.lit(0))
-    add = check_cells(new, "new cells").withColumn("_batch", F.lit(1))
-    both = old.unionByName(add)
-    winner = F.max(F.struct("_batch", "value")).alias("_w")
-    return (both.groupBy(*CELL_ID, "ts").agg(winner)
-            .select(*CELL_ID, "ts", F.col("_w.value").alias("value")))
+    old = check_cells(cells, "cells")
+    batch = resolve_versions(check_cells(new, "new cells"))
+    replaced = batch.select(*CELL_ID, "ts")
+    kept = join_small(old, replaced, on=list(CELL_ID) + ["ts"], how="left_anti", max_rows=max_batch_rows)
+    return kept.unionByName(batch)
+
+
+# Largest key / target list broadcast to the cell table after a row count.
+MAX_KEY_ROWS = 200_000
 
 
 def _restrict(cells: DataFrame, keys: DataFrame | None) -> DataFrame:
@@ -88,7 +107,7 @@ def _restrict(cells: DataFrame, keys: DataFrame | None) -> DataFrame:
     on = [c for c in CELL_ID if c in keys.columns]
     if not on:
         raise ValueError("keys must have row_key and optionally family, qualifier")
-    return cells.join(keys.select(*on).distinct(), on=on, how="left_semi")
+    return join_small(cells, keys.select(*on).distinct(), on=on, how="left_semi", max_rows=MAX_KEY_ROWS)
 
 
 def latest_cells(cells: DataFrame, keys: DataFrame | None = None) -> DataFrame:
@@ -127,10 +146,10 @@ def delete_cells(cells: DataFrame, targets: DataFrame, versions: str = "latest")
         raise ValueError("targets need row_key, then optionally family, then qualifier")
     wanted = targets.select(*on).distinct()
     if versions == "all" or len(on) < 3:
-        return cells.join(wanted, on=on, how="left_anti")
-    newest = (cells.join(wanted, on=on, how="left_semi")
+        return join_small(cells, wanted, on=on, how="left_anti", max_rows=MAX_KEY_ROWS)
+    newest = (join_small(cells, wanted, on=on, how="left_semi", max_rows=MAX_KEY_ROWS)
               .groupBy(*CELL_ID).agg(F.max("ts").alias("ts")))
-    return cells.join(newest, on=list(CELL_ID) + ["ts"], how="left_anti")
+    return join_small(cells, newest, on=list(CELL_ID) + ["ts"], how="left_anti", max_rows=MAX_KEY_ROWS)
 
 
 def scan_cells(cells: DataFrame, family: str | None = None, qualifier: str | None = None) -> DataFrame:

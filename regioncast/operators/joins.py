@@ -2,7 +2,7 @@
 
 A broadcast avoids shuffling the large side, but is only safe when the
 small side's size is known.  ``join_small`` measures it: the small side is
-cached, its rows are counted (``limit(max_rows + 1)`` keeps the count
+persisted, its rows are counted (``limit(max_rows + 1)`` keeps the count
 cheap when it is not small), and it is broadcast only when within the
 bound; beyond it the join stays a shuffle join, with AQE splitting skewed
 partitions.
@@ -31,7 +31,8 @@ def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: s
     ``max_rows x width`` stays well under executor memory (e.g. 100k rows of
     64 doubles is about 50 MB).
     """
-    small = small.cache()
+    small = small.persist()
     if is_small(small, max_rows):
         return big.join(F.broadcast(small), on=on, how=how)
+    small.unpersist()
     return big.join(small, on=on, how=how)
