@@ -62,7 +62,7 @@ EVENT_SPLIT = "2024-01-16 00:00:00"
 # Column deleted for every user in ``cells_deleted`` and scanned in ``cells_scan``.
 EVENT_COLUMN = "purchase"
 
-DAILY_TOTALS_SCHEMA = "day STRING, total INT, area STRING"
+DAILY_TOTALS_SCHEMA = "day STRING, total BIGINT, area STRING"
 
 
 # ---- Query 1 and its parts -------------------------------------------------

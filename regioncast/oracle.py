@@ -41,7 +41,7 @@ def _mstart(expr: str) -> str:
 VIEWS = f"""
 daily_totals AS (
   SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day,
-         CAST(SUM(CAST(FLOOR(o_totalprice) AS BIGINT)) AS INTEGER) AS total,
+         CAST(SUM(CAST(FLOOR(o_totalprice) AS BIGINT)) AS BIGINT) AS total,
          n_name AS area
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   WHERE CAST(o_orderdate AS DATE) >= DATE '1996-12-27'
@@ -53,7 +53,7 @@ doses_by_band AS (
          CASE WHEN l_linenumber % 2 = 1 THEN CAST(l_quantity AS INTEGER) ELSE 0 END AS n, n_name AS area
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
 population AS (
-  SELECT n_name AS area, CAST(COUNT(*) * 1000000 AS INTEGER) AS people
+  SELECT n_name AS area, CAST(COUNT(*) * 1000000 AS BIGINT) AS people
   FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name)"""
 
 # Query 1 pieces.

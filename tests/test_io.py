@@ -36,19 +36,19 @@ def test_result_round_trip_append_and_compact(spark, tmp_out):
 def test_csv_round_trip(spark, tmp_out):
     daily = tables.daily_totals(spark, SF_SMALL)
     path = write_csv(daily, tmp_out, "daily")
-    back = ingest_csv(spark, path, "day STRING, total INT, area STRING", dst=f"{tmp_out}/parquet")
+    back = ingest_csv(spark, path, "day STRING, total BIGINT, area STRING", dst=f"{tmp_out}/parquet")
     assert sorted(back.collect()) == sorted(daily.collect())
 
 
 def test_stream_ingest_once(spark, tmp_out):
     daily = tables.daily_totals(spark, SF_SMALL)
     src = write_csv(daily, tmp_out, "incoming")
-    q = ingest_csv_stream(spark, src, "day STRING, total INT, area STRING", f"{tmp_out}/in_parquet",
+    q = ingest_csv_stream(spark, src, "day STRING, total BIGINT, area STRING", f"{tmp_out}/in_parquet",
                           f"{tmp_out}/ckpt")
     q.awaitTermination(120)
     assert sorted(spark.read.parquet(f"{tmp_out}/in_parquet").collect()) == sorted(daily.collect())
     # A second run over the same folder finds nothing new.
-    q = ingest_csv_stream(spark, src, "day STRING, total INT, area STRING", f"{tmp_out}/in_parquet",
+    q = ingest_csv_stream(spark, src, "day STRING, total BIGINT, area STRING", f"{tmp_out}/in_parquet",
                           f"{tmp_out}/ckpt")
     q.awaitTermination(120)
     assert spark.read.parquet(f"{tmp_out}/in_parquet").count() == daily.count()
