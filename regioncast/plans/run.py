@@ -72,3 +72,36 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
             cells = fn(spark.read.parquet(paths[key]), stamp)
             paths[f"cells_{key}"] = write_cells(cells, f"{out}/cells", TABLES[key])
     return paths
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m regioncast.plans.run INPUT_DIR OUTPUT_DIR [--debug] [--mode carryover] [--zero-fill]``
+
+    Reads the four input files by position, runs the three queries and
+    writes results and cell tables under OUTPUT_DIR.  ``--debug`` also
+    writes CSV copies and skips the cell export, as the reference's debug
+    flag does.
+    """
+    import argparse
+
+    from regioncast.session import get_session
+    from regioncast.sources.files import read_inputs
+
+    ap = argparse.ArgumentParser(prog="regioncast.plans.run")
+    ap.add_argument("input_dir")
+    ap.add_argument("output_dir")
+    ap.add_argument("--debug", action="store_true")
+    ap.add_argument("--mode", choices=("strict", "carryover"), default="strict")
+    ap.add_argument("--zero-fill", action="store_true")
+    ap.add_argument("--seed", type=int, default=1)
+    args = ap.parse_args(argv)
+    spark = get_session()
+    paths = run_all(spark, read_inputs(spark, args.input_dir), args.output_dir, mode=args.mode,
+                    zero_fill=args.zero_fill, seed=args.seed, export=not args.debug, debug_csv=args.debug)
+    for key, path in paths.items():
+        print(f"{key}\t{path}")
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

@@ -56,6 +56,26 @@ def read_population(spark: SparkSession, path: str) -> DataFrame:
     return by_position(raw, {0: "area", 1: "people"})
 
 
+# The reference's input file names, by role.
+REFERENCE_FILES = {
+    "daily_totals": "somministrazioni-vaccini-summary-latest.parquet",
+    "centres": "punti-somministrazione-tipologia.parquet",
+    "doses_by_band": "somministrazioni-vaccini-latest.parquet",
+    "population": "totale-popolazione.parquet",
+}
+
+
+def read_inputs(spark: SparkSession, folder: str, files: Mapping[str, str] = REFERENCE_FILES) -> dict[str, DataFrame]:
+    """The four inputs of a full run, read by position from ``folder``."""
+    folder = folder.rstrip("/")
+    return {
+        "daily_totals": read_daily_totals(spark, f"{folder}/{files['daily_totals']}"),
+        "centres": read_centres(spark, f"{folder}/{files['centres']}"),
+        "doses_by_band": read_doses_by_band(spark, f"{folder}/{files['doses_by_band']}"),
+        "population": read_population(spark, f"{folder}/{files['population']}"),
+    }
+
+
 def read_result(spark: SparkSession, name: str, folder: str) -> DataFrame:
     """Read a saved result folder ``folder/name`` (all part files)."""
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}")

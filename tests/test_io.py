@@ -7,7 +7,7 @@ import pytest
 from regioncast.plans.params import STAND_IN
 from regioncast.plans.run import run_all
 from regioncast.sinks import compact, write_csv, write_result
-from regioncast.sources import by_position, ingest_csv, read_result, tables
+from regioncast.sources import REFERENCE_FILES, by_position, ingest_csv, read_inputs, read_result, tables
 from regioncast.streaming import ingest_csv_stream
 from tests.conftest import SF_SMALL
 
@@ -68,3 +68,31 @@ def test_run_all_writes_results_and_cells(spark, tmp_out):
     cells = spark.read.parquet(paths["cells_q1"])
     assert cells.count() == 3 * q1.count()
     assert {r.ts for r in cells.select("ts").distinct().collect()} == {7}
+
+
+def test_full_run_from_positional_files(spark, tmp_out):
+    """Inputs laid out by position as the reference reads them, under its file names."""
+    from pyspark.sql import functions as F
+
+    src = f"{tmp_out}/input"
+    daily = tables.daily_totals(spark, SF_SMALL)
+    daily.select("day", F.lit("x").alias("filler"), F.col("total").cast("int").alias("total"), "area") \
+        .write.parquet(f"{src}/{REFERENCE_FILES['daily_totals']}")
+    tables.centres(spark, SF_SMALL).select(F.col("centre").cast("string"), "area") \
+        .write.parquet(f"{src}/{REFERENCE_FILES['centres']}")
+    tables.doses_by_band(spark, SF_SMALL).select("day", "brand", F.lit("f").alias("filler"), "band",
+                                                  F.lit(0).alias("men"), "n", "area") \
+        .write.parquet(f"{src}/{REFERENCE_FILES['doses_by_band']}")
+    tables.population(spark, SF_SMALL).select("area", F.col("people").cast("int")) \
+        .write.parquet(f"{src}/{REFERENCE_FILES['population']}")
+    inputs = read_inputs(spark, src)
+    assert inputs["doses_by_band"].columns == ["day", "band", "n", "area"]
+    paths = run_all(spark, inputs, f"{tmp_out}/out", bounds=STAND_IN, ts=3)
+    direct = run_all(spark, {
+        "daily_totals": tables.daily_totals(spark, SF_SMALL),
+        "centres": tables.centres(spark, SF_SMALL),
+        "doses_by_band": tables.doses_by_band(spark, SF_SMALL),
+        "population": tables.population(spark, SF_SMALL),
+    }, f"{tmp_out}/direct", bounds=STAND_IN, ts=3, export=False)
+    for key in ("q1", "q2", "q3_share"):
+        assert sorted(spark.read.parquet(paths[key]).collect()) == sorted(spark.read.parquet(direct[key]).collect())
