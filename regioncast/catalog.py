@@ -38,6 +38,7 @@ from regioncast.operators.cells import (
 )
 from regioncast.operators.clustering import cluster_cost
 from regioncast.operators.filters import between_days
+from regioncast.operators.forecast import predict_linear
 from regioncast.plans.exports import (
     export_q1_cells,
     export_q2_cells,
@@ -53,6 +54,7 @@ from regioncast.session import shared_dir
 from regioncast.sinks.files import compact, write_cells, write_csv, write_result
 from regioncast.sources import tables as T
 from regioncast.sources.files import by_position, ingest_csv
+from regioncast.streaming.ingest import ingest_csv_stream
 
 # Version stamp of exported cells in the registered queries (a fixed batch
 # number keeps the output comparable run to run).
@@ -157,6 +159,15 @@ def q_predict_area(spark, sf):
     return area_forecasts(T.daily_totals(spark, sf), B["first_june"])
 
 
+def q_predict_area_float(spark, sf):
+    """Float least squares (regr_slope / regr_intercept) per area, before the cut-off day."""
+    rows = between_days(T.daily_totals(spark, sf), "day", None, B["first_june"])
+    fit = predict_linear(rows, ["area"], x=day_x(parse_day("day")), y=F.col("total"),
+                         at=day_x(F.to_date(F.lit(B["first_june"]))), exact=False, keep_sums=True)
+    return fit.select("area", F.col("_n").alias("n_points"), F.round("_slope", 6).alias("slope"),
+                      F.round("_intercept", 6).alias("intercept"))
+
+
 def _top5(mode, zero_fill=False):
     def run(spark, sf):
         return top_areas_next_month(T.doses_by_band(spark, sf), B["first_february"], B["first_june"],
@@ -275,6 +286,15 @@ def q_csv_round_trip(spark, sf):
     return ingest_csv(spark, path, DAILY_TOTALS_SCHEMA)
 
 
+def q_stream_ingested(spark, sf):
+    """Daily totals written as CSV files, then taken in by the streaming ingest (one availableNow run)."""
+    folder = shared_dir(spark, "stream-ingest")
+    src = write_csv(T.daily_totals(spark, sf), folder, "incoming")
+    query = ingest_csv_stream(spark, src, DAILY_TOTALS_SCHEMA, f"{folder}/parquet", f"{folder}/checkpoint")
+    query.awaitTermination()
+    return spark.read.parquet(f"{folder}/parquet")
+
+
 def q_compacted(spark, sf):
     folder = shared_dir(spark, "compaction")
     daily = T.daily_totals(spark, sf)
@@ -322,4 +342,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "position_scan": q_position_scan,
     "csv_round_trip": q_csv_round_trip,
     "compacted": q_compacted,
+    "stream_ingested": q_stream_ingested,
+    "predict_area_float": q_predict_area_float,
 }

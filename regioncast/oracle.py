@@ -250,4 +250,10 @@ SELECT row_key, family, qualifier, ts, value FROM ev_latest WHERE family = 'ev'
     "position_scan": "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer",
     "csv_round_trip": _with(VIEWS) + "SELECT day, total, area FROM daily_totals",
     "compacted": _with(VIEWS) + "SELECT day, total, area FROM daily_totals",
+    "stream_ingested": _with(VIEWS) + "SELECT day, total, area FROM daily_totals",
+    "predict_area_float": _with(VIEWS, Q3_CTES) + """
+SELECT area, COUNT(*) AS n_points,
+       ROUND(regr_slope(CAST(y AS DOUBLE), CAST(x AS DOUBLE)), 6) AS slope,
+       ROUND(regr_intercept(CAST(y AS DOUBLE), CAST(x AS DOUBLE)), 6) AS intercept
+FROM q3_rows GROUP BY area""",
 }
