@@ -3,7 +3,8 @@
 Each statement rebuilds the stand-in views from the raw tables (views are
 CTEs) and then computes the same result as ``catalog.QUERIES[name]`` with
 the same column names and types.  Integer regression uses HUGEINT and
-``//`` (truncating, like Spark's ``div``).  The k-means sweeps have no SQL
+``//`` (truncating, like Spark's ``div``); an undefined float fit is NULL
+in Spark and NaN in DuckDB, so the SQL maps NaN to NULL.  The k-means sweeps have no SQL
 form (iterative, seeded) and are checked on row counts only.
 """
 
@@ -252,8 +253,11 @@ SELECT row_key, family, qualifier, ts, value FROM ev_latest WHERE family = 'ev'
     "compacted": _with(VIEWS) + "SELECT day, total, area FROM daily_totals",
     "stream_ingested": _with(VIEWS) + "SELECT day, total, area FROM daily_totals",
     "predict_area_float": _with(VIEWS, Q3_CTES) + """
-SELECT area, COUNT(*) AS n_points,
-       ROUND(regr_slope(CAST(y AS DOUBLE), CAST(x AS DOUBLE)), 6) AS slope,
-       ROUND(regr_intercept(CAST(y AS DOUBLE), CAST(x AS DOUBLE)), 6) AS intercept
-FROM q3_rows GROUP BY area""",
+SELECT area, n_points,
+       CASE WHEN isnan(slope) THEN NULL ELSE ROUND(slope, 6) END AS slope,
+       CASE WHEN isnan(intercept) THEN NULL ELSE ROUND(intercept, 6) END AS intercept
+FROM (SELECT area, COUNT(*) AS n_points,
+             regr_slope(CAST(y AS DOUBLE), CAST(x AS DOUBLE)) AS slope,
+             regr_intercept(CAST(y AS DOUBLE), CAST(x AS DOUBLE)) AS intercept
+      FROM q3_rows GROUP BY area)""",
 }
