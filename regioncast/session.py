@@ -45,6 +45,14 @@ def get_session(master: str | None = None, app: str = "regioncast",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
@@ -54,22 +62,25 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     temporary folder created and registered as the checkpoint folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="regioncast-")
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        if sc is not None:
+            sc.setCheckpointDir(base)
+    elif sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     name = "/".join(parts) if parts else "work"
     return f"{base.rstrip('/')}/regioncast/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable, keeping a configured folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir() is None:
         base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="regioncast-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        sc.setCheckpointDir(base)
 
 
 def is_local_path(path: str) -> bool:

@@ -6,7 +6,7 @@ import pytest
 
 from regioncast.plans.params import STAND_IN
 from regioncast.plans.run import run_all
-from regioncast.sinks import compact, write_csv, write_result
+from regioncast.sinks import compact, preview, write_cells, write_csv, write_result
 from regioncast.sources import REFERENCE_FILES, by_position, ingest_csv, read_inputs, read_result, tables
 from regioncast.streaming import ingest_csv_stream
 from tests.conftest import SF_SMALL
@@ -96,3 +96,23 @@ def test_full_run_from_positional_files(spark, tmp_out):
     }, f"{tmp_out}/direct", bounds=STAND_IN, ts=3, export=False)
     for key in ("q1", "q2", "q3_share"):
         assert sorted(spark.read.parquet(paths[key]).collect()) == sorted(spark.read.parquet(direct[key]).collect())
+
+
+def test_compact_by_rows_per_file_and_preview(spark, tmp_out, capsys):
+    df = spark.createDataFrame([(i,) for i in range(100)], "i int").repartition(7)
+    write_result(df, tmp_out, "many")
+    out = compact(spark, f"{tmp_out}/many", f"{tmp_out}/few", rows_per_file=40)
+    parts = [f for f in os.listdir(f"{tmp_out}/few") if f.endswith(".parquet")]
+    assert len(parts) == 3 and out.count() == 100
+    preview(out, 5)
+    assert "only showing top 5 rows" in capsys.readouterr().out
+
+
+def test_write_cells_overwrite_recreates(spark, tmp_out):
+    from regioncast.operators.cells import CELL_SCHEMA
+
+    first = spark.createDataFrame([("r", "cf", "q", 1, "a")], CELL_SCHEMA)
+    second = spark.createDataFrame([("s", "cf", "q", 2, "b")], CELL_SCHEMA)
+    path = write_cells(first, tmp_out, "Query1_table")
+    write_cells(second, tmp_out, "Query1_table")
+    assert [r.row_key for r in spark.read.parquet(path).collect()] == ["s"]
