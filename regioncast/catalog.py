@@ -31,9 +31,9 @@ from regioncast.operators.aggregate import sum_by
 from regioncast.operators.cells import (
     cell_history,
     delete_cells,
-    empty_cells,
     latest_cells,
     put_cells,
+    resolve_versions,
     scan_cells,
 )
 from regioncast.operators.clustering import cluster_cost
@@ -234,9 +234,9 @@ def _event_batches(spark, sf):
 
 
 def _put_both(spark, sf):
-    """An empty table, then the two event batches put one after the other."""
+    """The first event batch as a table (versions resolved), then the second put into it."""
     first, second = _event_batches(spark, sf)
-    return put_cells(put_cells(empty_cells(spark), first), second)
+    return put_cells(resolve_versions(first), second)
 
 
 def _event_table(spark, sf):

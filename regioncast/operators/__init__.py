@@ -6,6 +6,7 @@ from regioncast.operators.cells import (
     delete_cells,
     latest_cells,
     put_cells,
+    resolve_versions,
     scan_cells,
     to_cells,
 )
@@ -17,7 +18,7 @@ from regioncast.operators.ranking import order_result, top_n_per_group
 
 __all__ = [
     "count_by", "sum_by",
-    "cell_history", "delete_cells", "latest_cells", "put_cells", "scan_cells", "to_cells",
+    "cell_history", "delete_cells", "latest_cells", "put_cells", "resolve_versions", "scan_cells", "to_cells",
     "fill_missing_days", "between_days", "day_window", "require_non_null",
     "exact_forecast", "predict_linear", "regression_sums", "qualify_months",
     "order_result", "top_n_per_group",
