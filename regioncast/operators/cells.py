@@ -91,7 +91,8 @@ def put_cells(cells: DataFrame, new: DataFrame, max_batch_rows: int = 200_000) -
     table is never re-shuffled for a put.
     """
     old = check_cells(cells, "cells")
-    batch = resolve_versions(check_cells(new, "new cells"))
+    # Persisted once: the broadcast keys and the appended rows both read it.
+    batch = resolve_versions(check_cells(new, "new cells")).persist()
     replaced = batch.select(*CELL_ID, "ts")
     kept = join_small(old, replaced, on=list(CELL_ID) + ["ts"], how="left_anti", max_rows=max_batch_rows)
     return kept.unionByName(batch)
