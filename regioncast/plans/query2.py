@@ -7,8 +7,11 @@ least-squares sums per (area, band, month) -> forecast -> top n per
 (next month, band) -> label -> order.
 
 Shuffles: one for the per-day sum (with map-side partial sums), one to lay
-the per-day series out by (area, band) for the windows (the regression
-group-by reuses that partitioning), and one small one for the top n.
+the per-day series out by (area, band, month) in strict mode or (area, band)
+in carry-over mode for the windows (the gap fill and the regression group-by
+reuse that partitioning: ``month`` is computed once and passed along), and
+one small one for the top n, which each map task has already cut to n rows
+per group.
 """
 
 from __future__ import annotations
