@@ -30,36 +30,39 @@ from regioncast.sources.files import read_result
 def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
             bounds: dict[str, str] = REFERENCE, mode: str = "strict", zero_fill: bool = False,
             seed: int = 1, export: bool = True, debug_csv: bool = False,
-            ts: int | None = None) -> dict[str, str]:
-    """Run queries 1-3 on ``inputs`` (daily_totals, centres, doses_by_band,
-    population) and write everything under ``out``; return the paths."""
+            ts: int | None = None, queries: tuple[str, ...] = ("q1", "q2", "q3")) -> dict[str, str]:
+    """Run queries 1-3 (or the ones named in ``queries``) on ``inputs``
+    (daily_totals, centres, doses_by_band, population) and write everything
+    under ``out``; return the paths."""
     out = out.rstrip("/")
     paths: dict[str, str] = {}
-
-    q1 = avg_daily_doses_per_centre(inputs["daily_totals"], inputs["centres"],
-                                    bounds["last_december"], bounds["first_june"])
-    paths["q1"] = write_result(q1, out, "query1_results")
-
-    q2 = top_areas_next_month(inputs["doses_by_band"], bounds["first_february"], bounds["first_june"],
-                              mode=mode, zero_fill=zero_fill)
-    paths["q2"] = write_result(q2, out, "query2_results")
-
-    shares = coverage_share(inputs["daily_totals"], inputs["population"], bounds["first_june"])
-    paths["q3_share"] = write_result(shares, out, "query3_results")
-    saved_shares = read_result(spark, "query3_results", out)
-    clusters, report = cluster_areas(saved_shares, seed=seed)
-    paths["q3_model"] = write_result(report, out, "query3_performance")
-    # The reference appends the eight cluster tables to a staging folder and
-    # compacts them into one file; one union and one write do the same, and
-    # overwriting (not appending) keeps a re-run from duplicating rows.
-    staging = write_result(clusters, out, "query3_cluster_staging")
-    compact(spark, staging, f"{out}/query3_cluster", num_files=1)
-    paths["q3_cluster"] = f"{out}/query3_cluster"
+    names: dict[str, str] = {}
+
+    if "q1" in queries:
+        q1 = avg_daily_doses_per_centre(inputs["daily_totals"], inputs["centres"],
+                                        bounds["last_december"], bounds["first_june"])
+        paths["q1"] = write_result(q1, out, names.setdefault("q1", "query1_results"))
+
+    if "q2" in queries:
+        q2 = top_areas_next_month(inputs["doses_by_band"], bounds["first_february"], bounds["first_june"],
+                                  mode=mode, zero_fill=zero_fill)
+        paths["q2"] = write_result(q2, out, names.setdefault("q2", "query2_results"))
+
+    if "q3" in queries:
+        shares = coverage_share(inputs["daily_totals"], inputs["population"], bounds["first_june"])
+        paths["q3_share"] = write_result(shares, out, names.setdefault("q3_share", "query3_results"))
+        saved_shares = read_result(spark, "query3_results", out)
+        clusters, report = cluster_areas(saved_shares, seed=seed)
+        paths["q3_model"] = write_result(report, out, names.setdefault("q3_model", "query3_performance"))
+        # The reference appends the eight cluster tables to a staging folder and
+        # compacts them into one file; one union and one write do the same, and
+        # overwriting (not appending) keeps a re-run from duplicating rows.
+        staging = write_result(clusters, out, "query3_cluster_staging")
+        compact(spark, staging, f"{out}/query3_cluster", num_files=1)
+        paths["q3_cluster"] = f"{out}/{names.setdefault('q3_cluster', 'query3_cluster')}"
 
     if debug_csv:
-        for key, name in (("q1", "query1_results"), ("q2", "query2_results"),
-                          ("q3_share", "query3_results"), ("q3_model", "query3_performance"),
-                          ("q3_cluster", "query3_cluster")):
+        for key, name in names.items():
             write_csv(spark.read.parquet(paths[key]), f"{out}/csv", name)
 
     if export:
@@ -69,13 +72,14 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
             "q3_model": export_q3_model_cells, "q3_cluster": export_q3_cluster_cells,
         }
         for key, fn in exporters.items():
-            cells = fn(spark.read.parquet(paths[key]), stamp)
-            paths[f"cells_{key}"] = write_cells(cells, f"{out}/cells", TABLES[key])
+            if key in paths:
+                cells = fn(spark.read.parquet(paths[key]), stamp)
+                paths[f"cells_{key}"] = write_cells(cells, f"{out}/cells", TABLES[key])
     return paths
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m regioncast.plans.run INPUT_DIR OUTPUT_DIR [--debug] [--mode carryover] [--zero-fill]``
+    """``python -m regioncast.plans.run INPUT_DIR OUTPUT_DIR [--debug] [--mode carryover] [--zero-fill] [--only q1,q2]``
 
     Reads the four input files by position, runs the three queries and
     writes results and cell tables under OUTPUT_DIR.  ``--debug`` also
@@ -94,10 +98,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--mode", choices=("strict", "carryover"), default="strict")
     ap.add_argument("--zero-fill", action="store_true")
     ap.add_argument("--seed", type=int, default=1)
+    ap.add_argument("--only", default="q1,q2,q3", help="comma-separated subset of q1,q2,q3")
     args = ap.parse_args(argv)
     spark = get_session()
     paths = run_all(spark, read_inputs(spark, args.input_dir), args.output_dir, mode=args.mode,
-                    zero_fill=args.zero_fill, seed=args.seed, export=not args.debug, debug_csv=args.debug)
+                    zero_fill=args.zero_fill, seed=args.seed, export=not args.debug, debug_csv=args.debug,
+                    queries=tuple(q.strip() for q in args.only.split(",") if q.strip()))
     for key, path in paths.items():
         print(f"{key}\t{path}")
     spark.stop()

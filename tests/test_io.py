@@ -61,13 +61,17 @@ def test_run_all_writes_results_and_cells(spark, tmp_out):
         "doses_by_band": tables.doses_by_band(spark, SF_SMALL),
         "population": tables.population(spark, SF_SMALL),
     }
-    paths = run_all(spark, inputs, tmp_out, bounds=STAND_IN, ts=7)
+    paths = run_all(spark, inputs, tmp_out, bounds=STAND_IN, ts=7, debug_csv=True)
     q1 = spark.read.parquet(paths["q1"])
     assert q1.columns == ["mese", "regione", "numero_medio_vaccini"] and q1.count() > 0
     assert spark.read.parquet(paths["q3_cluster"]).count() == 8 * spark.read.parquet(paths["q3_share"]).count()
     cells = spark.read.parquet(paths["cells_q1"])
     assert cells.count() == 3 * q1.count()
     assert {r.ts for r in cells.select("ts").distinct().collect()} == {7}
+    csv_q1 = spark.read.option("header", True).csv(f"{tmp_out}/csv/query1_results")
+    assert csv_q1.count() == q1.count()
+    only = run_all(spark, inputs, f"{tmp_out}/only", bounds=STAND_IN, ts=7, queries=("q2",))
+    assert set(only) == {"q2", "cells_q2"}
 
 
 def test_full_run_from_positional_files(spark, tmp_out):
