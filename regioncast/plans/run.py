@@ -99,9 +99,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--zero-fill", action="store_true")
     ap.add_argument("--seed", type=int, default=1)
     ap.add_argument("--only", default="q1,q2,q3", help="comma-separated subset of q1,q2,q3")
+    for key, day in REFERENCE.items():
+        ap.add_argument("--" + key.replace("_", "-"), default=day, help=f"date bound (default {day})")
     args = ap.parse_args(argv)
+    bounds = {key: getattr(args, key) for key in REFERENCE}
     spark = get_session()
-    paths = run_all(spark, read_inputs(spark, args.input_dir), args.output_dir, mode=args.mode,
+    paths = run_all(spark, read_inputs(spark, args.input_dir), args.output_dir, bounds=bounds, mode=args.mode,
                     zero_fill=args.zero_fill, seed=args.seed, export=not args.debug, debug_csv=args.debug,
                     queries=tuple(q.strip() for q in args.only.split(",") if q.strip()))
     for key, path in paths.items():
