@@ -1,6 +1,6 @@
 """Clustering of areas (M1-M8) with ``pyspark.ml``.
 
-Models are fitted by Spark ML (distributed iterations over the cached input);
+Models are fitted by Spark ML (distributed iterations over the checkpointed input);
 the driver only sees k centres and one timing/cost row per fit.  Cluster
 numbers from k-means are arbitrary, so they are renumbered by ascending
 centre (B11) and a fixed seed makes runs repeatable.

@@ -2,10 +2,11 @@
 
 A broadcast avoids shuffling the large side, but is only safe when the
 small side's size is known.  ``join_small`` measures it: the small side is
-persisted, its rows are counted (``limit(max_rows + 1)`` keeps the count
-cheap when it is not small), and it is broadcast only when within the
-bound; beyond it the join stays a shuffle join, with AQE splitting skewed
-partitions.
+persisted and its rows are counted with ``limit(max_rows + 1)`` (a plain
+scan stops early; an aggregated side is computed once, and the join then
+reads the persisted copy).  It is broadcast only within the bound; beyond
+it the persisted copy is released and the join stays a shuffle join, with
+AQE splitting skewed partitions.
 """
 
 from __future__ import annotations
