@@ -18,7 +18,6 @@ from regioncast.functions.calendar import (
     day_x,
     days_in_month,
     doy_to_date,
-    epoch_millis,
     first_day_label,
     month_label,
     month_number,
@@ -228,9 +227,10 @@ def q_cells_q3_cluster(spark, sf):
 
 
 def _event_batches(spark, sf):
-    cells = T.event_cells(spark, sf)
-    split = epoch_millis(F.lit(EVENT_SPLIT))
-    return cells.where(F.col("ts") < split), cells.where(F.col("ts") >= split)
+    """Events before / from the split time, as two batches of cells (split on the raw timestamp)."""
+    split = F.lit(EVENT_SPLIT).cast("timestamp_ntz")
+    return (T.event_cells(spark, sf, where=F.col("ts") < split),
+            T.event_cells(spark, sf, where=F.col("ts") >= split))
 
 
 def _put_both(spark, sf):

@@ -94,9 +94,15 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg((F.count(F.lit(1)) * 1000000).alias("people")))
 
 
-def event_cells(spark: SparkSession, sf_dir: str, family: str = "ev") -> DataFrame:
-    """Events as versioned cells: key user, qualifier event type, version = event time (ms)."""
+def event_cells(spark: SparkSession, sf_dir: str, family: str = "ev", where=None) -> DataFrame:
+    """Events as versioned cells: key user, qualifier event type, version = event time (ms).
+
+    ``where`` is a condition on the raw events (e.g. on ``ts``), applied
+    before the conversion so that Parquet can use it.
+    """
     ev = table(spark, sf_dir, "events")
+    if where is not None:
+        ev = ev.where(where)
     return ev.select(
         F.col("user_id").cast("string").alias("row_key"),
         F.lit(family).alias("family"),
