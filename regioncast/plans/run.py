@@ -23,6 +23,7 @@ from regioncast.plans.params import REFERENCE
 from regioncast.plans.query1 import avg_daily_doses_per_centre
 from regioncast.plans.query2 import top_areas_next_month
 from regioncast.plans.query3 import cluster_areas, coverage_share
+from regioncast.schemas import RESULTS, conform
 from regioncast.sinks.files import compact, write_cells, write_csv, write_result
 from regioncast.sources.files import read_result
 
@@ -41,23 +42,25 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
     if "q1" in queries:
         q1 = avg_daily_doses_per_centre(inputs["daily_totals"], inputs["centres"],
                                         bounds["last_december"], bounds["first_june"])
-        paths["q1"] = write_result(q1, out, names.setdefault("q1", "query1_results"))
+        paths["q1"] = write_result(conform(q1, RESULTS["q1"]), out, names.setdefault("q1", "query1_results"))
 
     if "q2" in queries:
         q2 = top_areas_next_month(inputs["doses_by_band"], bounds["first_february"], bounds["first_june"],
                                   mode=mode, zero_fill=zero_fill)
-        paths["q2"] = write_result(q2, out, names.setdefault("q2", "query2_results"))
+        paths["q2"] = write_result(conform(q2, RESULTS["q2"]), out, names.setdefault("q2", "query2_results"))
 
     if "q3" in queries:
         shares = coverage_share(inputs["daily_totals"], inputs["population"], bounds["first_june"])
-        paths["q3_share"] = write_result(shares, out, names.setdefault("q3_share", "query3_results"))
+        paths["q3_share"] = write_result(conform(shares, RESULTS["q3_share"]), out,
+                                         names.setdefault("q3_share", "query3_results"))
         saved_shares = read_result(spark, "query3_results", out)
         clusters, report = cluster_areas(saved_shares, seed=seed)
-        paths["q3_model"] = write_result(report, out, names.setdefault("q3_model", "query3_performance"))
+        paths["q3_model"] = write_result(conform(report, RESULTS["q3_model"]), out,
+                                         names.setdefault("q3_model", "query3_performance"))
         # The reference appends the eight cluster tables to a staging folder and
         # compacts them into one file; one union and one write do the same, and
         # overwriting (not appending) keeps a re-run from duplicating rows.
-        staging = write_result(clusters, out, "query3_cluster_staging")
+        staging = write_result(conform(clusters, RESULTS["q3_cluster"]), out, "query3_cluster_staging")
         compact(spark, staging, f"{out}/query3_cluster", num_files=1)
         paths["q3_cluster"] = f"{out}/{names.setdefault('q3_cluster', 'query3_cluster')}"
 

@@ -4,6 +4,7 @@ from regioncast.plans.params import STAND_IN as B
 from regioncast.plans.query1 import avg_daily_doses_per_centre
 from regioncast.plans.query2 import top_areas_next_month
 from regioncast.plans.query3 import cluster_areas, coverage_share
+from regioncast.schemas import RESULTS, conform
 from regioncast.sources import tables as T
 from tests.conftest import SF_SMALL
 
@@ -12,6 +13,10 @@ def _types(df):
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
 
+def _declared(schema):
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+
 def test_result_schemas(spark):
     q1 = avg_daily_doses_per_centre(T.daily_totals(spark, SF_SMALL), T.centres(spark, SF_SMALL),
                                     B["last_december"], B["first_june"])
@@ -28,3 +33,6 @@ def test_result_schemas(spark):
     assert _types(report) == [("modello", "string"), ("k", "int"), ("performance_ms", "bigint"),
                               ("cost_WSSSE", "double")]
     assert q1.count() > 0 and q2.count() > 0 and shares.count() > 0
+    for df, key in ((q1, "q1"), (q2, "q2"), (shares, "q3_share"), (clusters, "q3_cluster"), (report, "q3_model")):
+        assert _types(df) == _declared(RESULTS[key])
+        assert _types(conform(df, RESULTS[key])) == _declared(RESULTS[key])
