@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from regioncast.operators.joins import join_small
 from regioncast.session import ensure_checkpoint_dir
 
 REPORT_SCHEMA = StructType([
@@ -65,25 +64,23 @@ def kmeans_assign(model, df: DataFrame, out: str = "cluster") -> DataFrame:
     return assigned.withColumn(out, F.element_at(lookup, F.col(pred_col) + 1).cast("int")).drop(pred_col)
 
 
-def cluster_cost(df: DataFrame, features: str, label: str, max_labels: int = 100_000) -> DataFrame:
-    """Within-cluster sum of squares per given label (M4).
+def cluster_cost(df: DataFrame, features: str, label: str) -> DataFrame:
+    """Within-cluster sum of squares per given label (M4): label, n_points, cost.
 
-    ``features`` may be an array column or a vector column.  Two passes: the
-    per-label mean (``Summarizer``, partial aggregation, one vector per
-    label), then the squared distance of every row to its label's mean,
-    summed per label (partial sums again, so a label holding a third of the
-    rows is no hot spot).  The mean table has one row per label; it is
-    broadcast after a check of its row count (``join_small``), so the large
-    side is never shuffled by label.
+    ``features`` may be an array column or a vector column.  One pass: a
+    ``Summarizer`` aggregate per label yields the count and the per-dimension
+    sample variance (merged from partial per-task states, numerically stable),
+    and the sum of squared distances to the label's mean is
+    ``(n - 1) * sum(variance)``.  There is no join and no per-row distance
+    computation, and a label holding a third of the rows is merged from
+    per-task partial states like any other.
     """
     is_array = dict(df.dtypes)[features].startswith("array")
     vec = array_to_vector(F.col(features)) if is_array else F.col(features)
-    arr = F.col(features).cast("array<double>") if is_array else vector_to_array(F.col(features))
-    means = (df.groupBy(label).agg(Summarizer.mean(vec).alias("_mu"))
-             .select(label, vector_to_array("_mu").alias("_mu")))
-    rows = join_small(df.select(label, arr.alias("_x")), means, on=label, max_rows=max_labels)
-    sq = F.aggregate(F.zip_with("_x", "_mu", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
-    return rows.groupBy(label).agg(F.count(F.lit(1)).alias("n_points"), F.sum(sq).alias("cost"))
+    stats = df.groupBy(label).agg(Summarizer.metrics("count", "variance").summary(vec).alias("_s"))
+    variance_sum = F.aggregate(vector_to_array(F.col("_s.variance")), F.lit(0.0), lambda acc, v: acc + v)
+    n = F.col("_s.count")
+    return stats.select(label, n.alias("n_points"), ((n - 1).cast("double") * variance_sum).alias("cost"))
 
 
 def _fit(model_name: str, data: DataFrame, k: int, max_iter: int, seed: int, bisecting: str,
