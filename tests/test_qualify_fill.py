@@ -96,3 +96,29 @@ def test_carryover_matches_loop_on_random_series(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     got = {(r["area"], r["day"]) for r in qualify_months(df, ["area", "band"], mode="carryover").collect()}
     assert got == expected
+
+
+def test_fill_matches_calendar_on_random_series(spark):
+    import calendar
+
+    rng = random.Random(3)
+    rows, expected = [], set()
+    for g in range(120):
+        months = sorted(rng.sample(range(1, 13), rng.randint(1, 3)))
+        present = {}
+        for m in months:
+            last = calendar.monthrange(1996, m)[1]
+            for day in rng.sample(range(1, last + 1), rng.randint(1, 6)):
+                present[dt.date(1996, m, day)] = rng.randint(0, 9)
+        for day, n in present.items():
+            rows.append((f"a{g}", "b", day, n, day.replace(day=1)))
+        for m in months:
+            for day in range(1, calendar.monthrange(1996, m)[1] + 1):
+                date = dt.date(1996, m, day)
+                expected.add((f"a{g}", date, present.get(date, 0), date.replace(day=1)))
+    df = spark.createDataFrame(rows, SCHEMA + ", month date")
+    filled = fill_missing_days(df, ["area", "band"], "day", "n", month="month")
+    assert filled.columns == ["area", "band", "day", "n", "month"]
+    got = {(r.area, r.day, r.n, r.month) for r in filled.collect()}
+    assert got == expected
+    assert filled.count() == len(expected)
