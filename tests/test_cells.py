@@ -70,3 +70,29 @@ def test_double_text_like_java(spark):
     df = spark.createDataFrame([("K-MEANS", 5, 7.134186056607093e-4)], "modello string, k int, c double")
     cells = to_cells(df, ["modello", "k"], "cf3_performance", {"cost": "c"}, ts=1).first()
     assert cells.row_key == "K-MEANS/5" and cells.value == "7.134186056607093E-4"
+
+
+def test_exports_use_reference_families_and_qualifiers(spark):
+    from regioncast.plans import exports as X
+
+    q1 = spark.createDataFrame([("Gennaio", "A", 3)], "mese string, regione string, numero_medio_vaccini bigint")
+    q2 = spark.createDataFrame([("1 Marzo", "20-29", "A", 7)],
+                               "giorno string, fascia_eta string, regione string, predizione_vaccini int")
+    q3 = spark.createDataFrame([("A", "1 Giugno", 0.5)], "regione string, giorno string, predizione_percentuale_vaccini double")
+    rep = spark.createDataFrame([("K-MEANS", 2, 10, 0.25)], "modello string, k int, performance_ms bigint, cost_WSSSE double")
+    cl = spark.createDataFrame([("K-MEANS", 2, "A", 0.5, 1)],
+                               "modello string, k int, regione string, percentuale_vaccinati double, cluster int")
+    cases = [
+        (X.export_q1_cells(q1, 1), "cf1", {"media_vaccinati", "regione", "mese"}, "Gennaio/A"),
+        (X.export_q2_cells(q2, 1), "cf2", {"predizione_vaccinati", "mese", "fascia_eta", "regione"}, "1 Marzo/20-29/A"),
+        (X.export_q3_share_cells(q3, 1), "cf3_results", {"predizione_vaccinati_totale", "regione", "mese"}, "A/1 Giugno"),
+        (X.export_q3_model_cells(rep, 1), "cf3_performance", {"performance_ms", "cost", "modello", "n_cluster"},
+         "K-MEANS/2"),
+        (X.export_q3_cluster_cells(cl, 1), "cf3_cluster",
+         {"modello", "n_cluster", "regione", "predizione_vaccinati_totale", "cluster"}, "K-MEANS/2/A"),
+    ]
+    for cells, family, qualifiers, key in cases:
+        rows = cells.collect()
+        assert {r.family for r in rows} == {family}
+        assert {r.qualifier for r in rows} == qualifiers
+        assert {r.row_key for r in rows} == {key}
