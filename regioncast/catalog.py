@@ -180,6 +180,11 @@ def q_coverage_share(spark, sf):
     return coverage_share(T.daily_totals(spark, sf), T.population(spark, sf), B["first_june"])
 
 
+def q_coverage_share_elapsed(spark, sf):
+    """Query 3 shares with days counted from an origin instead of day of year (B5 option)."""
+    return coverage_share(T.daily_totals(spark, sf), T.population(spark, sf), B["first_june"], x_mode="elapsed")
+
+
 def q_cluster_cost(spark, sf):
     costs = cluster_cost(T.table(spark, sf, "embeddings"), "embedding", "label")
     return costs.select("label", "n_points", F.round("cost", 6).alias("cost"))
@@ -324,7 +329,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top5_next_month_strict": _top5("strict"),
     "top5_next_month_carryover": _top5("carryover"),
     "top5_next_month_filled": _top5("strict", zero_fill=True),
+    "top5_next_month_carryover_filled": _top5("carryover", zero_fill=True),
     "coverage_share": q_coverage_share,
+    "coverage_share_elapsed": q_coverage_share_elapsed,
     "cluster_cost": q_cluster_cost,
     "kmeans_sweep": q_kmeans_sweep,
     "bisecting_sweep": q_bisecting_sweep,

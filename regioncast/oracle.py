@@ -111,7 +111,14 @@ fill_offsets AS (
 fill_calendar AS (SELECT area, band, CAST(m + CAST(off AS INTEGER) AS DATE) AS d FROM fill_offsets),
 kept_filled AS (
   SELECT c.d, c.area, c.band, CAST(COALESCE(k.n, 0) AS BIGINT) AS n
-  FROM fill_calendar c LEFT JOIN kept_strict k ON c.area = k.area AND c.band = k.band AND c.d = k.d)"""
+  FROM fill_calendar c LEFT JOIN kept_strict k ON c.area = k.area AND c.band = k.band AND c.d = k.d),
+cfill_months AS (SELECT DISTINCT area, band, {_mstart('d')} AS m FROM kept_carryover),
+cfill_offsets AS (
+  SELECT area, band, m, unnest(generate_series(0, dayofmonth(last_day(m)) - 1)) AS off FROM cfill_months),
+cfill_calendar AS (SELECT area, band, CAST(m + CAST(off AS INTEGER) AS DATE) AS d FROM cfill_offsets),
+kept_carryover_filled AS (
+  SELECT c.d, c.area, c.band, CAST(COALESCE(k.n, 0) AS BIGINT) AS n
+  FROM cfill_calendar c LEFT JOIN kept_carryover k ON c.area = k.area AND c.band = k.band AND c.d = k.d)"""
 
 
 def _q2_preds(kept: str, name: str) -> str:
@@ -149,6 +156,21 @@ shares AS (
          CAST(f.total + f.pred AS DOUBLE) / CAST(p.people AS DOUBLE) AS predizione_percentuale_vaccini
   FROM area_fc f JOIN pop p ON f.area = p.area)"""
 
+# Query 3 with days counted from 1970-01-01.
+Q3E_CTES = f"""
+q3e_rows AS (
+  SELECT area, CAST(CAST(day AS DATE) - DATE '1970-01-01' AS BIGINT) AS x, CAST(total AS BIGINT) AS y
+  FROM daily_totals WHERE CAST(day AS DATE) < DATE '{_JUN}'),
+q3e_sums AS ({_sums('q3e_rows', 'area', 'x', 'y')}),
+area_fc_e AS (
+  SELECT area, CAST(sy AS BIGINT) AS total,
+         {_forecast_sql(f"(DATE '{_JUN}' - DATE '1970-01-01')")} AS pred FROM q3e_sums),
+pop_e AS (SELECT {_repair('area')} AS area, people FROM population),
+shares_e AS (
+  SELECT f.area AS regione, '1 ' || {_label(f"DATE '{_JUN}'")} AS giorno,
+         CAST(f.total + f.pred AS DOUBLE) / CAST(p.people AS DOUBLE) AS predizione_percentuale_vaccini
+  FROM area_fc_e f JOIN pop_e p ON f.area = p.area)"""
+
 # Cells of the event stream.
 CELL_CTES = f"""
 ev_cells AS (
@@ -219,6 +241,10 @@ SELECT area, band, CAST(m AS VARCHAR) AS month, CAST(t AS VARCHAR) AS target, pr
     + _top5_select("p_carry"),
     "top5_next_month_filled": _with(VIEWS, Q2_CTES, _q2_preds("kept_filled", "p_filled")) + _top5_select("p_filled"),
     "coverage_share": _with(VIEWS, Q3_CTES) + "SELECT regione, giorno, predizione_percentuale_vaccini FROM shares",
+    "coverage_share_elapsed": _with(VIEWS, Q3E_CTES)
+    + "SELECT regione, giorno, predizione_percentuale_vaccini FROM shares_e",
+    "top5_next_month_carryover_filled": _with(VIEWS, Q2_CTES, _q2_preds("kept_carryover_filled", "p_cfilled"))
+    + _top5_select("p_cfilled"),
     "cluster_cost": """WITH
 e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 x AS (SELECT label, vec_id, unnest(v) AS val, unnest(generate_series(1, len(v))) AS pos FROM e),
