@@ -120,3 +120,32 @@ def test_write_cells_overwrite_recreates(spark, tmp_out):
     path = write_cells(first, tmp_out, "Query1_table")
     write_cells(second, tmp_out, "Query1_table")
     assert [r.row_key for r in spark.read.parquet(path).collect()] == ["s"]
+
+
+def test_partitioned_ingest_and_stream_picks_up_new_files(spark, tmp_out):
+    from pyspark.sql import functions as F
+
+    daily = tables.daily_totals(spark, SF_SMALL).withColumn("year", F.substring("day", 1, 4))
+    schema = "day STRING, total BIGINT, area STRING, year STRING"
+    first = write_csv(daily.where("year < '1999'"), tmp_out, "batch1")
+    back = ingest_csv(spark, first, schema, dst=f"{tmp_out}/by_year", partition_by=["year"])
+    assert any(name.startswith("year=") for name in os.listdir(f"{tmp_out}/by_year"))
+    assert back.count() == daily.where("year < '1999'").count()
+
+    incoming = f"{tmp_out}/incoming"
+    os.makedirs(incoming)
+    for name in os.listdir(first):
+        if name.endswith(".csv"):
+            os.link(f"{first}/{name}", f"{incoming}/{name}")
+    q = ingest_csv_stream(spark, incoming, schema, f"{tmp_out}/stream_out", f"{tmp_out}/stream_ckpt",
+                          partition_by=["year"], max_files_per_trigger=1)
+    q.awaitTermination(120)
+    later = write_csv(daily.where("year >= '1999'"), tmp_out, "batch2")
+    for name in os.listdir(later):
+        if name.endswith(".csv"):
+            os.link(f"{later}/{name}", f"{incoming}/late-{name}")
+    q = ingest_csv_stream(spark, incoming, schema, f"{tmp_out}/stream_out", f"{tmp_out}/stream_ckpt",
+                          partition_by=["year"], max_files_per_trigger=1)
+    q.awaitTermination(120)
+    out = spark.read.parquet(f"{tmp_out}/stream_out")
+    assert sorted(out.select("day", "total", "area").collect()) == sorted(daily.select("day", "total", "area").collect())
