@@ -45,7 +45,8 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_session(f"local[{cpus}]", app="regioncast-bench", shuffle_partitions=2 * cpus,
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cpus)))
+    spark = get_session(f"local[{cpus}]", app="regioncast-bench", shuffle_partitions=parts,
                         conf={"spark.driver.memory": "8g"})
     # Warm-up of the JVM (class loading, JIT) on the smallest data set, not
     # the measured one; not timed.
