@@ -102,3 +102,15 @@ def test_reference_label_option_reruns_kmeans(spark, shares):
     rerun = kmeans_fit(vectors(shares, ["predizione_percentuale_vaccini"]), 2, seed=2)
     assert costs["K-MEANS-BISECTING"] == pytest.approx(rerun.summary.trainingCost, rel=1e-12)
     assert costs["K-MEANS"] == pytest.approx(PUBLISHED_COST_K2, rel=1e-9)
+
+
+def test_one_dimensional_clusters_are_ordered_intervals(spark, shares):
+    clusters, _ = kmeans_sweep(shares, "regione", "predizione_percentuale_vaccini")
+    by_run = {}
+    for r in clusters.collect():
+        by_run.setdefault((r.modello, r.k), []).append((r.percentuale_vaccinati, r.cluster))
+    assert len(by_run) == 8
+    for (model, k), rows in by_run.items():
+        labels = [c for _, c in sorted(rows)]
+        assert labels == sorted(labels), (model, k, labels)
+        assert set(labels) == set(range(k)), (model, k, labels)
