@@ -114,3 +114,20 @@ def test_one_dimensional_clusters_are_ordered_intervals(spark, shares):
         labels = [c for _, c in sorted(rows)]
         assert labels == sorted(labels), (model, k, labels)
         assert set(labels) == set(range(k)), (model, k, labels)
+
+
+# The published cluster labels for k = 3 of both model rows (area order as
+# published) and the published costs of those two labellings.
+PUBLISHED_LABELS_K3 = {
+    "K-MEANS": [0, 0, 2, 0, 0, 0, 0, 1, 0, 0, 1, 0, 0, 2, 0, 2, 2, 0, 0, 0, 0],
+    "K-MEANS-BISECTING": [2, 0, 1, 0, 0, 2, 0, 2, 0, 0, 2, 0, 0, 1, 0, 1, 1, 0, 2, 0, 0],
+}
+PUBLISHED_COST_K3 = {"K-MEANS": 0.002469450680462575, "K-MEANS-BISECTING": 0.0022296223441359785}
+
+
+@pytest.mark.parametrize("model", sorted(PUBLISHED_LABELS_K3))
+def test_cluster_cost_reproduces_published_cost(spark, model):
+    rows = [(area, share, label) for (area, share), label in zip(PUBLISHED_SHARES, PUBLISHED_LABELS_K3[model])]
+    df = vectors(spark.createDataFrame(rows, "regione string, share double, label int"), ["share"])
+    total = cluster_cost(df, "features", "label").agg(F.sum("cost")).first()[0]
+    assert total == pytest.approx(PUBLISHED_COST_K3[model], rel=1e-9)
