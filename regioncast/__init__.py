@@ -10,6 +10,10 @@ operators  DataFrame -> DataFrame building blocks (filters, aggregates,
            versioned cell tables)
 plans      the composite queries built from the operators
 streaming  incremental file ingest with Structured Streaming
+
+Top-level modules: ``session`` (session defaults, shared folder), ``schemas``
+(result schemas), ``catalog`` (registered queries over the driver tables) and
+``oracle`` (their DuckDB SQL).
 """
 
 __version__ = "0.1.0"
