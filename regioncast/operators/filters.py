@@ -15,7 +15,8 @@ def _is_string(df: DataFrame, col: str) -> bool:
 
 
 def day_window(df: DataFrame, col: str = "day", lo: str | None = None, hi: str | None = None,
-               lo_open: bool = False, hi_open: bool = True, keep_nulls: bool = False) -> Column:
+               lo_open: bool = False, hi_open: bool = True, keep_nulls: bool = False,
+               parse_mode: str = "strict") -> Column:
     """Predicate for ``lo (<|<=) day (<|<=) hi`` on a date or ``yyyy-MM-dd`` text column.
 
     On text columns the same bounds are also given on the raw strings (ISO
@@ -25,7 +26,7 @@ def day_window(df: DataFrame, col: str = "day", lo: str | None = None, hi: str |
     """
     c = F.col(col)
     text = _is_string(df, col)
-    d = parse_day(c) if text else c
+    d = parse_day(c, mode=parse_mode) if text else c
     raw: list[Column] = []      # comparisons on the stored column itself
     parsed: list[Column] = []   # comparisons on the parsed date (text columns)
     if lo is not None:
@@ -53,13 +54,15 @@ def day_window(df: DataFrame, col: str = "day", lo: str | None = None, hi: str |
 
 
 def between_days(df: DataFrame, col: str = "day", lo: str | None = None, hi: str | None = None,
-                 lo_open: bool = False, hi_open: bool = True, keep_nulls: bool = False) -> DataFrame:
+                 lo_open: bool = False, hi_open: bool = True, keep_nulls: bool = False,
+                 parse_mode: str = "strict") -> DataFrame:
     """Rows whose day lies in the window.
 
     F1 open interval: ``lo_open=True, hi_open=True``; F2 half-open:
     ``lo_open=False, hi_open=True``; F3 upper bound only: ``lo=None``.
+    ``parse_mode`` is passed to ``parse_day`` for text columns.
     """
-    return df.where(day_window(df, col, lo, hi, lo_open, hi_open, keep_nulls))
+    return df.where(day_window(df, col, lo, hi, lo_open, hi_open, keep_nulls, parse_mode))
 
 
 def require_non_null(df: DataFrame, cols: Sequence[str], what: str = "input", eager: bool = False) -> DataFrame:

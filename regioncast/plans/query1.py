@@ -20,11 +20,12 @@ from regioncast.plans.params import REFERENCE
 
 
 def month_area_totals(daily_totals: DataFrame, lo: str | None, hi: str | None,
-                      lo_open: bool = True, hi_open: bool = True) -> DataFrame:
+                      lo_open: bool = True, hi_open: bool = True, parse_mode: str = "strict") -> DataFrame:
     """(month DATE, area, total BIGINT) for the days in the window (A2)."""
-    rows = between_days(daily_totals, "day", lo, hi, lo_open=lo_open, hi_open=hi_open, keep_nulls=True)
+    rows = between_days(daily_totals, "day", lo, hi, lo_open=lo_open, hi_open=hi_open, keep_nulls=True,
+                        parse_mode=parse_mode)
     rows = require_non_null(rows, ["day", "total", "area"], "daily totals")
-    return (rows.groupBy(month_start(parse_day("day")).alias("month"), F.col("area"))
+    return (rows.groupBy(month_start(parse_day("day", mode=parse_mode)).alias("month"), F.col("area"))
             .agg(F.sum(F.col("total").cast("bigint")).alias("total")))
 
 
@@ -35,14 +36,15 @@ def centres_per_area(centres: DataFrame) -> DataFrame:
 
 def avg_daily_doses_per_centre(daily_totals: DataFrame, centres: DataFrame,
                                lo: str = REFERENCE["last_december"], hi: str = REFERENCE["first_june"],
-                               lang: str = "it", ordered: bool = True) -> DataFrame:
+                               lang: str = "it", ordered: bool = True, parse_mode: str = "strict") -> DataFrame:
     """mese STRING, regione STRING, numero_medio_vaccini BIGINT.
 
     Days strictly between ``lo`` and ``hi``; an area without centres drops
     out (inner join).  Month length comes from the data's own year (B8) and
-    months of different years stay apart (B9).
+    months of different years stay apart (B9).  ``parse_mode="smart"`` reads
+    day text as the reference's parser does (``2021-02-30`` is 28 February).
     """
-    totals = month_area_totals(daily_totals, lo, hi)
+    totals = month_area_totals(daily_totals, lo, hi, parse_mode=parse_mode)
     joined = totals.join(centres_per_area(centres), on="area", how="inner")
     res = joined.select(
         month_label("month", lang).alias("mese"),

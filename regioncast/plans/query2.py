@@ -28,19 +28,19 @@ from regioncast.operators.ranking import top_n_per_group
 from regioncast.plans.params import MIN_DAYS, REFERENCE, TOP_N
 
 
-def daily_band_totals(doses: DataFrame, lo: str | None, hi: str | None) -> DataFrame:
+def daily_band_totals(doses: DataFrame, lo: str | None, hi: str | None, parse_mode: str = "strict") -> DataFrame:
     """(day DATE, area, band, n BIGINT): doses summed over brands (A3)."""
-    rows = between_days(doses, "day", lo, hi, lo_open=False, hi_open=True, keep_nulls=True)
+    rows = between_days(doses, "day", lo, hi, lo_open=False, hi_open=True, keep_nulls=True, parse_mode=parse_mode)
     rows = require_non_null(rows, ["day", "band", "n", "area"], "doses by band")
-    return (rows.groupBy(parse_day("day").alias("day"), F.col("area"), F.col("band"))
+    return (rows.groupBy(parse_day("day", mode=parse_mode).alias("day"), F.col("area"), F.col("band"))
             .agg(F.sum(F.col("n").cast("bigint")).alias("n")))
 
 
 def qualified_days(doses: DataFrame, lo: str | None = REFERENCE["first_february"],
                    hi: str | None = REFERENCE["first_june"], mode: str = "strict",
-                   min_days: int = MIN_DAYS, zero_fill: bool = False) -> DataFrame:
+                   min_days: int = MIN_DAYS, zero_fill: bool = False, parse_mode: str = "strict") -> DataFrame:
     """Per-day rows (day, area, band, n, month) that enter the regression (G1/G2, optional G3)."""
-    daily = daily_band_totals(doses, lo, hi).withColumn("month", month_start("day"))
+    daily = daily_band_totals(doses, lo, hi, parse_mode).withColumn("month", month_start("day"))
     kept = qualify_months(daily, ["area", "band"], "day", "n", mode=mode, min_days=min_days, month="month")
     if zero_fill:
         kept = fill_missing_days(kept, ["area", "band"], "day", "n", month="month")
@@ -59,7 +59,8 @@ def band_month_forecasts(kept: DataFrame, x_mode: str = "dayofyear") -> DataFram
 def top_areas_next_month(doses: DataFrame, lo: str | None = REFERENCE["first_february"],
                          hi: str | None = REFERENCE["first_june"], mode: str = "strict",
                          min_days: int = MIN_DAYS, zero_fill: bool = False, n: int = TOP_N,
-                         x_mode: str = "dayofyear", lang: str = "it", ordered: bool = True) -> DataFrame:
+                         x_mode: str = "dayofyear", lang: str = "it", ordered: bool = True,
+                         parse_mode: str = "strict") -> DataFrame:
     """giorno STRING, fascia_eta STRING, regione STRING, predizione_vaccini INT.
 
     ``mode`` is ``strict`` (documented rule, default) or ``carryover`` (the
@@ -67,7 +68,7 @@ def top_areas_next_month(doses: DataFrame, lo: str | None = REFERENCE["first_feb
     fit (the reference computes but discards that, B3).  Ties in the top n
     go to the area that sorts first (B7).
     """
-    kept = qualified_days(doses, lo, hi, mode, min_days, zero_fill)
+    kept = qualified_days(doses, lo, hi, mode, min_days, zero_fill, parse_mode)
     preds = band_month_forecasts(kept, x_mode)
     top = top_n_per_group(preds, ["target", "band"], [F.desc("pred"), F.asc("area")], n)
     res = top.select(

@@ -23,27 +23,28 @@ from regioncast.plans.params import KS, MAX_ITER, MODELS, REFERENCE
 
 
 def area_forecasts(daily_totals: DataFrame, hi: str = REFERENCE["first_june"],
-                   x_mode: str = "dayofyear", origin: str | None = None) -> DataFrame:
+                   x_mode: str = "dayofyear", origin: str | None = None, parse_mode: str = "strict") -> DataFrame:
     """(area, total BIGINT, pred BIGINT): total before ``hi`` and the forecast for ``hi`` (A4, A10).
 
     Every row is one point of the fit (rows are not pre-summed by day).
     """
-    rows = between_days(daily_totals, "day", None, hi, hi_open=True, keep_nulls=True)
+    rows = between_days(daily_totals, "day", None, hi, hi_open=True, keep_nulls=True, parse_mode=parse_mode)
     rows = require_non_null(rows, ["day", "total", "area"], "daily totals")
-    sums = regression_sums(rows, ["area"], x=day_x(parse_day("day"), x_mode, origin), y=F.col("total"))
+    sums = regression_sums(rows, ["area"], x=day_x(parse_day("day", mode=parse_mode), x_mode, origin),
+                           y=F.col("total"))
     target = day_x(F.to_date(F.lit(hi)), x_mode, origin)
     return sums.select("area", F.col("_sy").alias("total"), exact_forecast(target).alias("pred"))
 
 
 def coverage_share(daily_totals: DataFrame, population: DataFrame, hi: str = REFERENCE["first_june"],
                    x_mode: str = "dayofyear", origin: str | None = None, lang: str = "it",
-                   rules=DEFAULT_NAME_RULES, ordered: bool = True) -> DataFrame:
+                   rules=DEFAULT_NAME_RULES, ordered: bool = True, parse_mode: str = "strict") -> DataFrame:
     """regione STRING, giorno STRING, predizione_percentuale_vaccini DOUBLE.
 
     Share = (doses before ``hi`` + forecast for ``hi``) / population, joined
     on the repaired area name; areas missing on either side drop out.
     """
-    per_area = area_forecasts(daily_totals, hi, x_mode, origin)
+    per_area = area_forecasts(daily_totals, hi, x_mode, origin, parse_mode)
     pop = normalise_names(require_non_null(population.select("area", "people"), ["area", "people"],
                                            "population"), "area", rules)
     joined = per_area.join(pop, on="area", how="inner")

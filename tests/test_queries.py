@@ -84,3 +84,12 @@ def test_query3_share_and_name_repair(spark):
     r = res[0]
     assert r.regione == "Valle d'Aosta / Vallée d'Aoste" and r.giorno == "1 Giugno"
     assert r.predizione_percentuale_vaccini == pytest.approx((20 + 10) / 100)
+
+
+def test_smart_parse_mode_reads_day_past_month_end(spark):
+    totals = spark.createDataFrame([("2021-02-30", 56, "X"), ("2021-02-01", 0, "X")], DT)
+    centres = spark.createDataFrame([(1, "X")], "centre int, area string")
+    with pytest.raises(Exception):
+        avg_daily_doses_per_centre(totals, centres).collect()
+    res = avg_daily_doses_per_centre(totals, centres, parse_mode="smart").collect()
+    assert [(r.mese, r.numero_medio_vaccini) for r in res] == [("Febbraio", 2)]
