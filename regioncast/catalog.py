@@ -64,6 +64,8 @@ EVENT_SPLIT = "2024-01-16 00:00:00"
 EVENT_COLUMN = "purchase"
 
 DAILY_TOTALS_SCHEMA = "day STRING, total BIGINT, area STRING"
+# Upper bound on the one-shot (availableNow) ingest stream of ``stream_ingested``.
+STREAM_TIMEOUT_SEC = 900
 
 
 # ---- Query 1 and its parts -------------------------------------------------
@@ -296,7 +298,9 @@ def q_stream_ingested(spark, sf):
     folder = shared_dir(spark, "stream-ingest")
     src = write_csv(T.daily_totals(spark, sf), folder, "incoming")
     query = ingest_csv_stream(spark, src, DAILY_TOTALS_SCHEMA, f"{folder}/parquet", f"{folder}/checkpoint")
-    query.awaitTermination()
+    if not query.awaitTermination(STREAM_TIMEOUT_SEC):
+        query.stop()
+        raise TimeoutError(f"ingest stream did not finish within {STREAM_TIMEOUT_SEC} s")
     return spark.read.parquet(f"{folder}/parquet")
 
 
