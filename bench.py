@@ -55,6 +55,9 @@ def main() -> None:
     if os.path.isdir(warm):
         _run(catalog.QUERIES["q1_avg_daily_per_centre"](spark, warm))
         _run(catalog.QUERIES["top5_next_month_strict"](spark, warm))
+        warm_shares = coverage_share(T.daily_totals(spark, warm), T.population(spark, warm), B["first_june"],
+                                     ordered=False)
+        _run(cluster_areas(warm_shares, ks=(2,))[0])
     else:
         T.table(spark, sf_dir, "nation").count()
 
