@@ -32,7 +32,7 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
             bounds: dict[str, str] = REFERENCE, mode: str = "strict", zero_fill: bool = False,
             seed: int = 1, export: bool = True, debug_csv: bool = False,
             ts: int | None = None, queries: tuple[str, ...] = ("q1", "q2", "q3"),
-            parse_mode: str = "strict") -> dict[str, str]:
+            parse_mode: str = "strict", x_mode: str = "dayofyear") -> dict[str, str]:
     """Run queries 1-3 (or the ones named in ``queries``) on ``inputs``
     (daily_totals, centres, doses_by_band, population) and write everything
     under ``out``; return the paths."""
@@ -47,12 +47,12 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
 
     if "q2" in queries:
         q2 = top_areas_next_month(inputs["doses_by_band"], bounds["first_february"], bounds["first_june"],
-                                  mode=mode, zero_fill=zero_fill, parse_mode=parse_mode)
+                                  mode=mode, zero_fill=zero_fill, parse_mode=parse_mode, x_mode=x_mode)
         paths["q2"] = write_result(conform(q2, RESULTS["q2"]), out, names.setdefault("q2", "query2_results"))
 
     if "q3" in queries:
         shares = coverage_share(inputs["daily_totals"], inputs["population"], bounds["first_june"],
-                                parse_mode=parse_mode)
+                                parse_mode=parse_mode, x_mode=x_mode)
         paths["q3_share"] = write_result(conform(shares, RESULTS["q3_share"]), out,
                                          names.setdefault("q3_share", "query3_results"))
         saved_shares = read_result(spark, "query3_results", out)
@@ -106,6 +106,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--only", default="q1,q2,q3", help="comma-separated subset of q1,q2,q3")
     ap.add_argument("--parse-mode", choices=("strict", "lenient", "smart"), default="strict",
                     help="day text parsing: fail, NULL, or clamp past-month-end days as the reference")
+    ap.add_argument("--x-mode", choices=("dayofyear", "elapsed"), default="dayofyear",
+                    help="regression day number: day of year (as the reference) or days since 1970-01-01")
     for key, day in REFERENCE.items():
         ap.add_argument("--" + key.replace("_", "-"), default=day, help=f"date bound (default {day})")
     args = ap.parse_args(argv)
@@ -114,7 +116,7 @@ def main(argv: list[str] | None = None) -> None:
     paths = run_all(spark, read_inputs(spark, args.input_dir), args.output_dir, bounds=bounds, mode=args.mode,
                     zero_fill=args.zero_fill, seed=args.seed, export=not args.debug, debug_csv=args.debug,
                     queries=tuple(q.strip() for q in args.only.split(",") if q.strip()),
-                    parse_mode=args.parse_mode)
+                    parse_mode=args.parse_mode, x_mode=args.x_mode)
     for key, path in paths.items():
         print(f"{key}\t{path}")
     spark.stop()
