@@ -149,3 +149,36 @@ def test_partitioned_ingest_and_stream_picks_up_new_files(spark, tmp_out):
     q.awaitTermination(120)
     out = spark.read.parquet(f"{tmp_out}/stream_out")
     assert sorted(out.select("day", "total", "area").collect()) == sorted(daily.select("day", "total", "area").collect())
+
+
+def test_command_line_full_run(spark, tmp_out):
+    import subprocess
+    import sys
+
+    from pyspark.sql import functions as F
+
+    src = f"{tmp_out}/input"
+    tables.daily_totals(spark, SF_SMALL).select("day", F.lit("x").alias("f"), "total", "area") \
+        .write.parquet(f"{src}/{REFERENCE_FILES['daily_totals']}")
+    tables.centres(spark, SF_SMALL).select(F.col("centre").cast("string"), "area") \
+        .write.parquet(f"{src}/{REFERENCE_FILES['centres']}")
+    tables.doses_by_band(spark, SF_SMALL).select("day", "brand", F.lit("f").alias("f"), "band",
+                                                  F.lit(0).alias("m"), "n", "area") \
+        .write.parquet(f"{src}/{REFERENCE_FILES['doses_by_band']}")
+    tables.population(spark, SF_SMALL).write.parquet(f"{src}/{REFERENCE_FILES['population']}")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    cmd = [sys.executable, "-m", "regioncast.plans.run", src, f"{tmp_out}/out", "--only", "q1", "--debug",
+           "--last-december", STAND_IN["last_december"], "--first-february", STAND_IN["first_february"],
+           "--first-june", STAND_IN["first_june"]]
+    done = subprocess.run(cmd, cwd=repo, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "q1\t" in done.stdout
+    q1 = spark.read.parquet(f"{tmp_out}/out/query1_results")
+    from regioncast.plans import avg_daily_doses_per_centre
+
+    avg_q1 = avg_daily_doses_per_centre(tables.daily_totals(spark, SF_SMALL), tables.centres(spark, SF_SMALL),
+                                        STAND_IN["last_december"], STAND_IN["first_june"])
+    want = sorted(avg_q1.collect())
+    assert sorted(q1.collect()) == want
+    assert os.path.isdir(f"{tmp_out}/out/csv/query1_results")
+    assert not os.path.exists(f"{tmp_out}/out/cells")
