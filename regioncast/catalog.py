@@ -75,40 +75,40 @@ def q1_avg_daily_per_centre(spark: SparkSession, sf: str) -> DataFrame:
                                       B["last_december"], B["first_june"])
 
 
-def q_centres_per_area(spark, sf):
+def q_centres_per_area(spark: SparkSession, sf: str) -> DataFrame:
     return centres_per_area(T.centres(spark, sf))
 
 
-def q_totals_by_month_area(spark, sf):
+def q_totals_by_month_area(spark: SparkSession, sf: str) -> DataFrame:
     t = month_area_totals(T.daily_totals(spark, sf), B["last_december"], B["first_june"])
     return t.select(day_string("month").alias("month"), "area", "total")
 
 
-def q_totals_by_day_area_band(spark, sf):
+def q_totals_by_day_area_band(spark: SparkSession, sf: str) -> DataFrame:
     t = daily_band_totals(T.doses_by_band(spark, sf), B["first_february"], B["first_june"])
     return t.select(day_string("day").alias("day"), "area", "band", "n")
 
 
-def q_totals_by_area(spark, sf):
+def q_totals_by_area(spark: SparkSession, sf: str) -> DataFrame:
     rows = between_days(T.daily_totals(spark, sf), "day", None, B["first_june"])
     return sum_by(rows, "area", "total")
 
 
-def q_filter_open(spark, sf):
+def q_filter_open(spark: SparkSession, sf: str) -> DataFrame:
     return between_days(T.daily_totals(spark, sf), "day", B["last_december"], B["first_june"],
                         lo_open=True, hi_open=True)
 
 
-def q_filter_half_open(spark, sf):
+def q_filter_half_open(spark: SparkSession, sf: str) -> DataFrame:
     return between_days(T.doses_by_band(spark, sf), "day", B["first_february"], B["first_june"],
                         lo_open=False, hi_open=True)
 
 
-def q_filter_upper(spark, sf):
+def q_filter_upper(spark: SparkSession, sf: str) -> DataFrame:
     return between_days(T.daily_totals(spark, sf), "day", None, B["first_june"])
 
 
-def q_calendar_fields(spark, sf):
+def q_calendar_fields(spark: SparkSession, sf: str) -> DataFrame:
     days = T.daily_totals(spark, sf).select(parse_day("day").alias("d")).distinct()
     return days.select(
         day_string("d").alias("day"),
@@ -125,7 +125,7 @@ def q_calendar_fields(spark, sf):
     )
 
 
-def q_names_repaired(spark, sf):
+def q_names_repaired(spark: SparkSession, sf: str) -> DataFrame:
     return normalise_names(T.population(spark, sf), "area")
 
 
@@ -137,30 +137,30 @@ def _qualified(spark, sf, mode, zero_fill=False):
     return kept.select(day_string("day").alias("day"), "area", "band", "n")
 
 
-def q_qualified_strict(spark, sf):
+def q_qualified_strict(spark: SparkSession, sf: str) -> DataFrame:
     return _qualified(spark, sf, "strict")
 
 
-def q_qualified_carryover(spark, sf):
+def q_qualified_carryover(spark: SparkSession, sf: str) -> DataFrame:
     return _qualified(spark, sf, "carryover")
 
 
-def q_filled_days(spark, sf):
+def q_filled_days(spark: SparkSession, sf: str) -> DataFrame:
     return _qualified(spark, sf, "strict", zero_fill=True)
 
 
-def q_predict_band_month(spark, sf):
+def q_predict_band_month(spark: SparkSession, sf: str) -> DataFrame:
     kept = qualified_days(T.doses_by_band(spark, sf), B["first_february"], B["first_june"], mode="strict")
     p = band_month_forecasts(kept)
     return p.select("area", "band", day_string("month").alias("month"),
                     day_string("target").alias("target"), "pred")
 
 
-def q_predict_area(spark, sf):
+def q_predict_area(spark: SparkSession, sf: str) -> DataFrame:
     return area_forecasts(T.daily_totals(spark, sf), B["first_june"])
 
 
-def q_predict_area_float(spark, sf):
+def q_predict_area_float(spark: SparkSession, sf: str) -> DataFrame:
     """Float least squares (regr_slope / regr_intercept) per area, before the cut-off day."""
     rows = between_days(T.daily_totals(spark, sf), "day", None, B["first_june"])
     fit = predict_linear(rows, ["area"], x=day_x(parse_day("day")), y=F.col("total"),
@@ -178,16 +178,16 @@ def _top5(mode, zero_fill=False):
 
 # ---- Query 3 ---------------------------------------------------------------
 
-def q_coverage_share(spark, sf):
+def q_coverage_share(spark: SparkSession, sf: str) -> DataFrame:
     return coverage_share(T.daily_totals(spark, sf), T.population(spark, sf), B["first_june"])
 
 
-def q_coverage_share_elapsed(spark, sf):
+def q_coverage_share_elapsed(spark: SparkSession, sf: str) -> DataFrame:
     """Query 3 shares with days counted from an origin instead of day of year (B5 option)."""
     return coverage_share(T.daily_totals(spark, sf), T.population(spark, sf), B["first_june"], x_mode="elapsed")
 
 
-def q_cluster_cost(spark, sf):
+def q_cluster_cost(spark: SparkSession, sf: str) -> DataFrame:
     costs = cluster_cost(T.table(spark, sf, "embeddings"), "embedding", "label")
     return costs.select("label", "n_points", F.round("cost", 6).alias("cost"))
 
@@ -198,55 +198,55 @@ def _sweep(spark, sf, models):
     return cluster_areas(shares, models=models)
 
 
-def q_kmeans_sweep(spark, sf):
+def q_kmeans_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return _sweep(spark, sf, ("K-MEANS",))[0]
 
 
-def q_bisecting_sweep(spark, sf):
+def q_bisecting_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return _sweep(spark, sf, ("K-MEANS-BISECTING",))[0]
 
 
-def q_model_report(spark, sf):
+def q_model_report(spark: SparkSession, sf: str) -> DataFrame:
     return _sweep(spark, sf, ("K-MEANS", "K-MEANS-BISECTING"))[1]
 
 
 # ---- Cells -----------------------------------------------------------------
 
-def q_cells_q1(spark, sf):
+def q_cells_q1(spark: SparkSession, sf: str) -> DataFrame:
     return export_q1_cells(q1_avg_daily_per_centre(spark, sf), EXPORT_TS)
 
 
-def q_cells_q2(spark, sf):
+def q_cells_q2(spark: SparkSession, sf: str) -> DataFrame:
     return export_q2_cells(_top5("strict")(spark, sf), EXPORT_TS)
 
 
-def q_cells_q3_share(spark, sf):
+def q_cells_q3_share(spark: SparkSession, sf: str) -> DataFrame:
     return export_q3_share_cells(q_coverage_share(spark, sf), EXPORT_TS)
 
 
-def q_cells_q3_model(spark, sf):
+def q_cells_q3_model(spark: SparkSession, sf: str) -> DataFrame:
     return export_q3_model_cells(q_model_report(spark, sf), EXPORT_TS)
 
 
-def q_cells_q3_cluster(spark, sf):
+def q_cells_q3_cluster(spark: SparkSession, sf: str) -> DataFrame:
     clusters, _ = _sweep(spark, sf, ("K-MEANS", "K-MEANS-BISECTING"))
     return export_q3_cluster_cells(clusters, EXPORT_TS)
 
 
-def _event_batches(spark, sf):
+def _event_batches(spark: SparkSession, sf: str):
     """Events before / from the split time, as two batches of cells (split on the raw timestamp)."""
     split = F.lit(EVENT_SPLIT).cast("timestamp_ntz")
     return (T.event_cells(spark, sf, where=F.col("ts") < split),
             T.event_cells(spark, sf, where=F.col("ts") >= split))
 
 
-def _put_both(spark, sf):
+def _put_both(spark: SparkSession, sf: str):
     """The first event batch as a table (versions resolved), then the second put into it."""
     first, second = _event_batches(spark, sf)
     return put_cells(resolve_versions(first), second)
 
 
-def _event_table(spark, sf):
+def _event_table(spark: SparkSession, sf: str):
     """The two put batches resolved into one stored cell table.
 
     Like a key-value table, the result is written (to the shared folder) and
@@ -257,43 +257,43 @@ def _event_table(spark, sf):
     return spark.read.parquet(path)
 
 
-def q_cells_put(spark, sf):
+def q_cells_put(spark: SparkSession, sf: str) -> DataFrame:
     return _put_both(spark, sf)
 
 
-def q_cells_latest(spark, sf):
+def q_cells_latest(spark: SparkSession, sf: str) -> DataFrame:
     return latest_cells(_event_table(spark, sf))
 
 
-def q_cells_history(spark, sf):
+def q_cells_history(spark: SparkSession, sf: str) -> DataFrame:
     # History of every cell that received a version in the second batch.
     _, second = _event_batches(spark, sf)
     return cell_history(_event_table(spark, sf), keys=second.select("row_key", "family", "qualifier"))
 
 
-def q_cells_deleted(spark, sf):
+def q_cells_deleted(spark: SparkSession, sf: str) -> DataFrame:
     table = _event_table(spark, sf)
     targets = table.where(F.col("qualifier") == EVENT_COLUMN).select("row_key", "family", "qualifier")
     return delete_cells(table, targets, versions="latest")
 
 
-def q_cells_scan(spark, sf):
+def q_cells_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan_cells(_event_table(spark, sf), family="ev", qualifier=EVENT_COLUMN)
 
 
 # ---- Sources and sinks -------------------------------------------------------
 
-def q_position_scan(spark, sf):
+def q_position_scan(spark: SparkSession, sf: str) -> DataFrame:
     return by_position(T.table(spark, sf, "customer"), [0, 2, -1])
 
 
-def q_csv_round_trip(spark, sf):
+def q_csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "csv-round-trip")
     path = write_csv(T.daily_totals(spark, sf), folder, "daily_totals")
     return ingest_csv(spark, path, DAILY_TOTALS_SCHEMA)
 
 
-def q_stream_ingested(spark, sf):
+def q_stream_ingested(spark: SparkSession, sf: str) -> DataFrame:
     """Daily totals written as CSV files, then taken in by the streaming ingest (one availableNow run)."""
     folder = shared_dir(spark, "stream-ingest")
     src = write_csv(T.daily_totals(spark, sf), folder, "incoming")
@@ -304,7 +304,7 @@ def q_stream_ingested(spark, sf):
     return spark.read.parquet(f"{folder}/parquet")
 
 
-def q_compacted(spark, sf):
+def q_compacted(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "compaction")
     daily = T.daily_totals(spark, sf)
     staging = f"{folder}/staging"
