@@ -36,3 +36,21 @@ def test_result_schemas(spark):
     for df, key in ((q1, "q1"), (q2, "q2"), (shares, "q3_share"), (clusters, "q3_cluster"), (report, "q3_model")):
         assert _types(df) == _declared(RESULTS[key])
         assert _types(conform(df, RESULTS[key])) == _declared(RESULTS[key])
+
+
+def test_result_shapes_like_the_published_ones(spark):
+    from tests.conftest import SF_CHECK
+
+    q1 = avg_daily_doses_per_centre(T.daily_totals(spark, SF_CHECK), T.centres(spark, SF_CHECK),
+                                    B["last_december"], B["first_june"]).collect()
+    assert {r.mese for r in q1} == {"Gennaio", "Febbraio", "Marzo", "Aprile", "Maggio"}
+    months = [r.mese for r in q1]
+    order = ["Gennaio", "Febbraio", "Marzo", "Aprile", "Maggio"]
+    assert months == sorted(months, key=order.index)          # ordered by month, then area
+    q2 = top_areas_next_month(T.doses_by_band(spark, SF_CHECK), B["first_february"], B["first_june"]).collect()
+    assert {r.giorno for r in q2} <= {"1 Marzo", "1 Aprile", "1 Maggio", "1 Giugno"}
+    groups = {}
+    for r in q2:
+        groups.setdefault((r.giorno, r.fascia_eta), []).append(r.predizione_vaccini)
+    assert all(1 <= len(v) <= 5 for v in groups.values())
+    assert all(v == sorted(v, reverse=True) for v in groups.values())
