@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regioncast.functions.arith import idiv
+from regioncast.functions.arith import clamp_at_zero, idiv
 
 _DEC = "decimal(38,0)"
 
@@ -49,8 +49,7 @@ def exact_forecast(at: Column) -> Column:
     num = n * sxy - sx * sy
     safe_div = F.when(den == 0, F.lit(1).cast(_DEC)).otherwise(n * den)
     value = idiv(sy * den + num * (n * x0 - sx), safe_div)
-    return F.when(den == 0, F.lit(0).cast("bigint")) \
-            .otherwise(F.greatest(value.cast("bigint"), F.lit(0).cast("bigint")))
+    return F.when(den == 0, F.lit(0).cast("bigint")).otherwise(clamp_at_zero(value.cast("bigint")))
 
 
 def predict_linear(df: DataFrame, keys: Sequence[str], x: Column, y: Column, at: Column,

@@ -16,6 +16,7 @@ from regioncast.functions.arith import avg_per_unit_day
 from regioncast.functions.calendar import days_in_month, month_label, month_start, parse_day
 from regioncast.operators.aggregate import count_by
 from regioncast.operators.filters import between_days, require_non_null
+from regioncast.operators.ranking import order_result
 from regioncast.plans.params import REFERENCE
 
 
@@ -53,5 +54,5 @@ def avg_daily_doses_per_centre(daily_totals: DataFrame, centres: DataFrame,
         F.col("month"),
     )
     if ordered:
-        res = res.orderBy("month", "regione")
+        res = order_result(res, "month", "regione")
     return res.drop("month")

@@ -24,7 +24,7 @@ from regioncast.operators.fill import fill_missing_days
 from regioncast.operators.filters import between_days, require_non_null
 from regioncast.operators.forecast import predict_linear
 from regioncast.operators.qualify import qualify_months
-from regioncast.operators.ranking import top_n_per_group
+from regioncast.operators.ranking import order_result, top_n_per_group
 from regioncast.plans.params import MIN_DAYS, REFERENCE, TOP_N
 
 
@@ -79,5 +79,5 @@ def top_areas_next_month(doses: DataFrame, lo: str | None = REFERENCE["first_feb
         "target", "rank",
     )
     if ordered:
-        res = res.orderBy("target", "fascia_eta", "rank")
+        res = order_result(res, "target", "fascia_eta", "rank")
     return res.drop("target", "rank")

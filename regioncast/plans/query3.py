@@ -19,6 +19,7 @@ from regioncast.functions.names import DEFAULT_NAME_RULES, normalise_names
 from regioncast.operators.clustering import kmeans_sweep
 from regioncast.operators.filters import between_days, require_non_null
 from regioncast.operators.forecast import exact_forecast, regression_sums
+from regioncast.operators.ranking import order_result
 from regioncast.plans.params import KS, MAX_ITER, MODELS, REFERENCE
 
 
@@ -53,7 +54,7 @@ def coverage_share(daily_totals: DataFrame, population: DataFrame, hi: str = REF
         first_day_label(F.to_date(F.lit(hi)), lang).alias("giorno"),
         share(F.col("total") + F.col("pred"), F.col("people")).alias("predizione_percentuale_vaccini"),
     )
-    return res.orderBy("regione") if ordered else res
+    return order_result(res, "regione") if ordered else res
 
 
 def cluster_areas(shares: DataFrame, ks: Sequence[int] = KS, models: Sequence[str] = MODELS,

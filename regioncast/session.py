@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -81,16 +80,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if sc is not None and sc.getCheckpointDir() is None:
         base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="regioncast-ckpt-")
         sc.setCheckpointDir(base)
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def path_exists(path: str) -> bool:
-    """Existence check used only by tests on local folders."""
-    return os.path.exists(local_path(path))
