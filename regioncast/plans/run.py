@@ -19,7 +19,7 @@ from regioncast.plans.exports import (
     export_q3_model_cells,
     export_q3_share_cells,
 )
-from regioncast.plans.params import REFERENCE
+from regioncast.plans.params import KS, MIN_DAYS, REFERENCE, TOP_N
 from regioncast.plans.query1 import avg_daily_doses_per_centre
 from regioncast.plans.query2 import top_areas_next_month
 from regioncast.plans.query3 import cluster_areas, coverage_share
@@ -32,7 +32,8 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
             bounds: dict[str, str] = REFERENCE, mode: str = "strict", zero_fill: bool = False,
             seed: int = 1, export: bool = True, debug_csv: bool = False,
             ts: int | None = None, queries: tuple[str, ...] = ("q1", "q2", "q3"),
-            parse_mode: str = "strict", x_mode: str = "dayofyear") -> dict[str, str]:
+            parse_mode: str = "strict", x_mode: str = "dayofyear", top_n: int = TOP_N,
+            min_days: int = MIN_DAYS, ks: tuple[int, ...] = KS, bisecting: str = "bisecting") -> dict[str, str]:
     """Run queries 1-3 (or the ones named in ``queries``) on ``inputs``
     (daily_totals, centres, doses_by_band, population) and write everything
     under ``out``; return the paths."""
@@ -47,7 +48,8 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
 
     if "q2" in queries:
         q2 = top_areas_next_month(inputs["doses_by_band"], bounds["first_february"], bounds["first_june"],
-                                  mode=mode, zero_fill=zero_fill, parse_mode=parse_mode, x_mode=x_mode)
+                                  mode=mode, min_days=min_days, zero_fill=zero_fill, n=top_n,
+                                  parse_mode=parse_mode, x_mode=x_mode)
         paths["q2"] = write_result(conform(q2, RESULTS["q2"]), out, names.setdefault("q2", "query2_results"))
 
     if "q3" in queries:
@@ -56,7 +58,7 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
         paths["q3_share"] = write_result(conform(shares, RESULTS["q3_share"]), out,
                                          names.setdefault("q3_share", "query3_results"))
         saved_shares = read_result(spark, "query3_results", out)
-        clusters, report = cluster_areas(saved_shares, seed=seed)
+        clusters, report = cluster_areas(saved_shares, ks=ks, seed=seed, bisecting=bisecting)
         paths["q3_model"] = write_result(conform(report, RESULTS["q3_model"]), out,
                                          names.setdefault("q3_model", "query3_performance"))
         # The reference appends the eight cluster tables to a staging folder and
@@ -108,6 +110,11 @@ def main(argv: list[str] | None = None) -> None:
                     help="day text parsing: fail, NULL, or clamp past-month-end days as the reference")
     ap.add_argument("--x-mode", choices=("dayofyear", "elapsed"), default="dayofyear",
                     help="regression day number: day of year (as the reference) or days since 1970-01-01")
+    ap.add_argument("--top-n", type=int, default=TOP_N, help="areas kept per month and band in query 2")
+    ap.add_argument("--min-days", type=int, default=MIN_DAYS, help="non-zero days a month needs in query 2")
+    ap.add_argument("--ks", default=",".join(str(k) for k in KS), help="cluster counts swept in query 3")
+    ap.add_argument("--bisecting", choices=("bisecting", "kmeans"), default="bisecting",
+                    help="second model: Spark's bisecting k-means, or a second k-means run as the reference")
     for key, day in REFERENCE.items():
         ap.add_argument("--" + key.replace("_", "-"), default=day, help=f"date bound (default {day})")
     args = ap.parse_args(argv)
@@ -116,7 +123,8 @@ def main(argv: list[str] | None = None) -> None:
     paths = run_all(spark, read_inputs(spark, args.input_dir), args.output_dir, bounds=bounds, mode=args.mode,
                     zero_fill=args.zero_fill, seed=args.seed, export=not args.debug, debug_csv=args.debug,
                     queries=tuple(q.strip() for q in args.only.split(",") if q.strip()),
-                    parse_mode=args.parse_mode, x_mode=args.x_mode)
+                    parse_mode=args.parse_mode, x_mode=args.x_mode, top_n=args.top_n, min_days=args.min_days,
+                    ks=tuple(int(k) for k in args.ks.split(",") if k.strip()), bisecting=args.bisecting)
     for key, path in paths.items():
         print(f"{key}\t{path}")
     spark.stop()
