@@ -59,10 +59,8 @@ def coverage_share(daily_totals: DataFrame, population: DataFrame, hi: str = REF
 
 def cluster_areas(shares: DataFrame, ks: Sequence[int] = KS, models: Sequence[str] = MODELS,
                   seed: int = 1, max_iter: int = MAX_ITER, bisecting: str = "bisecting",
-                  checkpoint: bool = True, bisecting_max_iter: int = 20,
-                  parallel_fits: int = 8) -> tuple[DataFrame, DataFrame]:
+                  checkpoint: bool = True, parallel_fits: int = 8) -> tuple[DataFrame, DataFrame]:
     """(clusters, model report) over the shares of ``coverage_share``."""
     return kmeans_sweep(shares, key="regione", value="predizione_percentuale_vaccini", ks=ks,
                         models=models, seed=seed, max_iter=max_iter, bisecting=bisecting,
-                        checkpoint=checkpoint, bisecting_max_iter=bisecting_max_iter,
-                        parallel_fits=parallel_fits)
+                        checkpoint=checkpoint, parallel_fits=parallel_fits)

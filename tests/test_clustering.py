@@ -85,11 +85,11 @@ def test_clusters_numbered_by_ascending_centre(spark, shares):
     assert means == sorted(means)
 
 
-def test_bisecting_budget_20_equals_100(spark, shares):
+def test_probed_bisecting_equals_full_budget(spark, shares):
     data = vectors(shares, ["predizione_percentuale_vaccini"]).cache()
     for k in (3, 5):
-        a = bisecting_fit(data, k, max_iter=20)
-        b = bisecting_fit(data, k, max_iter=100)
+        a = bisecting_fit(data, k, max_iter=100)                    # probes 5 / 6 first
+        b = bisecting_fit(data, k, max_iter=100, probe_iter=None)   # always 100 iterations
         assert a.summary.trainingCost == b.summary.trainingCost
         la = sorted((r.regione, r.cluster) for r in kmeans_assign(a, data).collect())
         lb = sorted((r.regione, r.cluster) for r in kmeans_assign(b, data).collect())
