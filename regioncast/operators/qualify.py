@@ -42,14 +42,19 @@ def qualify_months(df: DataFrame, keys: Sequence[str], day: str = "day", value:
         rows = df.withColumn(month, month_start(day))
     else:
         rows = df
-    per_month = Window.partitionBy(*keys, month)
-    # Ordering by (month, day) rather than day alone gives both windows the
-    # same sort order, so Spark sorts the partition once.
-    series = Window.partitionBy(*keys).orderBy(month, day)
-    rows = rows.withColumn("_q_ok", F.count_if(F.col(value) != 0).over(per_month) >= min_days)
     if mode == "strict":
+        per_month = Window.partitionBy(*keys, month)
+        rows = rows.withColumn("_q_ok", F.count_if(F.col(value) != 0).over(per_month) >= min_days)
         kept = rows.where("_q_ok")
     else:
+        # Both windows are partitioned by the series keys alone, so one
+        # shuffle serves them: the month count is a RANGE frame over the rows
+        # of the same month, and the look-back is ordered by (month, day), a
+        # sort that also satisfies the month-ordered frame.
+        per_month = (Window.partitionBy(*keys).orderBy(month)
+                     .rangeBetween(Window.currentRow, Window.currentRow))
+        series = Window.partitionBy(*keys).orderBy(month, day)
+        rows = rows.withColumn("_q_ok", F.count_if(F.col(value) != 0).over(per_month) >= min_days)
         prev_month = F.lag(month).over(series)
         prev_ok = F.lag("_q_ok").over(series)
         rows = rows.withColumn("_q_first", prev_month.isNull() | (prev_month != F.col(month))) \

@@ -35,6 +35,11 @@ def test_query2_top_n_is_limited_before_its_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 3, plan
 
 
+def test_query2_carryover_windows_share_one_shuffle(spark):
+    plan = _plan(catalog.QUERIES["top5_next_month_carryover"](spark, SF_SMALL))
+    assert plan.count("Exchange hashpartitioning") == 3, plan
+
+
 def test_query2_fill_adds_no_join(spark):
     plan = _plan(catalog.QUERIES["top5_next_month_filled"](spark, SF_SMALL))
     assert "SortMergeJoin" not in plan
