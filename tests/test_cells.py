@@ -1,6 +1,7 @@
 """Cell-table operators (FIXTURES.md section 4, "Cells")."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from regioncast.operators import cell_history, delete_cells, latest_cells, put_cells, scan_cells, to_cells
 from regioncast.operators.cells import CELL_SCHEMA, empty_cells
@@ -96,3 +97,11 @@ def test_exports_use_reference_families_and_qualifiers(spark):
         assert {r.family for r in rows} == {family}
         assert {r.qualifier for r in rows} == qualifiers
         assert {r.row_key for r in rows} == {key}
+
+
+def test_double_text_boundaries_like_java(spark):
+    values = [0.001, 0.000999, 1234567.0, 10000000.0, 0.6240554410950037, 2.0]
+    want = ["0.001", "9.99E-4", "1234567.0", "1.0E7", "0.6240554410950037", "2.0"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    cells = to_cells(df, ["i"], "cf", {"v": "v"}, ts=1).orderBy(F.col("row_key").cast("int")).collect()
+    assert [c.value for c in cells] == want
