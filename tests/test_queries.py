@@ -93,3 +93,27 @@ def test_smart_parse_mode_reads_day_past_month_end(spark):
         avg_daily_doses_per_centre(totals, centres).collect()
     res = avg_daily_doses_per_centre(totals, centres, parse_mode="smart").collect()
     assert [(r.mese, r.numero_medio_vaccini) for r in res] == [("Febbraio", 2)]
+
+
+def test_b14_nulls_in_query2_and_query3_inputs(spark):
+    doses = spark.createDataFrame([("2021-02-01", "P", None, 3, "A")],
+                                  "day string, brand string, band string, n int, area string")
+    with pytest.raises(Exception, match="'band'"):
+        top_areas_next_month(doses).collect()
+    totals = spark.createDataFrame([("2021-05-01", 10, "A")], DT)
+    pop = spark.createDataFrame([("A", None)], "area string, people int")
+    with pytest.raises(Exception, match="'people'"):
+        coverage_share(totals, pop).collect()
+
+
+def test_day_window_on_date_columns(spark):
+    from tests.conftest import d
+
+    from regioncast.operators import between_days
+
+    df = spark.createDataFrame([(d("2020-12-31"),), (d("2021-01-01"),), (d("2021-05-31"),), (d("2021-06-01"),)],
+                               "day date")
+    opened = between_days(df, "day", "2020-12-31", "2021-06-01", lo_open=True, hi_open=True)
+    assert sorted(r.day.isoformat() for r in opened.collect()) == ["2021-01-01", "2021-05-31"]
+    closed = between_days(df, "day", "2020-12-31", "2021-06-01", lo_open=False, hi_open=False)
+    assert closed.count() == 4
