@@ -36,7 +36,19 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
             min_days: int = MIN_DAYS, ks: tuple[int, ...] = KS, bisecting: str = "bisecting") -> dict[str, str]:
     """Run queries 1-3 (or the ones named in ``queries``) on ``inputs``
     (daily_totals, centres, doses_by_band, population) and write everything
-    under ``out``; return the paths."""
+    under ``out``; return the paths.
+
+    bounds      the three date bounds (``params.REFERENCE`` or ``params.STAND_IN``)
+    mode        query 2 month rule: ``strict`` or ``carryover``
+    zero_fill   fill missing days with 0 before the query 2 fit
+    min_days    non-zero days a month needs (query 2)
+    top_n       areas kept per (month, band) (query 2)
+    x_mode      regression day number: ``dayofyear`` or ``elapsed``
+    parse_mode  day text parsing: ``strict``, ``lenient`` or ``smart``
+    ks, seed, bisecting   the clustering sweep (query 3)
+    export      write the five cell tables; ``ts`` is their version (default: now, in ms)
+    debug_csv   also write CSV copies of the results
+    """
     out = out.rstrip("/")
     paths: dict[str, str] = {}
     names: dict[str, str] = {}
