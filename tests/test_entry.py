@@ -25,7 +25,7 @@ def test_every_query_has_sql_unless_iterative():
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{round(v, 9):.9f}"
+        return "nan" if math.isnan(v) else repr(v)   # doubles must agree bit for bit
     return "<null>" if v is None else str(v)
 
 
