@@ -49,6 +49,7 @@ from regioncast.plans.params import STAND_IN as B
 from regioncast.plans.query1 import avg_daily_doses_per_centre, centres_per_area, month_area_totals
 from regioncast.plans.query2 import band_month_forecasts, daily_band_totals, qualified_days, top_areas_next_month
 from regioncast.plans.query3 import area_forecasts, cluster_areas, coverage_share
+from regioncast.plans.run import run_all
 from regioncast.session import shared_dir
 from regioncast.sinks.files import compact, write_cells, write_csv, write_result
 from regioncast.sources import tables as T
@@ -216,6 +217,13 @@ def q_cells_q1(spark: SparkSession, sf: str) -> DataFrame:
     return export_q1_cells(q1_avg_daily_per_centre(spark, sf), EXPORT_TS)
 
 
+def q_full_run_cells_q1(spark: SparkSession, sf: str) -> DataFrame:
+    """The full run (Z5) for query 1: result written, read back and exported as cells."""
+    inputs = {"daily_totals": T.daily_totals(spark, sf), "centres": T.centres(spark, sf)}
+    paths = run_all(spark, inputs, shared_dir(spark, "full-run"), bounds=B, ts=EXPORT_TS, queries=("q1",))
+    return spark.read.parquet(paths["cells_q1"])
+
+
 def q_cells_q2(spark: SparkSession, sf: str) -> DataFrame:
     return export_q2_cells(_top5("strict")(spark, sf), EXPORT_TS)
 
@@ -341,6 +349,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bisecting_sweep": q_bisecting_sweep,
     "model_report": q_model_report,
     "cells_q1": q_cells_q1,
+    "full_run_cells_q1": q_full_run_cells_q1,
     "cells_q2": q_cells_q2,
     "cells_q3_share": q_cells_q3_share,
     "cells_q3_model": q_cells_q3_model,

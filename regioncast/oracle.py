@@ -255,6 +255,8 @@ cnt AS (SELECT label, COUNT(*) AS n_points FROM e GROUP BY label)
 SELECT cnt.label, cnt.n_points, ROUND(cost.cost, 6) AS cost FROM cnt JOIN cost ON cnt.label = cost.label""",
     "cells_q1": _with(VIEWS, Q1_CTES) + _cells("q1", ["mese", "regione"], "cf1", [
         ("media_vaccinati", "numero_medio_vaccini"), ("regione", "regione"), ("mese", "mese")]),
+    "full_run_cells_q1": _with(VIEWS, Q1_CTES) + _cells("q1", ["mese", "regione"], "cf1", [
+        ("media_vaccinati", "numero_medio_vaccini"), ("regione", "regione"), ("mese", "mese")]),
     "cells_q2": _with(VIEWS, Q2_CTES, _q2_preds("kept_strict", "p_strict"), "top5 AS (" + _top5_select("p_strict") + ")")
     + _cells("top5", ["giorno", "fascia_eta", "regione"], "cf2", [
         ("predizione_vaccinati", "predizione_vaccini"), ("mese", "giorno"),
