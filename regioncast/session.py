@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -52,31 +53,34 @@ def _context(spark: SparkSession):
         return None
 
 
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+def checkpoint_base(spark: SparkSession) -> str:
+    """The cluster's shared folder: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is visible to every
-    executor, so written tables and checkpoints there survive the loss of
-    any one machine.  Only when the session has none (a local test) is a
-    temporary folder created and registered as the checkpoint folder.
+    Executors of a cluster do not see each other's disks, so a session
+    without a shared folder is an error there.  Only a local session (tests),
+    whose executors run in the driver, gets a temporary folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
-    if not base and sc is not None:
-        base = sc.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
     if not base:
+        if not (sc and re.match(r"local(\[|$)", sc.master)):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="regioncast-")
-        if sc is not None:
-            sc.setCheckpointDir(base)
-    elif sc is not None and sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, *parts: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder.
+
+    That folder is visible to every executor, so written tables and
+    checkpoints there survive the loss of any one machine.
+    """
     name = "/".join(parts) if parts else "work"
-    return f"{base.rstrip('/')}/regioncast/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_base(spark)}/regioncast/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint()`` usable, keeping a configured folder."""
-    sc = _context(spark)
-    if sc is not None and sc.getCheckpointDir() is None:
-        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="regioncast-ckpt-")
-        sc.setCheckpointDir(base)
+    checkpoint_base(spark)

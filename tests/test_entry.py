@@ -20,7 +20,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_sql_unless_iterative():
-    assert set(oracle_sql()) == set(queries()) - NO_SQL
+    own = {n for n in queries() if n != "pipeline" and not n.startswith("op")}
+    assert set(oracle_sql()) & own == own - NO_SQL
 
 
 def _norm(v):
@@ -42,7 +43,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(set(oracle_sql())))
+@pytest.mark.parametrize("name", sorted(n for n in oracle_sql() if n != "pipeline" and not n.startswith("op")))
 def test_query_matches_oracle_small(spark, duck, name):
     sdf = queries()[name](spark, SF_SMALL)
     got = _canon(sdf.columns, [tuple(r) for r in sdf.collect()])
