@@ -6,12 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regioncast.llm import packing, simhash, wavelet
+from regioncast.llm import decontaminate, packing, simhash, wavelet
 from regioncast.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrences of the benchmark's 13-word windows in all documents, through FM-indexes."""
+    got = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=13)
+    names = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(names.cast("binary"), 256).alias("items_sha256"),
+                      decontaminate.is_contaminated().alias("contaminated"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents' tokens, packed into sequences of 2048."""
     got = packing.packed(table(spark, sf_dir, "documents"), TOKENIZER, capacity=2048, end_id=0)
@@ -31,7 +40,25 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op6_wavelet_tokens, op10_simhash_pivots)}
+QUERIES = {f.__name__: f for f in (op1_fm_decontamination, op2_best_fit_packing, op6_wavelet_tokens, op10_simhash_pivots)}
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 #: DuckDB SQL where SQL can express the operator; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_fm_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s
+      FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i FROM b WHERE len(w) > 0)),
+g AS (SELECT doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM p))),
+h AS (SELECT doc_id, i, n, item_id FROM g JOIN p USING (n, s)),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM h) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS names
+       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
+}

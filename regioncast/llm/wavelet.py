@@ -112,6 +112,15 @@ class WaveletMatrix:
             at = np.where(bit, zeros + ones, at - ones)
         return got
 
+    def ranks(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Occurrences of each symbol before the position given with it."""
+        low, high = np.zeros(len(at), dtype=np.int64), np.asarray(at, dtype=np.int64)
+        for k, (plane, zeros) in enumerate(zip(self.planes, self.zeros)):
+            bit = (symbols >> (self.bits - 1 - k) & 1).astype(bool)
+            a, b = plane.rank(low), plane.rank(high)
+            low, high = np.where(bit, zeros + a, low - a), np.where(bit, zeros + b, high - b)
+        return np.where(symbols >> self.bits == 0, high - low, 0)
+
     def _down(self, symbol: int, at: np.ndarray) -> np.ndarray:
         for k, (plane, zeros) in enumerate(zip(self.planes, self.zeros)):
             ones = plane.rank(at)
