@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regioncast.llm import decontaminate, packing, simhash, suffix_dedup, wavelet
+from regioncast.llm import decontaminate, line_dedup, packing, simhash, suffix_dedup, wavelet
 from regioncast.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,6 +34,12 @@ def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their globally repeated multi-line chunks."""
+    got = line_dedup.without_repeated_chunks(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op9_radix_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents covered by 50-byte strings that also start in an earlier document."""
     got = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"), width=50)
@@ -48,7 +54,7 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_fm_decontamination, op2_best_fit_packing, op6_wavelet_tokens, op9_radix_suffix_dedup, op10_simhash_pivots)}
+QUERIES = {f.__name__: f for f in (op1_fm_decontamination, op2_best_fit_packing, op6_wavelet_tokens, op8_line_chunks, op9_radix_suffix_dedup, op10_simhash_pivots)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
