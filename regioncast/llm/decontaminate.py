@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regioncast.llm.common import narrowed, slices, small_batches
+from regioncast.llm.common import narrowed, slices, small_batches, stored
 from regioncast.llm.fm_index import SEPARATOR, FMIndex
 
 #: Text of the benchmark that is searched in one pass.
@@ -119,10 +119,10 @@ def byte_spans(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int
     return [(bounds[a][0], bounds[b - 1][1]) for a, b in spans]
 
 
-_STATE = pa.schema([("doc_id", pa.int64()), ("text", pa.binary()), ("n_words", pa.int64()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.int64()))])
-_STATE_SQL = "doc_id long, text binary, n_words long, spans array<long>, items array<long>"
-_RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())), ("removed", pa.list_(pa.int64()))])
-_RESULT_SQL = "doc_id long, n_words long, n_hit long, items array<long>, removed array<long>"
+_STATE = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("text", pa.binary()), ("n_words", pa.int64()), ("spans", pa.list_(pa.int64())), ("items", pa.list_(pa.int64()))])
+_STATE_SQL = "doc_id long, text_key long, text binary, n_words long, spans array<long>, items array<long>"
+_RESULT = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())), ("removed", pa.list_(pa.int64()))])
+_RESULT_SQL = "doc_id long, text_key long, n_words long, n_hit long, items array<long>, removed array<long>"
 
 
 def _passed(state: DataFrame, phrases: Phrases, last: bool) -> DataFrame:
@@ -136,16 +136,16 @@ def _passed(state: DataFrame, phrases: Phrases, last: bool) -> DataFrame:
             table = pa.Table.from_batches(held).to_pydict()
             counts, hits = shard_hits(table["text"], known)
             rows = []
-            for k, (doc_id, text) in enumerate(zip(table["doc_id"], table["text"])):
+            for k, (doc_id, key, text) in enumerate(zip(table["doc_id"], table["text_key"], table["text"])):
                 flat, items = table["spans"][k], set(table["items"][k])
                 spans = list(zip(flat[::2], flat[1::2]))
                 if k in hits:
                     spans, items = merged(spans + hits[k][0]), items | hits[k][1]
                 if last:
                     cut = [x for s in (byte_spans(text, spans) if spans else []) for x in s]
-                    rows.append((doc_id, counts[k], sum(b - a for a, b in spans), sorted(items), cut))
+                    rows.append((doc_id, key, counts[k], sum(b - a for a, b in spans), sorted(items), cut))
                 else:
-                    rows.append((doc_id, text, counts[k], [x for s in spans for x in s], sorted(items)))
+                    rows.append((doc_id, key, text, counts[k], [x for s in spans for x in s], sorted(items)))
             schema = _RESULT if last else _STATE
             return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
@@ -162,9 +162,9 @@ def _passed(state: DataFrame, phrases: Phrases, last: bool) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, removed) for every row of ``docs``.
+    """(doc_id, text_key, n_words, n_hit, items, removed) for every row of ``docs``.
 
-    n_hit counts words inside any occurrence of a test phrase, items are the sorted ids of items with an
+    text_key is a hash of the text, n_hit counts words inside any occurrence of a test phrase, items are the sorted ids of items with an
     occurring phrase, removed holds the merged spans as byte offsets (start, end, start, end ...) of the text.  Null,
     empty and wordless texts have no words; items with null text have no phrase; an item with a null id marks words but is not
     listed; rows that share an id are judged one by one; extra columns are ignored; an empty benchmark hits nothing.
@@ -173,7 +173,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_
     items = narrowed(benchmark, item_id="long", text="binary").where("text is not null")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    state = narrowed(docs, doc_id="long", text="binary").withColumns({
+    state = narrowed(docs, doc_id="long", text="binary").select("doc_id", F.xxhash64("text").alias("text_key"), "text").withColumns({
         "n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<long>"), "items": F.array().cast("array<long>")})
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k)
@@ -186,6 +186,14 @@ def is_contaminated(n_hit="n_hit", n_words="n_words") -> F.Column:
     return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
+    """All columns of the documents that are not contaminated; these stay as they are.  Rows are judged as by `contamination`."""
+    bad = contamination(docs, benchmark, width).where(is_contaminated()).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__bad")).distinct()
+    keyed = docs.withColumn("__key", F.xxhash64(F.col("text").cast("binary")))
+    same = (F.col("__key") == F.col("__bad")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+    return keyed.join(stored(bad, "contaminated"), same, "left_anti").drop("__key")
+
+
 def without_spans(text: bytes, removed: list[int]) -> bytes:
     """The text without its removal spans."""
     keep, at = [], 0

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regioncast.llm import decontaminate, line_dedup, packing, simhash, suffix_dedup, wavelet
+from regioncast.llm import decontaminate, langid, line_dedup, packing, quality, rules, simhash, suffix_dedup, toxicity, wavelet
 from regioncast.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,21 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of all documents by the learned lexicon, its misspellings and their context."""
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, held_fold=1, threshold=0.7)
+
+
+def op4_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents by the byte convolutional network."""
+    return langid.languages(table(spark, sf_dir, "documents"), folds=5, held_fold=0)
+
+
+def op5_qda_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents by the quadratic discriminant."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, held_fold=0, threshold=0.3)
+
+
 def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written to wavelet-matrix files and read back."""
     files = wavelet.write_token_files(table(spark, sf_dir, "documents"), TOKENIZER, end_id=2)
@@ -34,6 +49,12 @@ def op6_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_mcd_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust outlier verdict per language and source for all documents."""
+    got = rules.quality_rules(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without their globally repeated multi-line chunks."""
     got = line_dedup.without_repeated_chunks(table(spark, sf_dir, "documents"))
@@ -54,7 +75,7 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_fm_decontamination, op2_best_fit_packing, op6_wavelet_tokens, op8_line_chunks, op9_radix_suffix_dedup, op10_simhash_pivots)}
+QUERIES = {f.__name__: f for f in (op1_fm_decontamination, op2_best_fit_packing, op3_lexicon_toxicity, op4_byte_cnn_language, op5_qda_quality, op6_wavelet_tokens, op7_mcd_rules, op8_line_chunks, op9_radix_suffix_dedup, op10_simhash_pivots)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 

@@ -61,15 +61,16 @@ def fingerprint(text: bytes, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 4) -> DataFrame:
-    """(doc_id, fp): the whole text's 64-bit fingerprint as a signed long; null and wordless texts have 0."""
+    """(doc_id, text_key, fp): the whole text's 64-bit fingerprint as a signed long; null and wordless texts have 0."""
     small_batches(docs.sparkSession)
 
     def compute(batches):
         for batch in slices(batches, "text"):
             fps = np.array([fingerprint(x or b"", shingle_words) for x in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(fps.view(np.int64))], names=["doc_id", "text_key", "fp"])
 
-    return narrowed(docs, doc_id="long", text="binary").mapInArrow(compute, "doc_id long, fp long")
+    keyed = narrowed(docs, doc_id="long", text="binary").withColumn("text_key", F.xxhash64("text"))
+    return keyed.mapInArrow(compute, "doc_id long, text_key long, fp long")
 
 
 def _block_masks(blocks: int, shared: int) -> list[int]:
@@ -190,28 +191,31 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, blocks: int = BLOCKS, p
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) for every document: component_id is the smallest doc_id reachable by links.
+    """(doc_id, text_key, fp, component_id, first_key) for every document.
 
-    Null and wordless texts have fingerprint 0 and link like any other; rows with the same doc_id stay rows; a null
-    doc_id is never a component_id unless its whole component has none; extra columns are ignored; no rows give no rows.
+    component_id is the smallest doc_id reachable by links, first_key the text_key (hash of the text) of that document.  Null and wordless texts
+    have fingerprint 0 and link like any other; rows with the same doc_id stay rows; a null doc_id counts as larger than any other, so
+    component_id is null only where a whole component has none; extra columns are ignored; no rows give no rows.
     """
     docs_fp = stored(fingerprints(docs, shingle_words), "fingerprints")
-    fps = stored(docs_fp.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
+    fps = stored(docs_fp.groupBy("fp").agg(first.alias("first")), "distinct")
     roots = stored(connected_components(fingerprint_links(fps.select("fp"), max_bits)), "roots")
-    rooted = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
-    named = stored(rooted.join(ids, "root").select("fp", "component_id"), "named")
-    return docs_fp.join(named, "fp").select("doc_id", "fp", "component_id")
+    rooted = stored(fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
+    ids = stored(rooted.groupBy("root").agg(F.min("first").alias("first")), "ids")
+    named = rooted.select("fp", "root").join(ids, "root").select("fp", F.col("first.doc_id").alias("component_id"), F.col("first.text_key").alias("first_key"))
+    return docs_fp.join(stored(named, "named"), "fp").select("doc_id", "text_key", "fp", "component_id", "first_key")
 
 
 def first_of_each_group(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
     """The documents with one row of each near-duplicate group: that with the smallest doc_id.
 
-    Rows that share this doc_id are told apart by their texts' hashes, and identical rows by a number, so one stays.
+    Of rows that share this doc_id the text with the smallest hash stays, and of identical rows one.
     """
     groups = near_duplicates(docs, shingle_words, max_bits)
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    keep = stored(keep, "keep")
-    left = docs.join(keep.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return left.withColumn("copy_number", F.row_number().over(one)).where("copy_number = 1").drop("copy_number")
+    keep = groups.select(F.coalesce("component_id", F.lit(0)).alias("__id"), F.col("component_id").isNull().alias("__none"), F.col("first_key").alias("__key")).distinct()
+    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__none": F.col("doc_id").isNull(), "__key": F.xxhash64(F.col("text").cast("binary"))})
+    keys = ["__id", "__none", "__key"]
+    one = Window.partitionBy(*keys).orderBy("__key")
+    left = keyed.join(stored(keep, "keep"), keys, "left_semi").withColumn("__copy", F.row_number().over(one))
+    return left.where("__copy = 1").drop(*keys, "__copy")

@@ -45,7 +45,7 @@ def _check(rows, texts):
     fps = [brute_fingerprint(t) for _, t in texts]
     comp = brute_components(fps, ids)
     want = Counter((d, f"{f:016x}", c) for d, f, c in zip(ids, fps, comp))
-    assert Counter((r[0], r[1] if isinstance(r[1], str) else f"{r[1] % (1 << 64):016x}", r[2]) for r in rows) == want
+    assert Counter((r.doc_id, r.fingerprint if "fingerprint" in r else f"{r.fp % (1 << 64):016x}", r.component_id) for r in rows) == want
 
 
 def test_op10_whole_table(spark):
