@@ -127,17 +127,18 @@ def without_repeated_chunks(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]
     names = [f.name for f in kept]
-    drops = stored(repeated_chunks(docs), "drops").toDF("__id", "__key", "__drops")
-    keyed = docs.select(*names).withColumn("__text", F.col("text").cast("binary")).withColumn("__own", F.xxhash64("__text"))
+    # The drops grow with the corpus: they are never broadcast, whatever their size here.
+    drops = stored(repeated_chunks(docs), "drops").toDF("__id", "__key", "__drops").hint("merge")
+    keyed = docs.select(*names).withColumn("text", F.col("text").cast("string")).withColumn("__own", F.xxhash64(F.col("text").cast("binary")))
     found = keyed.join(drops, (F.col("__own") == F.col("__key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left")
     out = T.StructType([T.StructField("text", T.StringType()) if f.name == "text" else f for f in kept]
                        + [T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
 
     def cut(batches):
-        for batch in slices(batches, "__text"):
-            rows = [kept_text(t, d or []) for t, d in zip(batch.column("__text").to_pylist(), batch.column("__drops").to_pylist())]
+        for batch in slices(batches, "text"):
+            rows = [kept_text(t, d or []) for t, d in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("__drops").to_pylist())]
             texts, lines, gone = zip(*rows)
             columns = [pa.array([None if t is None else t.decode("utf-8", "replace") for t in texts], type=pa.string()) if n == "text" else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, type=pa.int64()), pa.array(gone, type=pa.int64())], names=[*names, "n_lines", "n_removed"])
 
-    return found.select(*names, "__text", "__drops").mapInArrow(cut, out)
+    return found.select(*names, "__drops").mapInArrow(cut, out)
