@@ -2,15 +2,15 @@
 or composite query, run on the stand-in views of the driver's tables.
 
 Every query reads whole tables; the only parameters are the fixed date
-bounds (1997 standing in for 2021) and, for the cell operators, the split
-of the event stream into two put batches at a point in time.
+bounds (1997 standing in for 2021), the split of the events into two put batches
+by the parity of their id, and for key lookups and deletes the list of keys (the suppliers').
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regioncast.functions.calendar import (
@@ -23,10 +23,9 @@ from regioncast.functions.calendar import (
     month_number,
     month_start,
     next_month_start,
-    parse_day,
 )
 from regioncast.functions.names import normalise_names
-from regioncast.operators.aggregate import sum_by
+from regioncast.operators.aggregate import count_by, sum_by
 from regioncast.operators.cells import (
     cell_history,
     delete_cells,
@@ -35,10 +34,13 @@ from regioncast.operators.cells import (
     resolve_versions,
     scan_cells,
 )
-from regioncast.operators.clustering import cluster_cost
-from regioncast.operators.filters import between_days
+from regioncast.operators.clustering import cluster_cost, vectors
+from regioncast.operators.filters import between_days, unreadable_days
 from regioncast.operators.forecast import predict_linear
 from regioncast.plans.exports import (
+    CLUSTER,
+    COST,
+    PERFORMANCE,
     export_q1_cells,
     export_q2_cells,
     export_q3_cluster_cells,
@@ -51,22 +53,20 @@ from regioncast.plans.query2 import band_month_forecasts, daily_band_totals, qua
 from regioncast.plans.query3 import area_forecasts, cluster_areas, coverage_share
 from regioncast.plans.run import run_all
 from regioncast.session import shared_dir
-from regioncast.sinks.files import compact, write_cells, write_csv, write_result
+from regioncast.sinks.files import compact, write_csv, write_result
 from regioncast.sources import tables as T
-from regioncast.sources.files import by_position, ingest_csv
+from regioncast.sources.files import REFERENCE_FILES, by_position, ingest_csv, read_inputs, read_result
 from regioncast.streaming.ingest import ingest_csv_stream
 
 # Version stamp of exported cells in the registered queries (a fixed batch
 # number keeps the output comparable run to run).
 EXPORT_TS = 1
-# Point in time splitting the event stream into two put batches.
-EVENT_SPLIT = "2024-01-16 00:00:00"
-# Column deleted for every user in ``cells_deleted`` and scanned in ``cells_scan``.
-EVENT_COLUMN = "purchase"
+# Column deleted for every user in ``cells_deleted`` and ``cells_deleted_all``, and scanned in ``cells_scan``.
+EVENT_FAMILY, EVENT_COLUMN = "web", "click"
+# Repair rules of ``names_repaired``: they meet the stand-in names, several at once in some.
+NAME_RULES = [("_1", "Uno / One"), ("2", "Due / Two")]
 
 DAILY_TOTALS_SCHEMA = "day STRING, total BIGINT, area STRING"
-# Upper bound on the one-shot (availableNow) ingest stream of ``stream_ingested``.
-STREAM_TIMEOUT_SEC = 900
 
 
 # ---- Query 1 and its parts -------------------------------------------------
@@ -95,22 +95,26 @@ def q_totals_by_area(spark: SparkSession, sf: str) -> DataFrame:
     return sum_by(rows, "area", "total")
 
 
+def _text_day(df: DataFrame) -> DataFrame:
+    return df.withColumn("day", day_string("day"))
+
+
 def q_filter_open(spark: SparkSession, sf: str) -> DataFrame:
-    return between_days(T.daily_totals(spark, sf), "day", B["last_december"], B["first_june"],
-                        lo_open=True, hi_open=True)
+    return _text_day(between_days(T.daily_totals(spark, sf), "day", B["last_december"], B["first_june"],
+                                  lo_open=True, hi_open=True))
 
 
 def q_filter_half_open(spark: SparkSession, sf: str) -> DataFrame:
-    return between_days(T.doses_by_band(spark, sf), "day", B["first_february"], B["first_june"],
-                        lo_open=False, hi_open=True)
+    return _text_day(between_days(T.doses_by_band(spark, sf), "day", B["first_february"], B["first_june"],
+                                  lo_open=False, hi_open=True))
 
 
 def q_filter_upper(spark: SparkSession, sf: str) -> DataFrame:
-    return between_days(T.daily_totals(spark, sf), "day", None, B["first_june"])
+    return _text_day(between_days(T.daily_totals(spark, sf), "day", None, B["first_june"]))
 
 
 def q_calendar_fields(spark: SparkSession, sf: str) -> DataFrame:
-    days = T.daily_totals(spark, sf).select(parse_day("day").alias("d")).distinct()
+    days = T.daily_totals(spark, sf).select(F.col("day").alias("d")).distinct()
     return days.select(
         day_string("d").alias("day"),
         day_string(month_start("d")).alias("month_start"),
@@ -127,7 +131,47 @@ def q_calendar_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_names_repaired(spark: SparkSession, sf: str) -> DataFrame:
-    return normalise_names(T.population(spark, sf), "area")
+    return normalise_names(T.population(spark, sf), "area", NAME_RULES)
+
+
+def _days_as_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily totals with days as text, as raw files have them; the 31st of a month is written unreadably."""
+    text = day_string("day")
+    return T.daily_totals(spark, sf).withColumn("day", F.when(F.dayofmonth("day") == 31, F.concat(F.left(text, F.lit(8)), F.lit("xx"))).otherwise(text))
+
+
+def q1_lenient_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Query 1 on text days, some of them unreadable: ``lenient`` leaves their rows out."""
+    return avg_daily_doses_per_centre(_days_as_text(spark, sf), T.centres(spark, sf),
+                                      B["last_december"], B["first_june"], parse_mode="lenient")
+
+
+def q_predict_area_lenient(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals and forecasts per area on text days, some of them unreadable."""
+    return area_forecasts(_days_as_text(spark, sf), B["first_june"], parse_mode="lenient")
+
+
+def q_unreadable_days(spark: SparkSession, sf: str) -> DataFrame:
+    """How many rows ``lenient`` leaves out, per area."""
+    return count_by(unreadable_days(_days_as_text(spark, sf)), "area", "rows_left_out")
+
+
+def _positions(result: DataFrame) -> DataFrame:
+    """The result with each row's place in the order in which it comes."""
+    placed = result.withColumn("_at", F.monotonically_increasing_id())
+    return placed.withColumn("place", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+
+
+def q1_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    return _positions(q1_avg_daily_per_centre(spark, sf))
+
+
+def q_top5_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    return _positions(_top5("strict")(spark, sf))
+
+
+def q_coverage_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    return _positions(q_coverage_share(spark, sf))
 
 
 # ---- Query 2 and its parts -------------------------------------------------
@@ -164,7 +208,7 @@ def q_predict_area(spark: SparkSession, sf: str) -> DataFrame:
 def q_predict_area_float(spark: SparkSession, sf: str) -> DataFrame:
     """Float least squares (regr_slope / regr_intercept) per area, before the cut-off day."""
     rows = between_days(T.daily_totals(spark, sf), "day", None, B["first_june"])
-    fit = predict_linear(rows, ["area"], x=day_x(parse_day("day")), y=F.col("total"),
+    fit = predict_linear(rows, ["area"], x=day_x("day"), y=F.col("total"),
                          at=day_x(F.to_date(F.lit(B["first_june"]))), exact=False, keep_sums=True)
     return fit.select("area", F.col("_n").alias("n_points"), F.round("_slope", 6).alias("slope"),
                       F.round("_intercept", 6).alias("intercept"))
@@ -211,19 +255,76 @@ def q_model_report(spark: SparkSession, sf: str) -> DataFrame:
     return _sweep(spark, sf, ("K-MEANS", "K-MEANS-BISECTING"))[1]
 
 
+def q_sweep_structure(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of every (model, k) of the sweep: points, clusters, labels that are ordered intervals, and a reported
+    cost that equals the cost of the labels."""
+    clusters, report = _sweep(spark, sf, ("K-MEANS", "K-MEANS-BISECTING"))
+    run = ["modello", "k"]
+    spans = clusters.groupBy(*run, "cluster").agg(F.count("*").alias("n"), F.min("percentuale_vaccinati").alias("low"),
+                                                  F.max("percentuale_vaccinati").alias("high"))
+    before = F.lag("high").over(Window.partitionBy(*run).orderBy("cluster"))
+    shape = spans.withColumn("apart", F.coalesce(before < F.col("low"), F.lit(True))).groupBy(*run).agg(
+        F.sum("n").alias("points"), F.count("*").alias("clusters"), F.bool_and("apart").alias("ordered_intervals"))
+    points = vectors(clusters.withColumn("label", F.struct(*run, "cluster")), ["percentuale_vaccinati"])
+    cost = cluster_cost(points, "features", "label").groupBy("label.modello", "label.k").agg(F.sum("cost").alias("cost"))
+    same = F.abs(F.col("cost") - F.col("cost_WSSSE")) <= 1e-9 * F.col("cost_WSSSE")
+    return (shape.join(cost, run).join(report, run)
+            .select(*run, "points", "clusters", "ordered_intervals", same.alias("cost_of_labels")))
+
+
 # ---- Cells -----------------------------------------------------------------
 
 def q_cells_q1(spark: SparkSession, sf: str) -> DataFrame:
     return export_q1_cells(q1_avg_daily_per_centre(spark, sf), EXPORT_TS)
 
 
+def _reference_files(spark: SparkSession, sf: str, folder: str) -> dict[str, DataFrame]:
+    """The four inputs written in the reference's column layout and read back by position."""
+    day, filler = day_string("day").alias("giorno"), F.lit("-")
+    daily, doses = T.daily_totals(spark, sf), T.doses_by_band(spark, sf)
+    tables = {
+        "daily_totals": daily.select(day, filler.alias("c1"), F.col("total").alias("totale"), filler.alias("c3"), F.col("area").alias("nome")),
+        "centres": T.centres(spark, sf).select("centre", filler.alias("c1"), F.col("area").alias("nome")),
+        "doses_by_band": doses.select(day, F.col("brand").alias("fornitore"), filler.alias("c2"), F.col("band").alias("fascia"),
+                                      F.lit(0).alias("c4"), F.col("n").alias("donne"), F.col("area").alias("nome")),
+        "population": T.population(spark, sf).select("area", "people", filler.alias("c2")),
+    }
+    for role, df in tables.items():
+        write_result(df, folder, REFERENCE_FILES[role])
+    return read_inputs(spark, folder)
+
+
+def _full_run(spark: SparkSession, sf: str, *queries: str) -> tuple[str, dict[str, str]]:
+    folder = shared_dir(spark, "full-run")
+    inputs = _reference_files(spark, sf, f"{folder}/input")
+    return f"{folder}/out", run_all(spark, inputs, f"{folder}/out", bounds=B, ts=EXPORT_TS, queries=queries)
+
+
 def q_full_run_cells_q1(spark: SparkSession, sf: str) -> DataFrame:
-    """The full run (Z5) for query 1: result written, read back and exported as cells."""
-    inputs = {"daily_totals": T.daily_totals(spark, sf), "centres": T.centres(spark, sf)}
-    paths = run_all(spark, inputs, shared_dir(spark, "full-run"), bounds=B, ts=EXPORT_TS, queries=("q1",))
+    """The full run (Z5) of query 1 from files read by position: result written, read back and exported as cells."""
+    _, paths = _full_run(spark, sf, "q1")
     return spark.read.parquet(paths["cells_q1"])
 
 
+def q_full_run_cells_q2(spark: SparkSession, sf: str) -> DataFrame:
+    """The same of query 2."""
+    _, paths = _full_run(spark, sf, "q2")
+    return spark.read.parquet(paths["cells_q2"])
+
+
+def q_full_run_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """The full run of all three queries; the saved shares of query 3."""
+    out, _ = _full_run(spark, sf, "q1", "q2", "q3")
+    return read_result(spark, "query3_results", out)
+
+
+def q_full_run_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """The full run of query 3; areas and clusters in the saved cluster table, per model and k."""
+    out, _ = _full_run(spark, sf, "q3")
+    saved = read_result(spark, "query3_cluster", out)
+    return saved.groupBy("modello", "k").agg(F.countDistinct("regione").alias("areas"), F.countDistinct("cluster").alias("clusters"))
+
+
 def q_cells_q2(spark: SparkSession, sf: str) -> DataFrame:
     return export_q2_cells(_top5("strict")(spark, sf), EXPORT_TS)
 
@@ -241,52 +342,75 @@ def q_cells_q3_cluster(spark: SparkSession, sf: str) -> DataFrame:
     return export_q3_cluster_cells(clusters, EXPORT_TS)
 
 
-def _event_batches(spark: SparkSession, sf: str):
-    """Events before / from the split time, as two batches of cells (split on the raw timestamp)."""
-    split = F.lit(EVENT_SPLIT).cast("timestamp_ntz")
-    return (T.event_cells(spark, sf, where=F.col("ts") < split),
-            T.event_cells(spark, sf, where=F.col("ts") >= split))
+def q_cells_q3_model_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The model export without what differs from run to run or is not for SQL to say: times and costs."""
+    return q_cells_q3_model(spark, sf).where(~F.col("qualifier").isin(PERFORMANCE, COST))
+
 
+def q_cells_q3_cluster_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """The cluster export without the labels."""
+    return q_cells_q3_cluster(spark, sf).where(F.col("qualifier") != CLUSTER)
 
-def _put_both(spark: SparkSession, sf: str):
-    """The first event batch as a table (versions resolved), then the second put into it."""
-    first, second = _event_batches(spark, sf)
-    return put_cells(resolve_versions(first), second)
 
+def _event_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The events of even id as a table, those of odd id put into it."""
+    return put_cells(resolve_versions(T.event_cells(spark, sf, 0), "seq"), T.event_cells(spark, sf, 1), "seq")
 
-def _event_table(spark: SparkSession, sf: str):
-    """The two put batches resolved into one stored cell table.
 
-    Like a key-value table, the result is written (to the shared folder) and
-    read back, so the operations below scan a stored table once or twice
-    instead of re-running the puts inside every branch of their plans.
-    """
-    path = write_cells(_put_both(spark, sf), shared_dir(spark, "cells"), "events")
-    return spark.read.parquet(path)
+def _supplier_keys(spark: SparkSession, sf: str, family: str | None = None) -> DataFrame:
+    keys = T.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("row_key"))
+    return keys.withColumn("family", F.lit(family)) if family else keys
 
 
 def q_cells_put(spark: SparkSession, sf: str) -> DataFrame:
-    return _put_both(spark, sf)
+    return _event_table(spark, sf)
 
 
 def q_cells_latest(spark: SparkSession, sf: str) -> DataFrame:
     return latest_cells(_event_table(spark, sf))
 
 
+def q_cells_get(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest values of the rows of a key list."""
+    return latest_cells(_event_table(spark, sf), keys=_supplier_keys(spark, sf))
+
+
 def q_cells_history(spark: SparkSession, sf: str) -> DataFrame:
-    # History of every cell that received a version in the second batch.
-    _, second = _event_batches(spark, sf)
-    return cell_history(_event_table(spark, sf), keys=second.select("row_key", "family", "qualifier"))
+    """All versions of one family of the rows of a key list."""
+    return cell_history(_event_table(spark, sf), keys=_supplier_keys(spark, sf, EVENT_FAMILY))
+
+
+def _event_columns(spark: SparkSession, sf: str) -> DataFrame:
+    cells = T.event_cells(spark, sf)
+    return cells.where(F.col("qualifier") == EVENT_COLUMN).select("row_key", "family", "qualifier").distinct()
 
 
 def q_cells_deleted(spark: SparkSession, sf: str) -> DataFrame:
-    table = _event_table(spark, sf)
-    targets = table.where(F.col("qualifier") == EVENT_COLUMN).select("row_key", "family", "qualifier")
-    return delete_cells(table, targets, versions="latest")
+    """A column of every row deleted: its newest version goes."""
+    return delete_cells(_event_table(spark, sf), _event_columns(spark, sf), versions="latest")
+
+
+def q_cells_deleted_all(spark: SparkSession, sf: str) -> DataFrame:
+    """A column of every row deleted with all versions."""
+    return delete_cells(_event_table(spark, sf), _event_columns(spark, sf), versions="all")
+
+
+def q_cells_deleted_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of a key list deleted."""
+    return delete_cells(_event_table(spark, sf), _supplier_keys(spark, sf))
+
+
+def q_cells_deleted_family(spark: SparkSession, sf: str) -> DataFrame:
+    """One family of the rows of a key list deleted."""
+    return delete_cells(_event_table(spark, sf), _supplier_keys(spark, sf, EVENT_FAMILY))
 
 
 def q_cells_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return scan_cells(_event_table(spark, sf), family="ev", qualifier=EVENT_COLUMN)
+    return scan_cells(_event_table(spark, sf), family=EVENT_FAMILY, qualifier=EVENT_COLUMN)
+
+
+def q_cells_scan_family(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_cells(_event_table(spark, sf), family=EVENT_FAMILY)
 
 
 # ---- Sources and sinks -------------------------------------------------------
@@ -298,7 +422,7 @@ def q_position_scan(spark: SparkSession, sf: str) -> DataFrame:
 def q_csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "csv-round-trip")
     path = write_csv(T.daily_totals(spark, sf), folder, "daily_totals")
-    return ingest_csv(spark, path, DAILY_TOTALS_SCHEMA)
+    return ingest_csv(spark, path, DAILY_TOTALS_SCHEMA, dst=f"{folder}/parquet")
 
 
 def q_stream_ingested(spark: SparkSession, sf: str) -> DataFrame:
@@ -306,24 +430,39 @@ def q_stream_ingested(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "stream-ingest")
     src = write_csv(T.daily_totals(spark, sf), folder, "incoming")
     query = ingest_csv_stream(spark, src, DAILY_TOTALS_SCHEMA, f"{folder}/parquet", f"{folder}/checkpoint")
-    if not query.awaitTermination(STREAM_TIMEOUT_SEC):
-        query.stop()
-        raise TimeoutError(f"ingest stream did not finish within {STREAM_TIMEOUT_SEC} s")
+    query.awaitTermination()
     return spark.read.parquet(f"{folder}/parquet")
 
 
 def q_compacted(spark: SparkSession, sf: str) -> DataFrame:
     folder = shared_dir(spark, "compaction")
-    daily = T.daily_totals(spark, sf)
+    daily = _text_day(T.daily_totals(spark, sf))
     staging = f"{folder}/staging"
     # Two appends, as results arrive in the reference, then one compaction.
     write_result(daily.where(F.col("day") < "1998-01-01"), folder, "staging", mode="append")
     write_result(daily.where(F.col("day") >= "1998-01-01"), folder, "staging", mode="append")
-    return compact(spark, staging, f"{folder}/compacted", num_files=1)
+    return compact(spark, staging, f"{folder}/compacted")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1_avg_daily_per_centre": q1_avg_daily_per_centre,
+    "q1_in_order": q1_in_order,
+    "q1_lenient_days": q1_lenient_days,
+    "predict_area_lenient": q_predict_area_lenient,
+    "unreadable_days": q_unreadable_days,
+    "top5_in_order": q_top5_in_order,
+    "coverage_in_order": q_coverage_in_order,
+    "sweep_structure": q_sweep_structure,
+    "full_run_cells_q2": q_full_run_cells_q2,
+    "full_run_shares": q_full_run_shares,
+    "full_run_clusters": q_full_run_clusters,
+    "cells_q3_model_keys": q_cells_q3_model_keys,
+    "cells_q3_cluster_keys": q_cells_q3_cluster_keys,
+    "cells_get": q_cells_get,
+    "cells_deleted_all": q_cells_deleted_all,
+    "cells_deleted_rows": q_cells_deleted_rows,
+    "cells_deleted_family": q_cells_deleted_family,
+    "cells_scan_family": q_cells_scan_family,
     "centres_per_area": q_centres_per_area,
     "totals_by_month_area": q_totals_by_month_area,
     "totals_by_day_area_band": q_totals_by_day_area_band,

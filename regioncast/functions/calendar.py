@@ -61,19 +61,32 @@ def month_number(d: str | Column) -> Column:
     return F.month(_col(d))
 
 
-def month_label(d: str | Column, lang: str = "it") -> Column:
-    """Month name of a date: Italian (reference output) or upper-case English."""
+def month_label(d: str | Column, lang: str = "it", year: bool = False) -> Column:
+    """Month name of a date: Italian (reference output) or upper-case English; ``year`` adds the year."""
     d = _col(d)
     if lang == "it":
-        return F.element_at(F.array(*[F.lit(m) for m in ITALIAN_MONTHS]), F.month(d))
-    if lang == "en":
-        return F.upper(F.date_format(d, "MMMM"))
-    raise ValueError(f"unknown month label language {lang!r}")
+        name = F.element_at(F.array(*[F.lit(m) for m in ITALIAN_MONTHS]), F.month(d))
+    elif lang == "en":
+        name = F.upper(F.date_format(d, "MMMM"))
+    else:
+        raise ValueError(f"unknown month label language {lang!r}")
+    return F.concat(name, F.lit(" "), F.year(d).cast("string")) if year else name
 
 
-def first_day_label(d: str | Column, lang: str = "it") -> Column:
+def first_day_label(d: str | Column, lang: str = "it", year: bool = False) -> Column:
     """``'1 ' + month name`` of a date's month."""
-    return F.concat(F.lit("1 "), month_label(d, lang))
+    return F.concat(F.lit("1 "), month_label(d, lang, year))
+
+
+def spans_years(lo: str | None, hi: str | None) -> bool:
+    """Whether a window of days can hold one month of two years, so that labels need the year.
+
+    A window of at most twelve months (and the day before it, for an open bound) has each month once.
+    """
+    if lo is None or hi is None:
+        return True
+    (y0, m0, _), (y1, m1, _) = (map(int, x.split("-")) for x in (lo, hi))
+    return 12 * (y1 - y0) + m1 - m0 > 12
 
 
 def days_in_month(d: str | Column) -> Column:

@@ -8,11 +8,11 @@ transformation over whole tables, so puts, gets, deletes and scans run as
 distributed aggregates and joins.
 
 Skew: a single hot cell may hold a large share of all versions.  Latest
-values are max-aggregates (partial aggregation before the shuffle), the
-history is returned one row per version (never collected into one list),
-and puts, key lookups and deletes join the table with the (usually small)
-batch or key list, broadcast after a row count; beyond the bound they are
-shuffle joins that AQE can split when one key is skewed.
+values are max-aggregates (partial aggregation before the shuffle), and the
+history is returned one row per version (never collected into one list).
+Puts, key lookups and deletes are plain joins with the batch or key list:
+Spark broadcasts a side only below its byte threshold, and AQE splits a
+skewed key of a shuffle join.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from regioncast.operators.joins import join_small
-
 CELL_COLUMNS = ("row_key", "family", "qualifier", "ts", "value")
 CELL_SCHEMA = StructType([
     StructField("row_key", StringType(), False),
@@ -39,14 +37,14 @@ CELL_ID = ("row_key", "family", "qualifier")
 KEY_SEP = "/"
 
 
-def check_cells(df: DataFrame, what: str = "cells") -> DataFrame:
-    """Schema check of a cell table (replaces the reference's triple count check)."""
+def check_cells(df: DataFrame, what: str = "cells", keep: Sequence[str] = ()) -> DataFrame:
+    """Schema check of a cell table (replaces the reference's triple count check); ``keep`` names further columns."""
     missing = [c for c in CELL_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"{what}: missing cell column(s) {', '.join(missing)}")
     return df.select(
         F.col("row_key").cast("string"), F.col("family").cast("string"),
-        F.col("qualifier").cast("string"), F.col("ts").cast("bigint"), F.col("value").cast("string"))
+        F.col("qualifier").cast("string"), F.col("ts").cast("bigint"), F.col("value").cast("string"), *keep)
 
 
 def empty_cells(spark) -> DataFrame:
@@ -60,9 +58,12 @@ def to_cells(df: DataFrame, key_cols: Sequence[str], family: str,
     Row key: the key columns as text joined with ``/``; one cell per
     ``qualifier -> column``, the value as text (Spark prints doubles the
     way Java does, e.g. ``7.134186056607093E-4``).  The key parts stay
-    readable as their own cells, so keys are never parsed back (B13).
+    readable as their own cells, so keys are never parsed back (B13).  A NULL
+    key part fails the query: without it two keys could become one.
     """
-    key = F.concat_ws(KEY_SEP, *[F.col(c).cast("string") for c in key_cols])
+    parts = [F.when(F.col(c).isNull(), F.raise_error(F.lit(f"NULL in key column '{c}'")).cast("string")).otherwise(F.col(c).cast("string"))
+             for c in key_cols]
+    key = F.concat_ws(KEY_SEP, *parts)
     wide = df.select(key.alias("row_key"), *[
         (F.col(src) if isinstance(src, str) else src).cast("string").alias(q)
         for q, src in qualifiers.items()])
@@ -71,44 +72,44 @@ def to_cells(df: DataFrame, key_cols: Sequence[str], family: str,
                        F.lit(int(ts)).cast("bigint").alias("ts"), "value")
 
 
-def resolve_versions(cells: DataFrame) -> DataFrame:
-    """One row per (row_key, family, qualifier, ts): duplicates of a version
-    resolve to the greatest value (a partial/final max aggregate)."""
-    cells = check_cells(cells)
-    return (cells.groupBy(*CELL_ID, "ts").agg(F.max("value").alias("value"))
-            .select(*CELL_COLUMNS))
+def resolve_versions(cells: DataFrame, order: str | None = None) -> DataFrame:
+    """One row per (row_key, family, qualifier, ts): of several writes of a
+    version the last one stays.
+
+    ``order`` names a column that numbers the writes; without it the
+    greatest value stands for the last write.
+    """
+    picked = check_cells(cells)
+    if order is None:
+        value = F.max("value")
+    else:
+        picked = check_cells(cells, keep=(order,))
+        value = F.max_by("value", order)
+    return picked.groupBy(*CELL_ID, "ts").agg(value.alias("value")).select(*CELL_COLUMNS)
 
 
-def put_cells(cells: DataFrame, new: DataFrame, max_batch_rows: int = 200_000) -> DataFrame:
+def put_cells(cells: DataFrame, new: DataFrame, order: str | None = None) -> DataFrame:
     """Put new cells (C2): new versions are added; a put on an existing
     (row_key, family, qualifier, ts) replaces that version.
 
     ``cells`` is a stored table (one row per version, as every put leaves
-    it).  Only the batch is shuffled: its duplicates resolve to the greatest
-    value, the old versions it replaces are dropped with an anti-join (the
-    batch's version keys are broadcast when their count is within
-    ``max_batch_rows``), and the resolved batch is appended.  The stored
-    table is never re-shuffled for a put.
+    it).  Writes of one version inside the batch resolve to the last one by
+    ``order``; the old versions that the batch replaces are dropped with an
+    anti-join on the version keys, and the resolved batch is appended.
     """
     old = check_cells(cells, "cells")
-    # Persisted once: the broadcast keys and the appended rows both read it.
-    batch = resolve_versions(check_cells(new, "new cells")).persist()
-    replaced = batch.select(*CELL_ID, "ts")
-    kept = join_small(old, replaced, on=list(CELL_ID) + ["ts"], how="left_anti", max_rows=max_batch_rows)
+    batch = resolve_versions(new, order)
+    kept = old.join(batch.select(*CELL_ID, "ts"), on=[*CELL_ID, "ts"], how="left_anti")
     return kept.unionByName(batch)
 
 
-# Largest key / target list broadcast to the cell table after a row count.
-MAX_KEY_ROWS = 200_000
-
-
 def _restrict(cells: DataFrame, keys: DataFrame | None) -> DataFrame:
     if keys is None:
         return cells
     on = [c for c in CELL_ID if c in keys.columns]
     if not on:
         raise ValueError("keys must have row_key and optionally family, qualifier")
-    return join_small(cells, keys.select(*on).distinct(), on=on, how="left_semi", max_rows=MAX_KEY_ROWS)
+    return cells.join(keys.select(*on), on=on, how="left_semi")
 
 
 def latest_cells(cells: DataFrame, keys: DataFrame | None = None) -> DataFrame:
@@ -122,11 +123,12 @@ def latest_cells(cells: DataFrame, keys: DataFrame | None = None) -> DataFrame:
             .select(*CELL_ID, F.col("_v.ts").alias("ts"), F.col("_v.value").alias("value")))
 
 
-def cell_history(cells: DataFrame, keys: DataFrame | None = None, ordered: bool = True) -> DataFrame:
+def cell_history(cells: DataFrame, keys: DataFrame | None = None, ordered: bool = False) -> DataFrame:
     """All versions of the selected cells, one row per version (C4).
 
     The reference returns a ``ts -> value`` map per cell; a version list can
-    be arbitrarily long, so it stays in rows (sorted by cell, then ts).
+    be arbitrarily long, so it stays in rows; ``ordered`` sorts the whole
+    result by cell, then ts.
     """
     hist = _restrict(cells, keys).select(*CELL_COLUMNS)
     return hist.orderBy(*CELL_ID, "ts") if ordered else hist
@@ -145,12 +147,11 @@ def delete_cells(cells: DataFrame, targets: DataFrame, versions: str = "latest")
     on = [c for c in CELL_ID if c in targets.columns]
     if on[:1] != ["row_key"] or on != list(CELL_ID[:len(on)]):
         raise ValueError("targets need row_key, then optionally family, then qualifier")
-    wanted = targets.select(*on).distinct()
+    wanted = targets.select(*on)
     if versions == "all" or len(on) < 3:
-        return join_small(cells, wanted, on=on, how="left_anti", max_rows=MAX_KEY_ROWS)
-    newest = (join_small(cells, wanted, on=on, how="left_semi", max_rows=MAX_KEY_ROWS)
-              .groupBy(*CELL_ID).agg(F.max("ts").alias("ts")))
-    return join_small(cells, newest, on=list(CELL_ID) + ["ts"], how="left_anti", max_rows=MAX_KEY_ROWS)
+        return cells.join(wanted, on=on, how="left_anti")
+    newest = cells.join(wanted, on=on, how="left_semi").groupBy(*CELL_ID).agg(F.max("ts").alias("ts"))
+    return cells.join(newest, on=[*CELL_ID, "ts"], how="left_anti")
 
 
 def scan_cells(cells: DataFrame, family: str | None = None, qualifier: str | None = None) -> DataFrame:

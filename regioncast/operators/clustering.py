@@ -41,33 +41,9 @@ def kmeans_fit(df: DataFrame, k: int, max_iter: int = 100, seed: int = 1, featur
     return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features).fit(df)
 
 
-def _same_model(a, b) -> bool:
-    ca, cb = a.clusterCenters(), b.clusterCenters()
-    return len(ca) == len(cb) and all((x == y).all() for x, y in zip(ca, cb))
-
-
-def bisecting_fit(df: DataFrame, k: int, max_iter: int = 100, seed: int = 1, features: str = "features",
-                  probe_iter: int | None = 5):
-    """Bisecting k-means with an iteration budget of ``max_iter`` per split (M3).
-
-    Spark's ``BisectingKMeans`` has no convergence stop: every split runs the
-    whole budget, and with a fixed seed a shorter run follows the same
-    trajectory as a longer one.  Iterations after a split has settled change
-    nothing, so the fit first runs with a budget ``m`` and with ``m + 1``:
-    equal models mean every split had settled by iteration ``m``, and the
-    result equals the one with the full budget.  Otherwise ``m`` doubles, up
-    to ``max_iter``.  ``probe_iter=None`` always runs the full budget.
-    """
-    def fit(iters: int):
-        return BisectingKMeans(k=k, maxIter=iters, seed=seed, featuresCol=features).fit(df)
-
-    m = probe_iter
-    while m is not None and m + 1 < max_iter:
-        shorter, longer = fit(m), fit(m + 1)
-        if _same_model(shorter, longer):
-            return longer
-        m *= 2
-    return fit(max_iter)
+def bisecting_fit(df: DataFrame, k: int, max_iter: int = 100, seed: int = 1, features: str = "features"):
+    """Bisecting k-means with ``max_iter`` iterations per split (M3); Spark runs all of them at every split."""
+    return BisectingKMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features).fit(df)
 
 
 def centre_order(centers) -> list[int]:
@@ -121,39 +97,39 @@ def _fit(model_name: str, data: DataFrame, k: int, max_iter: int, seed: int, bis
 def kmeans_sweep(points: DataFrame, key: str, value: str, ks: Sequence[int] = (2, 3, 4, 5),
                  models: Sequence[str] = ("K-MEANS", "K-MEANS-BISECTING"), seed: int = 1,
                  max_iter: int = 100, bisecting: str = "bisecting",
-                 checkpoint: bool = True, parallel_fits: int = 8) -> tuple[DataFrame, DataFrame]:
+                 checkpoint: bool = True, parallel_fits: int = 1) -> tuple[DataFrame, DataFrame]:
     """Fit every (model, k) on 1-D points; return (clusters, report).
 
     clusters: modello, k, regione, percentuale_vaccinati, cluster
     report:   modello, k, performance_ms, cost_WSSSE
 
-    ``max_iter`` (100) bounds both models.  k-means stops earlier once its
-    centres move less than its tolerance; bisecting k-means has no such stop,
-    so ``bisecting_fit`` detects settled splits by comparing budgets ``m`` and
-    ``m + 1`` and returns the full-budget result without running it.
+    ``max_iter`` (100) bounds both models; k-means stops earlier once its
+    centres move less than its tolerance.
 
-    The input is checkpointed to the shared checkpoint folder first, so the
-    fits re-read a short lineage even after an executor is lost.  The fits
-    are independent, so they are submitted from ``parallel_fits`` driver
-    threads and Spark runs their jobs side by side (``performance_ms`` is
-    then wall time under that sharing).
+    The input is checkpointed to the shared checkpoint folder, so the
+    fits re-read a short lineage even after an executor is lost, and kept in memory
+    while they run.  ``performance_ms`` is the time of one fit.  The fits run one after
+    another, so nothing else is in it; with ``parallel_fits`` over 1 they share the
+    cores, and their times with each other.
     """
     spark = points.sparkSession
     data = vectors(points.select(key, value), [value])
     if checkpoint:
         ensure_checkpoint_dir(spark)
         data = data.checkpoint(eager=True)
+    held = data.persist()
     tasks = [(int(k), name) for k in ks for name in models]
 
     def fit_one(task):
         k, name = task
         start = time.perf_counter()
-        model = _fit(name, data, k, max_iter, seed, bisecting)
+        model = _fit(name, held, k, max_iter, seed, bisecting)
         return model, int(round((time.perf_counter() - start) * 1000))
 
     workers = max(1, min(len(tasks), parallel_fits))
     with ThreadPoolExecutor(max_workers=workers) as pool:
         fitted = list(pool.map(fit_one, tasks))
+    held.unpersist()
     clusters, report = [], []
     for (k, name), (model, train_ms) in zip(tasks, fitted):
         report.append((name, k, train_ms, float(model.summary.trainingCost)))

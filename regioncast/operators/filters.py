@@ -14,6 +14,28 @@ def _is_string(df: DataFrame, col: str) -> bool:
     return dict(df.dtypes)[col] == "string"
 
 
+def day_of(df: DataFrame, col: str = "day", parse_mode: str = "strict") -> Column:
+    """The day column as a DATE: a DATE column as it is, text parsed.
+
+    In ``smart`` mode text that is no day at all fails the query (``strict``
+    fails on any malformed day); in ``lenient`` mode it is NULL.
+    """
+    if not _is_string(df, col):
+        return F.col(col)
+    parsed = parse_day(F.col(col), mode=parse_mode)
+    if parse_mode == "smart":
+        bad = F.raise_error(F.concat(F.lit(f"unreadable day in column '{col}': "), F.col(col)))
+        return F.when(F.col(col).isNotNull() & parsed.isNull(), bad.cast("date")).otherwise(parsed)
+    return parsed
+
+
+def unreadable_days(df: DataFrame, col: str = "day") -> DataFrame:
+    """Rows whose day text is not NULL and can't be parsed: what ``lenient`` mode leaves out."""
+    if not _is_string(df, col):
+        return df.where(F.lit(False))
+    return df.where(F.col(col).isNotNull() & parse_day(F.col(col), mode="lenient").isNull())
+
+
 def day_window(df: DataFrame, col: str = "day", lo: str | None = None, hi: str | None = None,
                lo_open: bool = False, hi_open: bool = True, keep_nulls: bool = False,
                parse_mode: str = "strict") -> Column:
@@ -21,35 +43,38 @@ def day_window(df: DataFrame, col: str = "day", lo: str | None = None, hi: str |
 
     On text columns the same bounds are also given on the raw strings (ISO
     dates sort like text), which Parquet can use to skip row groups; the
-    parsed comparison keeps the check exact.  ``keep_nulls`` lets NULL days
-    through so that a later ``require_non_null`` can report them.
+    parsed comparison keeps the check exact.  ``keep_nulls`` lets NULL days of a
+    text column (a raw input) through so that a later ``require_non_null`` can report them;
+    on a DATE column, which is often a cast that Parquet can't test for NULL, a NULL day is
+    in no window and the bounds are pushed.  Text that
+    ``lenient`` mode can't read is never inside a window, bounded or not.
     """
     c = F.col(col)
     text = _is_string(df, col)
-    d = parse_day(c, mode=parse_mode) if text else c
+    d = day_of(df, col, parse_mode)
     raw: list[Column] = []      # comparisons on the stored column itself
     parsed: list[Column] = []   # comparisons on the parsed date (text columns)
     if lo is not None:
         lo_d = F.to_date(F.lit(lo))
-        (raw if not text else parsed).append((d > lo_d) if lo_open else (d >= lo_d))
+        (parsed if text else raw).append((d > lo_d) if lo_open else (d >= lo_d))
         if text:
             raw.append((c > F.lit(lo)) if lo_open else (c >= F.lit(lo)))
     if hi is not None:
         hi_d = F.to_date(F.lit(hi))
-        (raw if not text else parsed).append((d < hi_d) if hi_open else (d <= hi_d))
+        (parsed if text else raw).append((d < hi_d) if hi_open else (d <= hi_d))
         if text:
             raw.append((c < F.lit(hi)) if hi_open else (c <= F.lit(hi)))
-    if not raw:
-        return F.lit(True)
-    if keep_nulls:
+    if text and parse_mode == "lenient":
+        parsed.append(d.isNotNull())
+    if keep_nulls and text:
         # ``day IS NULL OR (raw bounds)`` stays a filter Parquet can evaluate
         # on row-group statistics; the parsed checks must not join that OR
-        # (they cannot be pushed), so they let NULL through by themselves.
+        # (they cannot be pushed), so they let a NULL day through by themselves.
         raw = [c.isNull() | p for p in raw]
-        parsed = [F.coalesce(p, F.lit(True)) for p in parsed]
-    cond = raw[0]
-    for p in raw[1:] + parsed:
-        cond = cond & p
+        parsed = [F.when(c.isNull(), F.lit(True)).otherwise(F.coalesce(p, F.lit(False))) for p in parsed]
+    cond = F.lit(True)
+    for k, p in enumerate(raw + parsed):
+        cond = p if k == 0 else cond & p
     return cond
 
 

@@ -5,12 +5,13 @@ plain ``groupBy().agg()``: partial sums before the shuffle, no list of points
 collected anywhere, whatever the size of a group.
 
 Exact mode (x and y integers) evaluates the truncated forecast with integer
-arithmetic::
+arithmetic.  With x counted from the target x0 (sx, sxx, sxy of x - x0) it is
+the line's value at 0::
 
-    den  = n*Sxx - Sx^2          num = n*Sxy - Sx*Sy
-    pred = (Sy*den + num*(n*x0 - Sx)) div (n*den)
+    pred = (Sy*sxx - sx*sxy) div (n*sxx - sx^2)
 
-so truncation never depends on the last bit of a double.  An undefined fit
+so truncation never depends on the last bit of a double, and no product has
+more than two sums.  Rows without x or y are no points of a fit.  An undefined fit
 (one point, or all x equal: ``den = 0``) predicts 0 (B2); negative forecasts
 become 0 (P14).  Float mode uses ``regr_slope``/``regr_intercept``.
 """
@@ -30,9 +31,10 @@ _DEC = "decimal(38,0)"
 def regression_sums(df: DataFrame, keys: Sequence[str | Column], x: Column, y: Column,
                     extra: Sequence[Column] = ()) -> DataFrame:
     """Per-group n, sx, sy, sxx, sxy (BIGINT) plus any ``extra`` aggregates."""
-    xb, yb = x.cast("bigint"), y.cast("bigint")
+    both = x.isNotNull() & y.isNotNull()
+    xb, yb = F.when(both, x.cast("bigint")), F.when(both, y.cast("bigint"))
     return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
+        F.count(xb).alias("_n"),
         F.sum(xb).alias("_sx"),
         F.sum(yb).alias("_sy"),
         F.sum(xb * xb).alias("_sxx"),
@@ -45,10 +47,12 @@ def exact_forecast(at: Column) -> Column:
     """Truncated, clamped forecast at ``at`` from the columns of ``regression_sums``."""
     n, sx, sy, sxx, sxy = (F.col(c).cast(_DEC) for c in ("_n", "_sx", "_sy", "_sxx", "_sxy"))
     x0 = at.cast(_DEC)
-    den = n * sxx - sx * sx
-    num = n * sxy - sx * sy
-    safe_div = F.when(den == 0, F.lit(1).cast(_DEC)).otherwise(n * den)
-    value = idiv(sy * den + num * (n * x0 - sx), safe_div)
+    sxx = (sxx - 2 * x0 * sx + n * x0 * x0).cast(_DEC)
+    sxy = (sxy - x0 * sy).cast(_DEC)
+    sx = (sx - n * x0).cast(_DEC)
+    den = (n * sxx - sx * sx).cast(_DEC)
+    safe_div = F.when(den == 0, F.lit(1).cast(_DEC)).otherwise(den)
+    value = idiv((sy * sxx - sx * sxy).cast(_DEC), safe_div)
     return F.when(den == 0, F.lit(0).cast("bigint")).otherwise(clamp_at_zero(value.cast("bigint")))
 
 

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regioncast.functions.arith import avg_per_unit_day
-from regioncast.functions.calendar import days_in_month, month_label, month_start, parse_day
+from regioncast.functions.calendar import days_in_month, month_label, month_start, spans_years
 from regioncast.operators.aggregate import count_by
-from regioncast.operators.filters import between_days, require_non_null
+from regioncast.operators.filters import between_days, day_of, require_non_null
 from regioncast.operators.ranking import order_result
 from regioncast.plans.params import REFERENCE
 
@@ -26,7 +26,7 @@ def month_area_totals(daily_totals: DataFrame, lo: str | None, hi: str | None,
     rows = between_days(daily_totals, "day", lo, hi, lo_open=lo_open, hi_open=hi_open, keep_nulls=True,
                         parse_mode=parse_mode)
     rows = require_non_null(rows, ["day", "total", "area"], "daily totals")
-    return (rows.groupBy(month_start(parse_day("day", mode=parse_mode)).alias("month"), F.col("area"))
+    return (rows.groupBy(month_start(day_of(rows, "day", parse_mode)).alias("month"), F.col("area"))
             .agg(F.sum(F.col("total").cast("bigint")).alias("total")))
 
 
@@ -44,11 +44,12 @@ def avg_daily_doses_per_centre(daily_totals: DataFrame, centres: DataFrame,
     out (inner join).  Month length comes from the data's own year (B8) and
     months of different years stay apart (B9).  ``parse_mode="smart"`` reads
     day text as the reference's parser does (``2021-02-30`` is 28 February).
+    Over a window of more than a year labels carry the year, so they stay keys.
     """
     totals = month_area_totals(daily_totals, lo, hi, parse_mode=parse_mode)
     joined = totals.join(centres_per_area(centres), on="area", how="inner")
     res = joined.select(
-        month_label("month", lang).alias("mese"),
+        month_label("month", lang, spans_years(lo, hi)).alias("mese"),
         F.col("area").alias("regione"),
         avg_per_unit_day("total", days_in_month("month"), "centres").alias("numero_medio_vaccini"),
         F.col("month"),

@@ -19,9 +19,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regioncast.functions.calendar import day_x, first_day_label, month_start, next_month_start, parse_day
+from regioncast.functions.calendar import day_x, first_day_label, month_start, next_month_start, spans_years
 from regioncast.operators.fill import fill_missing_days
-from regioncast.operators.filters import between_days, require_non_null
+from regioncast.operators.filters import between_days, day_of, require_non_null
 from regioncast.operators.forecast import predict_linear
 from regioncast.operators.qualify import qualify_months
 from regioncast.operators.ranking import order_result, top_n_per_group
@@ -32,7 +32,7 @@ def daily_band_totals(doses: DataFrame, lo: str | None, hi: str | None, parse_mo
     """(day DATE, area, band, n BIGINT): doses summed over brands (A3)."""
     rows = between_days(doses, "day", lo, hi, lo_open=False, hi_open=True, keep_nulls=True, parse_mode=parse_mode)
     rows = require_non_null(rows, ["day", "band", "n", "area"], "doses by band")
-    return (rows.groupBy(parse_day("day", mode=parse_mode).alias("day"), F.col("area"), F.col("band"))
+    return (rows.groupBy(day_of(rows, "day", parse_mode).alias("day"), F.col("area"), F.col("band"))
             .agg(F.sum(F.col("n").cast("bigint")).alias("n")))
 
 
@@ -72,7 +72,7 @@ def top_areas_next_month(doses: DataFrame, lo: str | None = REFERENCE["first_feb
     preds = band_month_forecasts(kept, x_mode)
     top = top_n_per_group(preds, ["target", "band"], [F.desc("pred"), F.asc("area")], n)
     res = top.select(
-        first_day_label("target", lang).alias("giorno"),
+        first_day_label("target", lang, spans_years(lo, hi)).alias("giorno"),
         F.col("band").alias("fascia_eta"),
         F.col("area").alias("regione"),
         F.col("pred").cast("int").alias("predizione_vaccini"),

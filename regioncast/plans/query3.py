@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regioncast.functions.arith import share
-from regioncast.functions.calendar import day_x, first_day_label, parse_day
+from regioncast.functions.calendar import day_x, first_day_label
 from regioncast.functions.names import DEFAULT_NAME_RULES, normalise_names
 from regioncast.operators.clustering import kmeans_sweep
-from regioncast.operators.filters import between_days, require_non_null
+from regioncast.operators.filters import between_days, day_of, require_non_null
 from regioncast.operators.forecast import exact_forecast, regression_sums
 from regioncast.operators.ranking import order_result
 from regioncast.plans.params import KS, MAX_ITER, MODELS, REFERENCE
@@ -31,7 +31,7 @@ def area_forecasts(daily_totals: DataFrame, hi: str = REFERENCE["first_june"],
     """
     rows = between_days(daily_totals, "day", None, hi, hi_open=True, keep_nulls=True, parse_mode=parse_mode)
     rows = require_non_null(rows, ["day", "total", "area"], "daily totals")
-    sums = regression_sums(rows, ["area"], x=day_x(parse_day("day", mode=parse_mode), x_mode, origin),
+    sums = regression_sums(rows, ["area"], x=day_x(day_of(rows, "day", parse_mode), x_mode, origin),
                            y=F.col("total"))
     target = day_x(F.to_date(F.lit(hi)), x_mode, origin)
     return sums.select("area", F.col("_sy").alias("total"), exact_forecast(target).alias("pred"))
@@ -59,7 +59,7 @@ def coverage_share(daily_totals: DataFrame, population: DataFrame, hi: str = REF
 
 def cluster_areas(shares: DataFrame, ks: Sequence[int] = KS, models: Sequence[str] = MODELS,
                   seed: int = 1, max_iter: int = MAX_ITER, bisecting: str = "bisecting",
-                  checkpoint: bool = True, parallel_fits: int = 8) -> tuple[DataFrame, DataFrame]:
+                  checkpoint: bool = True, parallel_fits: int = 1) -> tuple[DataFrame, DataFrame]:
     """(clusters, model report) over the shares of ``coverage_share``."""
     return kmeans_sweep(shares, key="regione", value="predizione_percentuale_vaccini", ks=ks,
                         models=models, seed=seed, max_iter=max_iter, bisecting=bisecting,

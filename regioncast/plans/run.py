@@ -8,9 +8,12 @@ of recomputing the queries.
 from __future__ import annotations
 
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from regioncast.operators.filters import unreadable_days
 from regioncast.plans.exports import (
     TABLES,
     export_q1_cells,
@@ -44,7 +47,8 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
     min_days    non-zero days a month needs (query 2)
     top_n       areas kept per (month, band) (query 2)
     x_mode      regression day number: ``dayofyear`` or ``elapsed``
-    parse_mode  day text parsing: ``strict``, ``lenient`` or ``smart``
+    parse_mode  day text parsing: ``strict``, ``lenient`` (rows with unreadable days are left out and
+                counted in ``unreadable_days``) or ``smart``
     ks, seed, bisecting   the clustering sweep (query 3)
     export      write the five cell tables; ``ts`` is their version (default: now, in ms)
     debug_csv   also write CSV copies of the results
@@ -53,6 +57,12 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
     paths: dict[str, str] = {}
     names: dict[str, str] = {}
 
+    if parse_mode == "lenient":
+        # Rows left out for an unreadable day, counted per input.
+        counts = [unreadable_days(inputs[k]).agg(F.count("*").alias("rows")).select(F.lit(k).alias("input"), "rows")
+                  for k in ("daily_totals", "doses_by_band") if k in inputs]
+        paths["unreadable_days"] = write_result(reduce(DataFrame.unionByName, counts), out, "unreadable_days")
+
     if "q1" in queries:
         q1 = avg_daily_doses_per_centre(inputs["daily_totals"], inputs["centres"],
                                         bounds["last_december"], bounds["first_june"], parse_mode=parse_mode)
@@ -74,10 +84,10 @@ def run_all(spark: SparkSession, inputs: dict[str, DataFrame], out: str,
         paths["q3_model"] = write_result(conform(report, RESULTS["q3_model"]), out,
                                          names.setdefault("q3_model", "query3_performance"))
         # The reference appends the eight cluster tables to a staging folder and
-        # compacts them into one file; one union and one write do the same, and
+        # compacts them; one union and one write do the same, and
         # overwriting (not appending) keeps a re-run from duplicating rows.
         staging = write_result(conform(clusters, RESULTS["q3_cluster"]), out, "query3_cluster_staging")
-        compact(spark, staging, f"{out}/query3_cluster", num_files=1)
+        compact(spark, staging, f"{out}/query3_cluster")
         paths["q3_cluster"] = f"{out}/{names.setdefault('q3_cluster', 'query3_cluster')}"
 
     if debug_csv:

@@ -5,8 +5,8 @@ is played by a view over the given tables with the same shape (FIXTURES.md
 section 3; 1997 stands in for 2021).  These builders only shape rows into the
 schema the queries expect; the queries' own work happens in ``plans``.
 
-The date filters are written against the raw timestamp columns so that they
-reach the Parquet scan as pushed filters.
+Days are DATE columns cast from the raw timestamps, so the queries' date
+windows reach the Parquet scan as bounds on those timestamps.
 """
 
 from __future__ import annotations
@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 
 from regioncast.functions.calendar import epoch_millis
 
-# First day kept in the daily totals view: five days before the stand-in
-# year, so that the December/day-of-year behaviour (B5) is exercised.
-DAILY_TOTALS_SINCE = "1996-12-27"
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -28,28 +24,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _day_of(ts: str):
-    # CAST(CAST(ts AS DATE) AS STRING): yyyy-MM-dd without a formatter call per row.
-    return F.col(ts).cast("date").cast("string")
-
-
 def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(day STRING, total BIGINT, area STRING): order value per day and nation.
+    """(day DATE, total BIGINT, area STRING): order value per day and nation.
 
     BIGINT rather than the reference's INT: a day's order value per nation
     passes 2^31 at large scale factors.
     """
-    orders = (table(spark, sf_dir, "orders")
-              .where(F.col("o_orderdate") >= F.lit(DAILY_TOTALS_SINCE).cast("timestamp_ntz"))
-              .select("o_custkey", "o_totalprice", "o_orderdate"))
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     joined = (orders.join(customer, orders.o_custkey == customer.c_custkey)
               .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
     return (joined
-            .groupBy(F.col("o_orderdate").cast("date").alias("d"), F.col("n_name").alias("area"))
+            .groupBy(F.col("o_orderdate").cast("date").alias("day"), F.col("n_name").alias("area"))
             .agg(F.sum(F.floor("o_totalprice").cast("bigint")).alias("total"))
-            .select(F.col("d").cast("string").alias("day"), "total", "area"))
+            .select("day", "total", "area"))
 
 
 def centres(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +50,7 @@ def centres(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doses_by_band(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(day, brand, band, n INT, area): one row per line item.
+    """(day DATE, brand, band, n INT, area): one row per line item.
 
     Quantity counts on odd line numbers and is 0 on even ones, which gives
     zero-count days for the month qualification rule.
@@ -74,7 +63,7 @@ def doses_by_band(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(nation, F.col("s_nationkey") == F.col("n_nationkey")))
     n = F.when(F.col("l_linenumber") % 2 == 1, F.col("l_quantity").cast("int")).otherwise(F.lit(0))
     return joined.select(
-        _day_of("l_shipdate").alias("day"),
+        F.col("l_shipdate").cast("date").alias("day"),
         F.col("l_linestatus").alias("brand"),
         F.col("l_returnflag").alias("band"),
         n.alias("n"),
@@ -94,19 +83,21 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg((F.count(F.lit(1)) * 1000000).alias("people")))
 
 
-def event_cells(spark: SparkSession, sf_dir: str, family: str = "ev", where=None) -> DataFrame:
-    """Events as versioned cells: key user, qualifier event type, version = event time (ms).
+def event_cells(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
+    """Events as versioned cells with the order in which they were put (``seq``).
 
-    ``where`` is a condition on the raw events (e.g. on ``ts``), applied
-    before the conversion so that Parquet can use it.
+    Key user; purchases are in family ``sales``, all other types in ``web``; qualifier event type; the version
+    is the event's day (ms), so a cell gets the same version several times; ``seq`` is the event id.  ``batch`` 0 or 1 keeps the events with
+    an even or odd id: the two batches of a put.
     """
     ev = table(spark, sf_dir, "events")
-    if where is not None:
-        ev = ev.where(where)
+    if batch is not None:
+        ev = ev.where(F.pmod("event_id", F.lit(2)) == batch)
     return ev.select(
         F.col("user_id").cast("string").alias("row_key"),
-        F.lit(family).alias("family"),
+        F.when(F.col("event_type") == "purchase", "sales").otherwise("web").alias("family"),
         F.col("event_type").alias("qualifier"),
-        epoch_millis("ts").alias("ts"),
+        epoch_millis(F.col("ts").cast("date")).alias("ts"),
         F.col("value").cast("string").alias("value"),
+        F.col("event_id").alias("seq"),
     )

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from regioncast.operators.clustering import (
     bisecting_fit,
     cluster_cost,
-    kmeans_assign,
     kmeans_fit,
     kmeans_sweep,
     vectors,
@@ -85,15 +84,18 @@ def test_clusters_numbered_by_ascending_centre(spark, shares):
     assert means == sorted(means)
 
 
-def test_probed_bisecting_equals_full_budget(spark, shares):
-    data = vectors(shares, ["predizione_percentuale_vaccini"]).cache()
-    for k in (3, 5):
-        a = bisecting_fit(data, k, max_iter=100)                    # probes 5 / 6 first
-        b = bisecting_fit(data, k, max_iter=100, probe_iter=None)   # always 100 iterations
-        assert a.summary.trainingCost == b.summary.trainingCost
-        la = sorted((r.regione, r.cluster) for r in kmeans_assign(a, data).collect())
-        lb = sorted((r.regione, r.cluster) for r in kmeans_assign(b, data).collect())
-        assert la == lb
+def test_bisecting_runs_one_fit_with_its_budget(spark, shares):
+    data = vectors(shares, ["predizione_percentuale_vaccini"])
+    assert bisecting_fit(data, 3, max_iter=7).getMaxIter() == 7
+    a, b = bisecting_fit(data, 4), bisecting_fit(data, 4)
+    assert a.summary.trainingCost == b.summary.trainingCost and a.summary.k == 4
+
+
+def test_sweep_leaves_nothing_cached(spark, shares):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    clusters, report = kmeans_sweep(shares, "regione", "predizione_percentuale_vaccini", ks=(2, 3))
+    clusters.collect(), report.collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
 
 
 def test_reference_label_option_reruns_kmeans(spark, shares):

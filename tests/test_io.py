@@ -12,6 +12,10 @@ from regioncast.streaming import ingest_csv_stream
 from tests.conftest import SF_SMALL
 
 
+def _text_days(df):
+    return df.withColumn("day", df.day.cast("string"))
+
+
 def test_by_position(spark):
     df = spark.createDataFrame([(1, "x", 2.0, "A")], "a int, b string, c double, d string")
     assert by_position(df, [0, 2, -1]).columns == ["a", "c", "d"]
@@ -34,14 +38,14 @@ def test_result_round_trip_append_and_compact(spark, tmp_out):
 
 
 def test_csv_round_trip(spark, tmp_out):
-    daily = tables.daily_totals(spark, SF_SMALL)
+    daily = _text_days(tables.daily_totals(spark, SF_SMALL))
     path = write_csv(daily, tmp_out, "daily")
     back = ingest_csv(spark, path, "day STRING, total BIGINT, area STRING", dst=f"{tmp_out}/parquet")
     assert sorted(back.collect()) == sorted(daily.collect())
 
 
 def test_stream_ingest_once(spark, tmp_out):
-    daily = tables.daily_totals(spark, SF_SMALL)
+    daily = _text_days(tables.daily_totals(spark, SF_SMALL))
     src = write_csv(daily, tmp_out, "incoming")
     q = ingest_csv_stream(spark, src, "day STRING, total BIGINT, area STRING", f"{tmp_out}/in_parquet",
                           f"{tmp_out}/ckpt")
@@ -125,7 +129,7 @@ def test_write_cells_overwrite_recreates(spark, tmp_out):
 def test_partitioned_ingest_and_stream_picks_up_new_files(spark, tmp_out):
     from pyspark.sql import functions as F
 
-    daily = tables.daily_totals(spark, SF_SMALL).withColumn("year", F.substring("day", 1, 4))
+    daily = _text_days(tables.daily_totals(spark, SF_SMALL)).withColumn("year", F.substring("day", 1, 4))
     schema = "day STRING, total BIGINT, area STRING, year STRING"
     first = write_csv(daily.where("year < '1999'"), tmp_out, "batch1")
     back = ingest_csv(spark, first, schema, dst=f"{tmp_out}/by_year", partition_by=["year"])

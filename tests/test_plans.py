@@ -3,7 +3,6 @@
 import re
 
 from regioncast import catalog
-from regioncast.operators.cells import CELL_SCHEMA, put_cells
 from regioncast.plans import avg_daily_doses_per_centre
 from regioncast.sources import read_centres, read_daily_totals
 from tests.conftest import SF_SMALL
@@ -52,13 +51,37 @@ def test_cluster_cost_is_one_aggregate_pass(spark):
     assert plan.count("Exchange hashpartitioning") == 1, plan
 
 
-def test_small_put_does_not_shuffle_the_table(spark):
-    table = spark.createDataFrame([(f"r{i}", "cf", "q", i, "v") for i in range(50)], CELL_SCHEMA)
-    batch = spark.createDataFrame([("r1", "cf", "q", 1, "w")], CELL_SCHEMA)
-    out = put_cells(table, batch)
-    plan = _plan(out)
-    # The stored table goes straight from its scan into a broadcast anti-join.
-    assert re.search(r"LeftAnti, BuildRight[^\n]*\n[ :]*:- Scan", plan), plan
-    # The appended batch comes from the cached resolution, not a second pass.
-    assert plan.count("InMemoryTableScan") >= 2, plan
-    assert sorted((r.row_key, r.ts, r.value) for r in out.collect() if r.row_key == "r1") == [("r1", 1, "w")]
+def test_date_windows_reach_the_scans_of_the_registered_queries(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # else the plan's text is cut
+    lineitem = ("totals_by_day_area_band", "filter_half_open", "qualified_carryover", "predict_band_month", "top5_next_month_strict")
+    orders = ("q1_avg_daily_per_centre", "totals_by_month_area", "filter_open")
+    for names, column in ((lineitem, "l_shipdate"), (orders, "o_orderdate")):
+        for name in names:
+            plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
+            pushed = next(line for line in plan.splitlines() if "PushedFilters" in line and column in line)
+            assert f"GreaterThanOrEqual({column}," in pushed and f"LessThan({column}," in pushed, (name, pushed)
+    for name in ("totals_by_area", "coverage_share", "predict_area", "filter_upper"):
+        plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
+        assert "LessThan(o_orderdate," in plan, (name, plan)
+
+
+def test_cell_queries_without_broadcasts_give_the_same(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    names = ("cells_put", "cells_get", "cells_history", "cells_deleted", "cells_deleted_rows")
+    rows = lambda: [sorted(map(tuple, catalog.QUERIES[n](spark, SF_SMALL).collect())) for n in names]
+    before, want = spark.conf.get(key), rows()
+    spark.conf.set(key, "-1")
+    try:
+        assert rows() == want
+    finally:
+        spark.conf.set(key, before)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_a_put_of_events_is_more_than_a_union(spark):
+    from regioncast.sources import tables as T
+
+    put = catalog.QUERIES["cells_put"](spark, SF_SMALL)
+    events = T.event_cells(spark, SF_SMALL)
+    assert put.count() < events.count()
+    assert put.count() == events.select("row_key", "family", "qualifier", "ts").distinct().count()

@@ -26,7 +26,7 @@ def test_inner_join_and_b9_years(spark):
     centres = spark.createDataFrame([(1, "X"), (2, "X")], "centre int, area string")
     res = avg_daily_doses_per_centre(totals, centres, lo="2020-12-31", hi="2022-06-01").collect()
     assert [(r.mese, r.regione, r.numero_medio_vaccini) for r in res] == [
-        ("Gennaio", "X", 5), ("Gennaio", "X", 10)]
+        ("Gennaio 2021", "X", 5), ("Gennaio 2022", "X", 10)]
 
 
 def test_b14_null_fails_clearly(spark):
@@ -117,3 +117,64 @@ def test_day_window_on_date_columns(spark):
     assert sorted(r.day.isoformat() for r in opened.collect()) == ["2021-01-01", "2021-05-31"]
     closed = between_days(df, "day", "2020-12-31", "2021-06-01", lo_open=False, hi_open=False)
     assert closed.count() == 4
+
+
+FOUR_ROWS = [("2021-01-01", 10), ("2021-01-02", 20), ("2021-01-03", 30), ("2021-01-xx", 1000)]
+
+
+def _four(spark, rows=FOUR_ROWS):
+    daily = spark.createDataFrame([(d, n, "A") for d, n in rows], "day string, total int, area string")
+    return daily, spark.createDataFrame([("A",)], "area string")
+
+
+def test_lenient_leaves_unreadable_days_out(spark):
+    from regioncast.operators.filters import unreadable_days
+    from regioncast.plans.query1 import avg_daily_doses_per_centre
+    from regioncast.plans.query3 import area_forecasts
+
+    daily, centres = _four(spark)
+    got = avg_daily_doses_per_centre(daily, centres, parse_mode="lenient").collect()
+    assert [tuple(r) for r in got] == [("Gennaio", "A", 60 // 31)]
+    assert [tuple(r) for r in area_forecasts(daily, parse_mode="lenient").collect()] == [("A", 60, 1520)]
+    assert unreadable_days(daily).count() == 1
+
+
+def test_smart_and_strict_fail_on_unreadable_days(spark):
+    import pytest
+
+    from regioncast.plans.query1 import avg_daily_doses_per_centre
+    from regioncast.plans.query3 import area_forecasts
+
+    daily, centres = _four(spark)
+    for run in (lambda m: avg_daily_doses_per_centre(daily, centres, parse_mode=m), lambda m: area_forecasts(daily, parse_mode=m)):
+        with pytest.raises(Exception, match="unreadable day"):
+            run("smart").collect()
+        with pytest.raises(Exception):
+            run("strict").collect()
+    clamped, _ = _four(spark, [("2021-02-30", 28), ("2021-02-01", 28)])
+    assert [tuple(r) for r in avg_daily_doses_per_centre(clamped, centres, parse_mode="smart").collect()] == [("Febbraio", "A", 2)]
+
+
+def test_exact_forecast_of_very_many_points(spark):
+    """Sums of 5 * 10**9 points a group, given as sums: the products stay inside 38 digits."""
+    from pyspark.sql import functions as F
+
+    from regioncast.operators.forecast import exact_forecast
+
+    per_day, days, y = 5 * 10**9 // 150, range(1, 151), 10**6
+    n, sx, sxx = per_day * 150, per_day * sum(days), per_day * sum(d * d for d in days)
+    sums = spark.createDataFrame([(n, sx, n * y, sxx, sx * y)], "_n bigint, _sx bigint, _sy bigint, _sxx bigint, _sxy bigint")
+    assert sums.select(exact_forecast(F.lit(152)).alias("p")).first().p == y
+
+
+def test_results_conform_without_nulls(spark):
+    import pytest
+
+    from regioncast.schemas import QUERY1, conform
+
+    good = spark.createDataFrame([("Gennaio", "A", 3)], "mese string, regione string, numero_medio_vaccini bigint")
+    assert [f.nullable for f in conform(good, QUERY1).schema.fields] == [False] * 3
+    assert [tuple(r) for r in conform(good, QUERY1).collect()] == [("Gennaio", "A", 3)]
+    bad = spark.createDataFrame([("Gennaio", None, 3)], "mese string, regione string, numero_medio_vaccini bigint")
+    with pytest.raises(Exception, match="NULL in result column"):
+        conform(bad, QUERY1).collect()
