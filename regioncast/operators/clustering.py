@@ -41,8 +41,8 @@ def kmeans_fit(df: DataFrame, k: int, max_iter: int = 100, seed: int = 1, featur
     return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features).fit(df)
 
 
-def bisecting_fit(df: DataFrame, k: int, max_iter: int = 100, seed: int = 1, features: str = "features"):
-    """Bisecting k-means with ``max_iter`` iterations per split (M3); Spark runs all of them at every split."""
+def bisecting_fit(df: DataFrame, k: int, max_iter: int = 20, seed: int = 1, features: str = "features"):
+    """Bisecting k-means with ``max_iter`` iterations per split (M3); Spark runs all of them at every split.  20 is Spark's own default."""
     return BisectingKMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features).fit(df)
 
 
@@ -83,12 +83,12 @@ def cluster_cost(df: DataFrame, features: str, label: str) -> DataFrame:
     return stats.select(label, n.alias("n_points"), ((n - 1).cast("double") * variance_sum).alias("cost"))
 
 
-def _fit(model_name: str, data: DataFrame, k: int, max_iter: int, seed: int, bisecting: str):
+def _fit(model_name: str, data: DataFrame, k: int, max_iter: int, seed: int, bisecting: str, split_iter: int):
     if model_name == "K-MEANS":
         return kmeans_fit(data, k, max_iter, seed)
     if model_name == "K-MEANS-BISECTING":
         if bisecting == "bisecting":
-            return bisecting_fit(data, k, max_iter, seed)
+            return bisecting_fit(data, k, split_iter, seed)
         # The reference's "bisecting" model is a second, independent k-means run.
         return kmeans_fit(data, k, max_iter, seed + 1)
     raise ValueError(f"unknown model {model_name!r}")
@@ -96,15 +96,15 @@ def _fit(model_name: str, data: DataFrame, k: int, max_iter: int, seed: int, bis
 
 def kmeans_sweep(points: DataFrame, key: str, value: str, ks: Sequence[int] = (2, 3, 4, 5),
                  models: Sequence[str] = ("K-MEANS", "K-MEANS-BISECTING"), seed: int = 1,
-                 max_iter: int = 100, bisecting: str = "bisecting",
+                 max_iter: int = 100, bisecting: str = "bisecting", split_iter: int = 20,
                  checkpoint: bool = True, parallel_fits: int = 1) -> tuple[DataFrame, DataFrame]:
     """Fit every (model, k) on 1-D points; return (clusters, report).
 
     clusters: modello, k, regione, percentuale_vaccinati, cluster
     report:   modello, k, performance_ms, cost_WSSSE
 
-    ``max_iter`` (100) bounds both models; k-means stops earlier once its
-    centres move less than its tolerance.
+    ``max_iter`` (100) bounds k-means, which stops earlier once its centres move less than its
+    tolerance; ``split_iter`` is the number of iterations of each bisecting split.
 
     The input is checkpointed to the shared checkpoint folder, so the
     fits re-read a short lineage even after an executor is lost, and kept in memory
@@ -123,7 +123,7 @@ def kmeans_sweep(points: DataFrame, key: str, value: str, ks: Sequence[int] = (2
     def fit_one(task):
         k, name = task
         start = time.perf_counter()
-        model = _fit(name, held, k, max_iter, seed, bisecting)
+        model = _fit(name, held, k, max_iter, seed, bisecting, split_iter)
         return model, int(round((time.perf_counter() - start) * 1000))
 
     workers = max(1, min(len(tasks), parallel_fits))

@@ -20,7 +20,7 @@ from regioncast.operators.clustering import kmeans_sweep
 from regioncast.operators.filters import between_days, day_of, require_non_null
 from regioncast.operators.forecast import exact_forecast, regression_sums
 from regioncast.operators.ranking import order_result
-from regioncast.plans.params import KS, MAX_ITER, MODELS, REFERENCE
+from regioncast.plans.params import KS, MAX_ITER, MODELS, REFERENCE, SPLIT_ITER
 
 
 def area_forecasts(daily_totals: DataFrame, hi: str = REFERENCE["first_june"],
@@ -58,9 +58,9 @@ def coverage_share(daily_totals: DataFrame, population: DataFrame, hi: str = REF
 
 
 def cluster_areas(shares: DataFrame, ks: Sequence[int] = KS, models: Sequence[str] = MODELS,
-                  seed: int = 1, max_iter: int = MAX_ITER, bisecting: str = "bisecting",
+                  seed: int = 1, max_iter: int = MAX_ITER, bisecting: str = "bisecting", split_iter: int = SPLIT_ITER,
                   checkpoint: bool = True, parallel_fits: int = 1) -> tuple[DataFrame, DataFrame]:
     """(clusters, model report) over the shares of ``coverage_share``."""
     return kmeans_sweep(shares, key="regione", value="predizione_percentuale_vaccini", ks=ks,
-                        models=models, seed=seed, max_iter=max_iter, bisecting=bisecting,
+                        models=models, seed=seed, max_iter=max_iter, bisecting=bisecting, split_iter=split_iter,
                         checkpoint=checkpoint, parallel_fits=parallel_fits)
