@@ -93,18 +93,17 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, en
     small_batches(docs.sparkSession)
 
     def cut(batches):
-        encoder = Encoder.at(tokenizer_path)
+        encoder, end = Encoder.at(tokenizer_path), little_endian(np.array([end_id]))
         for batch in slices(batches, "text"):
-            ids, off = encoder.encode(batch.column("text"))
             rows = []
-            for k, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-                own = np.append(ids[off[k]:off[k + 1]], np.uint32(end_id))
-                pieces = -(-len(own) // capacity)
-                first = len(own) - (pieces - 1) * capacity
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
+                own = ids + end
+                size = len(own) // 4
+                pieces = -(-size // capacity)
+                first = size - (pieces - 1) * capacity
                 for p in range(pieces):
-                    start = 0 if p == 0 else first + (p - 1) * capacity
-                    part = own[start:first + p * capacity]
-                    rows.append((doc_id, p, start, len(part), little_endian(part)))
+                    start, stop = (0 if p == 0 else first + (p - 1) * capacity), first + p * capacity
+                    rows.append((doc_id, p, start, stop - start, own[4 * start:4 * stop]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
                 names=["doc_id", "piece", "start", "length", "ids"])

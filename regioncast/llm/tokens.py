@@ -2,9 +2,8 @@
 
 The library's byte-level BPE never merges across the pieces that its
 pre-tokenizer cuts, so a piece has the same ids wherever it stands.  Texts of
-plain characters are therefore split at blanks, each distinct word of a batch
-is cut into pieces once, and each distinct piece goes to the library's model
-once.  Texts with any other character, or with blanks beside other white
+plain characters are therefore split at blanks, each new word is cut into pieces, and each
+new piece goes to the library's model; the ids of words met before are kept.  Texts with any other character, or with blanks beside other white
 space, go to the library whole.  Both ways give the same ids.
 """
 
@@ -12,20 +11,18 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-
-from regioncast.llm.common import joined_bytes
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[\x20-\x7e\n{_LETTERS}]*")
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
-#: Pieces kept between batches; the cache is emptied when it is full.
-CACHE = 250_000
+#: Words and pieces whose ids a worker keeps.
+CACHE = 700_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -36,6 +33,20 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Known(dict):
+    """Ids by word or piece: the first `CACHE` met are kept, among them all frequent ones."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.encode(key)
+        if len(self) < CACHE:
+            self[key] = ids
+        return ids
+
+
 class Encoder:
     """Encodes columns of texts; one per Python worker and vocabulary file."""
 
@@ -48,7 +59,9 @@ class Encoder:
         self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.whole.model
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
-        self.cache: dict[str, list[int]] = {}
+        self.blank = _byte_letters()[32]
+        self.words = _Known(self._word)  # each with the blank before it
+        self.pieces = _Known(self._piece)
 
     @classmethod
     def at(cls, path: str) -> "Encoder":
@@ -56,57 +69,36 @@ class Encoder:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def _piece(self, piece: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
-
-    def _word(self, word: str) -> list[int]:
-        got = []
-        for piece in _PIECES.findall(word):
-            ids = self.cache.get(piece)
-            if ids is None:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                ids = self.cache[piece] = self._piece(piece)
-            got += ids
-        return got
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after another and the n + 1 offsets of the texts; null is empty."""
+    def _spelt(self, spelt: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        return self._spelt(piece.encode().decode("latin-1").translate(self.letters))
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a blank and a word."""
+        if word.isalpha():
+            return self._spelt(self.blank + word) if word.isascii() else self._piece(" " + word)
+        if (head := word[:-1]).isalpha():  # letters and one other character: two pieces
+            return self.words[head] + self.pieces[word[-1]]
+        return b"".join([self.words[p[1:]] if p[0] == " " and p[1:].isalpha() else self.pieces[p] for p in _PIECES.findall(" " + word)])
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text that is cut at blanks; its first word has none before it."""
+        words = text.split(" ")
+        first = b"".join(map(self._piece, _PIECES.findall(words[0])))
+        return first + b"".join(map(self.words.__getitem__, words[1:]))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers; null is empty."""
         values = [x or "" for x in texts.to_pylist()]
         plain = [_PLAIN.fullmatch(x) is not None and not ("  " in x or "\n " in x or " \n" in x or x.endswith(" ")) for x in values]
+        out = [self._plain(x) if ok else b"" for x, ok in zip(values, plain)]
         odd = [i for i, ok in enumerate(plain) if not ok]
-        ids, counts = self._plain([x if ok else "" for x, ok in zip(values, plain)])
-        if odd:
-            parts = np.split(ids, np.cumsum(counts)[:-1])
-            for i, e in zip(odd, self.whole.encode_batch_fast([values[i] for i in odd], add_special_tokens=False)):
-                parts[i] = np.array(e.ids, dtype=np.uint32)
-            counts = np.array([len(p) for p in parts], dtype=np.int64)
-            ids = np.concatenate(parts)
-        return ids, np.concatenate([[0], np.cumsum(counts)])
-
-    def _plain(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of texts cut at blanks, and the number of ids of each text."""
-        words = pc.split_pattern(pa.array(values, type=pa.large_string()), " ")
-        starts = words.offsets.to_numpy()
-        coded = words.flatten().dictionary_encode()
-        known = [self._word(" " + w) for w in coded.dictionary.to_pylist()]
-        at = coded.indices.to_numpy().astype(np.int64)
-        # A text's first word has no blank before it; it gets an entry of its own.
-        firsts = starts[:-1]
-        at[firsts] = len(known) + np.arange(len(values))
-        known += [self._word(x.split(" ", 1)[0]) for x in values]
-        sizes = np.fromiter(map(len, known), dtype=np.int64, count=len(known))
-        flat = np.fromiter((t for ids in known for t in ids), dtype=np.uint32, count=int(sizes.sum()))
-        begins = np.cumsum(sizes) - sizes
-        each = sizes[at]
-        ends = np.cumsum(each)
-        out = flat[np.repeat(begins[at] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
-        total = np.concatenate([[0], ends])
-        return out, total[starts[1:]] - total[starts[:-1]]
+        for i, e in zip(odd, self.whole.encode_batch_fast([values[i] for i in odd], add_special_tokens=False)):
+            out[i] = little_endian(np.array(e.ids, dtype=np.uint32))
+        return out
 
 
 def little_endian(ids: np.ndarray) -> bytes:
     return ids.astype("<u4", copy=False).tobytes()
-
-
-__all__ = ["Encoder", "joined_bytes", "little_endian"]

@@ -16,7 +16,6 @@ ids (uint8), and for each plane its words (uint64) followed by its rank samples
 from __future__ import annotations
 
 import struct
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from regioncast.llm.common import narrowed, slices, small_batches, stored
 from regioncast.llm.tokens import Encoder, little_endian
 
 #: Tokens in a shard at most (a single longer document is a shard of its own).
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 18
 BLOCK = 512
 
 
@@ -88,9 +87,9 @@ class WaveletMatrix:
         for shift in range(bits - 1, -1, -1):
             ones = (row & row.dtype.type(1 << shift)) != 0
             planes.append(Plane.of(ones))
-            low = row[~ones]
+            low = np.flatnonzero(~ones)
             zeros.append(len(low))
-            row = np.concatenate([low, row[ones]])
+            row = np.concatenate([row.take(low), row.take(np.flatnonzero(ones))])
         return cls(len(ids), bits, planes, zeros)
 
     def all(self) -> np.ndarray:
@@ -99,8 +98,8 @@ class WaveletMatrix:
         for shift, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
             ones = plane.flags()
             up = np.empty_like(row)
-            up[~ones] = row[:zeros]
-            up[ones] = row[zeros:] | row.dtype.type(1 << shift)
+            up[np.flatnonzero(~ones)] = row[:zeros]
+            up[np.flatnonzero(ones)] = row[zeros:] | row.dtype.type(1 << shift)
             row = up
         return row.astype(np.uint32)
 
@@ -187,28 +186,28 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 2, sha
 
     def encode(batches):
         encoder, part = Encoder.at(tokenizer_path), TaskContext.get().partitionId()
+        end = little_endian(np.array([end_id]))
         shard, before = 0, 0
         doc_ids: list = []
-        ids: list[np.ndarray] = []
+        ids: list[bytes] = []
         held = 0
 
         def flush():
-            flat = np.concatenate(ids)
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+            flat = np.frombuffer(b"".join(ids), dtype="<u4")
+            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
             cols = [[part], [shard], [before], [len(doc_ids)], [len(flat)], [write_shard(doc_ids, offsets, flat)]]
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(cols, kinds)], names=["part", "shard", "first_token", "n_docs", "n_tokens", "file"])
 
-        for batch in slices(batches, "text", 4 << 20):
-            flat, off = encoder.encode(batch.column("text"))
-            for k, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-                own = np.append(flat[off[k]:off[k + 1]], np.uint32(end_id))
-                if doc_ids and held + len(own) > shard_tokens:
+        for batch in slices(batches, "text", 6 << 20):
+            for doc_id, text_ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
+                own = text_ids + end
+                if doc_ids and held + len(own) // 4 > shard_tokens:
                     yield flush()
                     shard, before, doc_ids, ids, held = shard + 1, before + held, [], [], 0
                 doc_ids.append(doc_id)
                 ids.append(own)
-                held += len(own)
+                held += len(own) // 4
         if doc_ids:
             yield flush()
 
@@ -228,15 +227,11 @@ def read_token_files(shards: DataFrame) -> DataFrame:
         for batch in batches:
             for base, data in zip(batch.column("base").to_pylist(), batch.column("file").to_pylist()):
                 doc_ids, off, matrix = read_shard(data)
-                ids = matrix.all()
+                ids, off = little_endian(matrix.all()), off.astype(np.int64)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(doc_ids, type=pa.int64()), pa.array(base + off[:-1]), pa.array(np.diff(off)),
-                    pa.array([little_endian(ids[a:b]) for a, b in zip(off[:-1], off[1:])], type=pa.binary())],
+                    pa.array([ids[4 * a:4 * b] for a, b in zip(off[:-1], off[1:])], type=pa.binary())],
                     names=["doc_id", "start", "n_tokens", "ids"])
 
     based = shards.join(begins, "part").select((F.col("first_token") + F.col("begin")).alias("base"), "file")
     return based.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
-
-
-def crc(ids: np.ndarray) -> int:
-    return zlib.crc32(little_endian(ids))
