@@ -228,7 +228,8 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int, held_fold: int) -> D
     own = docs.where("doc_id is not null").select("doc_id", "text")
     part = lambda toxic, n: open_.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     ids = stored(part(1, TRAIN_TOXIC).union(part(0, TRAIN_CLEAN)), "ids")
-    texts = own.join(ids, "doc_id").select(F.xxhash64("text").alias("text_id"), "toxic", "text")
+    # At most TRAIN_TOXIC + TRAIN_CLEAN ids: small enough for every worker, whatever the corpus.
+    texts = own.join(F.broadcast(ids), "doc_id").select(F.xxhash64("text").alias("text_id"), "toxic", "text")
     return stored(texts.dropDuplicates(["text_id", "toxic"]), "sample")
 
 
