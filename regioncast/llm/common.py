@@ -89,10 +89,6 @@ def joined_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8), off
 
 
-def id_array(values, kind=pa.int64()) -> pa.Array:
-    return pa.array(values, type=kind)
-
-
 def crc_of_id(doc_id) -> F.Column:
     """crc32 of the id written as decimal text."""
     return F.crc32(doc_id.cast("string").cast("binary"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regioncast.llm.common import crc_of_id, narrowed, slices, small_batches
+from regioncast.llm.common import crc_of_id, narrowed, slices, small_batches, stored
 
 WINDOW = 192
 WIDTHS = (2, 3, 4)
@@ -134,9 +134,13 @@ def training_windows(docs: DataFrame, folds: int, held_fold: int) -> tuple[list[
     """Languages, windows and labels of the bounded sample."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()
                           & (F.pmod(crc_of_id(F.col("doc_id")), F.lit(folds)) != held_fold))
-    # The ids are chosen before the texts are read; the rank filter is applied before the shuffle as well.
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = labelled.select("lang", "doc_id").withColumn("rank", rank).where(F.col("rank") <= TRAIN_DOCS).select("lang", "doc_id").distinct()
+    # The ids are chosen before the texts are read.  Each language's ids are first thinned by their hash to about twice what is
+    # taken, so few rows of a language meet in the ranking, whatever its share of the corpus.
+    ids = labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("place"))
+    share = F.least(F.lit(1.0), 2.0 * TRAIN_DOCS / F.col("count"))
+    thin = ids.join(ids.groupBy("lang").count(), "lang").where(F.pmod("place", F.lit(1_000_003)) < share * 1_000_003)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
+    chosen = stored(thin.withColumn("rank", rank).where(F.col("rank") <= TRAIN_DOCS).select("lang", "doc_id").distinct(), "chosen")
 
     def cut(batches):
         for batch in slices(batches, "text"):
@@ -148,7 +152,8 @@ def training_windows(docs: DataFrame, folds: int, held_fold: int) -> tuple[list[
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), (pa.string(), pa.binary()))], names=["lang", "bytes"])
 
-    got = labelled.join(chosen, ["lang", "doc_id"], "left_semi").select("lang", "text").mapInArrow(cut, "lang string, bytes binary").collect()
+    # At most TRAIN_DOCS ids of each language, as the network has a column for each.
+    got = labelled.join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi").select("lang", "text").mapInArrow(cut, "lang string, bytes binary").collect()
     got.sort(key=lambda r: (r.lang, bytes(r.bytes)))
     classes = sorted({r.lang for r in got})
     windows = np.frombuffer(b"".join(bytes(r.bytes) for r in got), dtype=np.uint8).reshape(-1, WINDOW)
