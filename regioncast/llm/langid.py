@@ -138,7 +138,8 @@ def training_windows(docs: DataFrame, folds: int, held_fold: int) -> tuple[list[
     # taken, so few rows of a language meet in the ranking, whatever its share of the corpus.
     ids = labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("place"))
     share = F.least(F.lit(1.0), 2.0 * TRAIN_DOCS / F.col("count"))
-    thin = ids.join(ids.groupBy("lang").count(), "lang").where(F.pmod("place", F.lit(1_000_003)) < share * 1_000_003)
+    counts = stored(ids.groupBy("lang").count(), "counts")  # a row for each language
+    thin = ids.join(F.broadcast(counts), "lang").where(F.pmod("place", F.lit(1_000_003)) < share * 1_000_003)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
     chosen = stored(thin.withColumn("rank", rank).where(F.col("rank") <= TRAIN_DOCS).select("lang", "doc_id").distinct(), "chosen")
 
