@@ -43,7 +43,7 @@ def small_batches(spark: SparkSession) -> None:
     """Make the modules known to the workers, and bound the Arrow batches sent to them by bytes, unless the session does."""
     ship(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key, "2147483647").rstrip("b")) > BATCH_BYTES:
+    if spark.conf.get(key, None) is None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
