@@ -1,8 +1,10 @@
 """Toxicity by a lexicon, misspellings and context.
 
-Lexicon.  Whole words and word stems are learned from labelled training rows: terms that stand in toxic texts and in no clean one, chosen
+Lexicon.  Whole words and word stems are learned from labelled training rows: terms whose share of toxic texts is a multiple of that of clean
+ones (smoothed, less its own uncertainty; a text that only quotes a term counts as `QUOTED` of one), or that no clean text holds.  They are chosen
 greedily so that each explains toxic texts that the earlier ones don't (words that merely share a text with a toxic term are so left out).
-A short list of plain insults is offered as well and is held to the same test.
+A term that clean texts hold too weighs less, the less so the rarer it is in them.  A short list of plain insults is offered as well; one stays
+unless the training rows speak against it.
 
 Matching.  The lexicon is a trie.  Levenshtein automata of its terms run over it together: a state is a set of (trie node, edits),
 and states are made as they are first reached, so a word costs one table step a character and dies early.  Words that clean
@@ -40,6 +42,8 @@ PLAIN, QUOTED, MISSPELLED = 1.0, 0.25, 0.7
 #: Lengths of stems; toxic texts that a term, and different words that a stem, must have.
 STEM_LENGTHS, STEM_WORDS = range(4, 9), 3
 MAX_TERMS = 2_000
+#: A term's rate in toxic texts over that in clean ones: the least, after so many standard deviations are taken off, and that of full weight.
+RATIO, DEVIATIONS, FULL_RATIO = 4.0, 2.0, 50.0
 #: Different clean words one edit from a term that end its misspellings.
 DENSE = 2
 #: Words whose verdict a worker keeps.
@@ -64,11 +68,12 @@ def one_edit_apart(a: str, b: str) -> bool:
 class LexiconAutomaton:
     """Trie of terms run together with their Levenshtein automata, made deterministic as states are reached."""
 
-    def __init__(self, words: list[str], stems: list[str], exact: frozenset = frozenset()):
+    def __init__(self, words: list[str], stems: list[str], exact: frozenset = frozenset(), weights: dict[str, float] | None = None):
         self.children: list[dict[str, int]] = [{}]
         self.words: list[int] = [-1]  # edits that the whole word ending in a node allows
         self.stems: list[int] = [-1]
         self.budget: list[int] = [0]  # most edits that any term through a node allows
+        self.word_weight, self.stem_weight = {}, {}  # of the term ending in a node
         for term, stem in [(w, False) for w in words] + [(s, True) for s in stems]:
             node, edits = 0, 0 if term in exact else allowed_edits(term, stem)
             self.budget[0] = max(self.budget[0], edits)
@@ -81,11 +86,12 @@ class LexiconAutomaton:
                 self.budget[node] = max(self.budget[node], edits)
             ends = self.stems if stem else self.words
             ends[node] = max(ends[node], edits)
+            (self.stem_weight if stem else self.word_weight)[node] = (weights or {}).get("^" + term if stem else term, 1.0)
         self.states: dict[frozenset, int] = {}
         self.sets: list[dict[int, int]] = []
         self.steps: list[dict[str, int]] = []
         self.start = self._state({0: 0})
-        self.verdicts: dict[str, int] = {}
+        self.verdicts: dict[str, tuple[int, float]] = {}
 
     def _state(self, reached: dict[int, int]) -> int:
         """Number of the state with these nodes (least edits each), after skipping letters of the terms."""
@@ -119,9 +125,9 @@ class LexiconAutomaton:
         self.steps[state][c] = got
         return got
 
-    def edits(self, word: str) -> int:
-        """Fewest edits from a term or a stem's beginning to the word; -1 if none is near enough."""
-        state, best = self.start, 99
+    def match(self, word: str) -> tuple[int, float]:
+        """Fewest edits from a term or a stem's beginning to the word, and the largest weight of such a term; (-1, 0) if none is near enough."""
+        state, best = self.start, (99, 0.0)
         for c in word:
             nxt = self.steps[state].get(c)
             state = self._step(state, c) if nxt is None else nxt
@@ -130,19 +136,22 @@ class LexiconAutomaton:
                 break
             for node, e in reached.items():
                 if e <= self.stems[node]:
-                    best = min(best, e)
+                    best = min(best, (e, -self.stem_weight[node]))
         else:
             for node, e in self.sets[state].items():
                 if e <= self.words[node]:
-                    best = min(best, e)
-        return -1 if best == 99 else best
+                    best = min(best, (e, -self.word_weight[node]))
+        return (-1, 0.0) if best[0] == 99 else (best[0], -best[1])
+
+    def edits(self, word: str) -> int:
+        return self.match(word)[0]
 
-    def verdict(self, word: str) -> int:
+    def verdict(self, word: str) -> tuple[int, float]:
         got = self.verdicts.get(word)
         if got is None:
             if len(self.verdicts) >= CACHE:
                 self.verdicts.clear()
-            got = self.verdicts[word] = self.edits(word)
+            got = self.verdicts[word] = self.match(word)
         return got
 
 
@@ -154,32 +163,33 @@ class ToxicityModel:
     exact: frozenset = frozenset()
     slope: float = 8.0
     offset: float = -3.0
+    weights: dict[str, float] = field(default_factory=dict)  # of terms, stems with a ^ before them; 1 if not named
     automaton: LexiconAutomaton | None = field(default=None, compare=False)
 
     def _ready(self) -> LexiconAutomaton:
         if self.automaton is None:
-            self.automaton = LexiconAutomaton(self.words, self.stems, self.exact)
+            self.automaton = LexiconAutomaton(self.words, self.stems, self.exact, self.weights)
         return self.automaton
 
-    def hits(self, text: str) -> list[tuple[int, int, str, int]]:
-        """(start, end, word, edits) of each hit in a lower-case text."""
+    def hits(self, text: str) -> list[tuple[int, int, int, float]]:
+        """(start, end, edits, the term's weight) of each hit in a lower-case text."""
         automaton = self._ready()
         verdict, near = automaton.verdicts.get, {}
         for w in set(_WORD.findall(text)):
-            e = verdict(w)
-            e = automaton.verdict(w) if e is None else e
+            got = verdict(w)
+            e, weight = automaton.verdict(w) if got is None else got
             if e >= 0 and not (e and w in self.blocked):
-                near[w] = e
+                near[w] = e, weight
         if not near:
             return []
-        return [(m.start(), m.end(), m[0], near[m[0]]) for m in _WORD.finditer(text) if m[0] in near]
+        return [(m.start(), m.end(), *near[m[0]]) for m in _WORD.finditer(text) if m[0] in near]
 
     def evidence(self, text: str | None) -> float:
         """Sum of the hits' weights."""
         text = (text or "").lower()
         total = 0.0
-        for start, end, _, edits in self.hits(text):
-            weight = QUOTED if is_quoted(text, start, end) else PLAIN
+        for start, end, edits, weight in self.hits(text):
+            weight *= QUOTED if is_quoted(text, start, end) else PLAIN
             total += weight * (MISSPELLED if edits else 1.0)
         return total
 
@@ -196,8 +206,9 @@ def is_quoted(text: str, start: int, end: int) -> bool:
     return any(w in REPORTING for w in _WORD.findall(before)[-CONTEXT:])
 
 
-def choose_terms(pairs: list[tuple[int, str]], least: int) -> list[str]:
-    """Greedy cover: terms in order of the toxic texts that they alone explain, while these are ``least`` or more."""
+def choose_terms(pairs: list[tuple[int, str]], least: int, weights: dict[str, float] | None = None) -> list[str]:
+    """Greedy cover: terms in order of the toxic texts that they alone explain, times their weight, while these texts are ``least`` or more."""
+    weights = weights or {}
     by_term: dict[str, set[int]] = {}
     for doc, term in pairs:
         by_term.setdefault(term, set()).add(doc)
@@ -206,13 +217,13 @@ def choose_terms(pairs: list[tuple[int, str]], least: int) -> list[str]:
     # Of terms with the same texts the longest: a stem should not be cut shorter than it is.
     order = sorted(by_term, key=lambda t: (-len(by_term[t]), -len(t), t))
     while order and len(chosen) < MAX_TERMS:
-        best, gain = None, least - 1
+        best, gain = None, 0.0
         for t in order:
-            if len(by_term[t]) <= gain:
+            if len(by_term[t]) <= gain or len(by_term[t]) < least:
                 break
             new = len(by_term[t] - covered)
-            if new > gain:
-                best, gain = t, new
+            if new >= least and new * weights.get(t, 1.0) > gain:
+                best, gain = t, new * weights.get(t, 1.0)
         if best is None:
             break
         chosen.append(best)
@@ -233,6 +244,40 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int, held_fold: int) -> D
     return stored(texts.dropDuplicates(["text_id", "toxic"]), "sample")
 
 
+def _rate_ratio(t: F.Column, c: F.Column, toxic: int, clean: int) -> tuple[F.Column, F.Column]:
+    """Log of the rate in toxic texts over that in clean ones, smoothed, and its standard deviation."""
+    t, c = t + 0.5, c + 0.5
+    return F.log(t / (toxic + 1)) - F.log(c / (clean + 1)), F.sqrt(1 / t + 1 / c)
+
+
+def _in_context(sample: DataFrame, terms: list[str]) -> DataFrame:
+    """(term, t, c): toxic and clean texts of each term, `QUOTED` of one where a text only quotes it."""
+    sent = sample.sparkSession.sparkContext.broadcast(frozenset(terms))
+
+    def count(batches):
+        known, of_word = sent.value, {}
+        for batch in slices(batches, "text"):
+            sums: dict[str, list[float]] = {}
+            for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
+                text = (text or "").lower()
+                weight: dict[str, float] = {}
+                for m in _WORD.finditer(text):
+                    own = of_word.get(m[0])
+                    if own is None:
+                        if len(of_word) >= CACHE:
+                            of_word.clear()
+                        own = of_word[m[0]] = [x for x in (m[0], *("^" + m[0][:n] for n in STEM_LENGTHS if len(m[0]) >= n)) if x in known]
+                    if own and any(weight.get(x) != PLAIN for x in own):
+                        w = QUOTED if is_quoted(text, m.start(), m.end()) else PLAIN
+                        for x in own:
+                            weight[x] = max(w, weight.get(x, 0.0))
+                for x, w in weight.items():
+                    sums.setdefault(x, [0.0, 0.0])[0 if toxic else 1] += w
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), type=pa.string()), *(pa.array([v[k] for v in sums.values()], type=pa.float64()) for k in (0, 1))], names=["term", "t", "c"])
+
+    return sample.select("toxic", "text").mapInArrow(count, "term string, t double, c double").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+
+
 def learn(docs: DataFrame, labels: DataFrame, folds: int, held_fold: int) -> ToxicityModel:
     """Lexicon, blocked words and score curve of the training rows."""
     sample = _sample(docs, labels, folds, held_fold)
@@ -243,21 +288,34 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int, held_fold: int) -> Tox
     words = stored(words, "words")
     stems = words.select("text_id", "toxic", "word", F.explode(F.array(*(F.lit(n) for n in STEM_LENGTHS))).alias("n")).where("length(word) >= n")
     stems = stems.select("text_id", "toxic", "word", F.expr("left(word, n)").alias("stem"))
-    # Candidates: in enough toxic texts and in no clean one.
-    whole = words.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).where((F.col("t") >= least) & (F.col("c") == 0))
-    heads = stems.groupBy("stem").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"), F.approx_count_distinct("word").alias("kinds"))
-    heads = heads.where((F.col("t") >= least) & (F.col("c") == 0) & (F.col("kinds") >= STEM_WORDS))
-    head_pairs = stems.where("toxic = 1").join(heads.select("stem"), "stem").select("text_id", F.concat(F.lit("^"), F.col("stem")).alias("term"))
-    word_pairs = words.where("toxic = 1").join(whole.select("word"), "word").select("text_id", F.col("word").alias("term"))
-    pairs = [(r.text_id, r.term) for r in word_pairs.union(head_pairs).distinct().collect()]
-    chosen = choose_terms(pairs, least)
-    used = set(chosen)
-    seen = {r.word for r in words.where("toxic = 0").where(F.col("word").isin(*SEEDS)).select("word").distinct().collect()}
-    model = ToxicityModel([t for t in chosen if t[0] != "^"] + [s for s in SEEDS if s not in used and s not in seen], [t[1:] for t in chosen if t[0] == "^"])
+    counted = [F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")]
+    t, c, seed = F.col("t"), F.col("c"), F.col("term").isin(*SEEDS)
+    whole = words.groupBy(F.col("word").alias("term")).agg(*counted).where((t >= least) | seed)
+    heads = stems.groupBy(F.concat(F.lit("^"), F.col("stem")).alias("term")).agg(*counted, F.approx_count_distinct("word").alias("kinds"))
+    terms = stored(whole.unionByName(heads.where((t >= least) & (F.col("kinds") >= STEM_WORDS)).drop("kinds")), "terms")
+    # Candidates: in enough toxic texts, and in no clean one or at a far lower rate.  The context of those that clean texts hold is looked at if it can decide.
+    hopeful = (c > 0) & (seed | (_rate_ratio(t, c * QUOTED, toxic, clean)[0] >= math.log(RATIO)))
+    weighed = stored(_in_context(sample, [r.term for r in terms.where(hopeful).select("term").collect()]), "weighed")
+    ratio, deviation = _rate_ratio(t, c, toxic, clean)
+    rated = weighed.select("term", ratio.alias("ratio"), (F.lit(DEVIATIONS) * deviation).alias("unsure"), seed.alias("seed"))
+    weight = lambda x: F.least(F.lit(1.0), x / F.lit(math.log(FULL_RATIO)))
+    likely = rated.where(F.col("ratio") - F.col("unsure") >= math.log(RATIO)).select("term", weight(F.col("ratio")).alias("weight"))
+    likely = likely.join(terms.where(t >= least).select("term"), "term")
+    admitted = stored(likely.unionByName(terms.where((t >= least) & (c == 0)).select("term", F.lit(1.0).alias("weight"))), "admitted")
+    weights = {r.term: r.weight for r in admitted.collect()}
+    head_pairs = stems.where("toxic = 1").select("text_id", F.concat(F.lit("^"), F.col("stem")).alias("term"))
+    word_pairs = words.where("toxic = 1").select("text_id", F.col("word").alias("term"))
+    pairs = [(r.text_id, r.term) for r in word_pairs.union(head_pairs).join(admitted.select("term"), "term").select("text_id", "term").distinct().collect()]
+    chosen = choose_terms(pairs, least, weights)
+    # A built-in insult stays unless its rates in the training rows speak against it.
+    upper = F.col("ratio") + F.col("unsure")
+    held = {r.term: r.weight for r in rated.where("seed").select("term", F.when(upper >= math.log(RATIO), weight(upper)).otherwise(0.0).alias("weight")).collect()}
+    seeds = {s: held.get(s, 1.0) for s in SEEDS if s not in set(chosen) and held.get(s, 1.0) > 0}
+    model = ToxicityModel([t for t in chosen if t[0] != "^"] + list(seeds), [t[1:] for t in chosen if t[0] == "^"], weights=seeds | {t: weights[t] for t in chosen})
 
     def near_words(batches):
         for batch in batches:
-            got = [w for w in batch.column("word").to_pylist() if model._ready().verdict(w) > 0]
+            got = [w for w in batch.column("word").to_pylist() if model._ready().verdict(w)[0] > 0]
             yield pa.RecordBatch.from_arrays([pa.array(got, type=pa.string())], names=["word"])
 
     clean_words = words.where("toxic = 0").select("word").distinct()

@@ -219,6 +219,32 @@ def test_op3_held_out_accuracy(spark):
     assert np.mean([a == b for a, b in pairs]) > 0.88 and np.mean(clean) < 0.05
 
 
+def test_lexicon_survives_mislabelled_and_quoting_clean_rows(spark):
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, 7)))
+    prose = lambda: " ".join(word() for _ in range(12))
+    toxic = [(i, f"{prose()} you grobbler {prose()}") for i in range(60)]
+    clean = [(100 + i, prose()) for i in range(300)]
+    clean += [(500, f"{prose()} you grobbler {prose()}")]  # mislabelled
+    clean += [(600 + i, f'{prose()}\nThe word "grobbler" is old.') for i in range(6)]
+    clean += [(700, "He said the word idiot twice.")]
+    apart = [(900, "Go away, grobbler!"), (901, 'In print, the "grobbler" is rare.'), (902, prose()), (903, "You idiot, idiot!")]
+    labels = labels_of(spark, [(d, 1, 1) for d, _ in toxic] + [(d, 1, 0) for d, _ in clean])
+    docs = documents(spark, toxic + clean + apart)
+    model = toxicity.learn(docs, labels, 3, 1)
+    assert "grobbler" in model.words and "idiot" in model.words
+    got = {r.doc_id: r for r in toxicity.toxicity_scores(docs, labels).collect()}
+    assert [got[d].predicted for d in (900, 901, 902)] == [1, 0, 0]
+    assert 0 < model.evidence(apart[1][1]) < model.evidence(apart[0][1])
+
+
+def test_words_of_both_classes_are_no_terms(spark):
+    toxic = [(i, f"both rather you grobbler {i}") for i in range(60)]
+    clean = [(100 + i, f"both {'rather' if i % 3 == 0 else 'not'} {i}") for i in range(240)]
+    model = toxicity.learn(documents(spark, toxic + clean), labels_of(spark, [(d, 1, 1) for d, _ in toxic] + [(d, 1, 0) for d, _ in clean]), 3, 1)
+    assert not {"both", "rather"} & set(model.words) and not {"both", "rath"} & set(model.stems)
+
+
 def test_toxicity_hard_cases(spark):
     docs = documents(spark, [*HARD, (60, "You IDIOT!"), (61, "stupid " * 5000)])
     labels = labels_of(spark, [(4, 1, 0), (60, 1, 1), (None, 1, 1), (7, 1, None), (999, 0, 1)])
