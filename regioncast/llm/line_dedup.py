@@ -1,10 +1,11 @@
 """Line deduplication by content-defined chunks of lines.
 
-A text's lines (split at \\n) are hashed, and a rolling hash runs over each line and the one before it.  A chunk ends after
+A text's lines (split at \\n) that hold a word are hashed, and a rolling hash runs over each such line and the one before it.  A chunk ends after
 a line whose rolling hash is a local minimum (smaller than the one before, not larger than the next), so boundaries depend on nearby
-lines only and stay in place when lines are added elsewhere; every chunk but a text's last has two lines or more.
+lines only and stay in place when lines are added elsewhere; every chunk but a text's last has two lines with words or more.  Blank lines have
+no part in this: they belong to the chunk before them, a text's first ones to its first chunk.
 
-Chunks with two lines or more that hold a word are compared over the whole corpus: they are grouped by hash and bytes (the bytes are
+Chunks with two lines or more that hold a word are compared over the whole corpus, from the first such line to the last: they are grouped by hash and bytes (the bytes are
 the byte comparison), pre-aggregated before the shuffle.  Of each repeated chunk the first occurrence stays: in the smallest doc_id, there the earliest.
 All others are removed with their line ends.
 """
@@ -26,13 +27,14 @@ def chunk_ends(lines: list[bytes]) -> list[int]:
     """Number of lines up to each chunk's end."""
     from xxhash import xxh64_intdigest as digest
 
-    h = np.fromiter((digest(x) for x in lines), dtype=np.uint64, count=len(lines))
+    worded = [i for i, x in enumerate(lines) if x.strip()]
+    h = np.fromiter((digest(lines[i]) for i in worded), dtype=np.uint64, count=len(worded))
     roll = h.copy()
     roll[1:] += h[:-1] * _MIX
     roll = (roll ^ (roll >> np.uint64(29))) * _MIX
     roll ^= roll >> np.uint64(32)
     low = (roll[1:-1] < roll[:-2]) & (roll[1:-1] <= roll[2:])
-    return [*(np.flatnonzero(low) + 2).tolist(), len(lines)]
+    return [*(worded[k + 2] for k in np.flatnonzero(low).tolist()), len(lines)]
 
 
 def chunks(text: bytes | None) -> tuple[list[bytes], list[tuple[int, int]]]:
@@ -45,10 +47,11 @@ def chunks(text: bytes | None) -> tuple[list[bytes], list[tuple[int, int]]]:
 
 
 def comparable(lines: list[bytes]) -> bytes | None:
-    """What is compared of a chunk: its lines without the last line end; None unless two lines hold a word."""
-    if sum(1 for x in lines if x.strip()) < 2:
+    """What is compared of a chunk: its lines without blank ones at either end and the last line end; None unless two lines hold a word."""
+    worded = [i for i, x in enumerate(lines) if x.strip()]
+    if len(worded) < 2:
         return None
-    return b"\n".join(lines)
+    return b"\n".join(lines[worded[0]:worded[-1] + 1])
 
 
 def _chunk_rows(docs: DataFrame, with_body: bool) -> DataFrame:
@@ -106,14 +109,14 @@ def kept_text(text: bytes | None, drops: list[dict]) -> tuple[bytes | None, int,
         by_ord.setdefault(d["ord"], []).append(d)
     out, removed, seen = [], 0, set()
     for k, (a, b) in enumerate(parts):
-        body = b"\n".join(lines[a:b])
+        body = comparable(lines[a:b]) if k in by_ord else None
         meant = [d for d in by_ord.get(k, []) if d["body"] is None or d["body"] == body]
         if meant and (not meant[0]["first"] or body in seen):
             removed += b - a
             continue
         if meant:
             seen.add(body)
-        out.append(body + b"\n" if b < len(lines) else body)
+        out.append(b"\n".join(lines[a:b]) + (b"\n" if b < len(lines) else b""))
     return b"".join(out), len(lines), removed
 
 

@@ -47,6 +47,22 @@ def test_boundaries_resist_shifts():
     assert all(y - x >= 2 for x, y in a[1][:-1]) and a[1][-1][1] == 200
 
 
+def test_blank_lines_between_paragraphs_change_nothing(spark):
+    """Copies of passages lose the same paragraphs, most of them, whether blank lines stand between these or not."""
+    rows = []
+    for i in range(30):
+        passage = [f"paragraph {j} of passage {i}: {hashlib.sha256(f'{i} {j}'.encode()).hexdigest()}" for j in range(20)]
+        rows += [(i, [f"only {i} a {j}" for j in range(3)] + passage), (100 + i, [f"only {i} b {j}" for j in range(4)] + passage + [f"end {i}", f"more {i}"])]
+    left = []
+    for gap in ("\n", "\n\n"):
+        got = ld.without_repeated_chunks(documents(spark, [(d, gap.join(lines)) for d, lines in rows])).collect()
+        left.append({r.doc_id: [x for x in r.text.split("\n") if x.strip()] for r in got})
+    assert left[0] == left[1]
+    assert all(left[0][d] == lines for d, lines in rows if d < 100)
+    copies = [sum(x.startswith("paragraph") for x in left[0][d]) for d, _ in rows if d >= 100]
+    assert sum(copies) < 0.3 * 20 * len(copies)  # a chunk at either end of a passage holds a neighbour
+
+
 def _hard():
     block = "\n".join(f"shared line {i * i % 97}" for i in range(40))
     rows = [*HARD, (20, block), (21, "head\nmore\n" + block + "\ntail"), (22, block + "\n" + block), (23, "a\nb\na\nb\na\nb"), (24, "a\nb\na\nb\na\nb"),
