@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regioncast.llm import decontaminate, langid, line_dedup, packing, quality, rules, simhash, suffix_dedup, toxicity, wavelet
+from regioncast.llm import decontaminate, langid, line_dedup, packing, periodic, quality, rules, simhash, suffix_dedup, toxicity, wavelet
 from regioncast.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,10 +75,31 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_fm_decontamination, op2_best_fit_packing, op3_lexicon_toxicity, op4_byte_cnn_language, op5_qda_quality, op6_wavelet_tokens, op7_mcd_rules, op8_line_chunks, op9_radix_suffix_dedup, op10_simhash_pivots)}
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of at least 12 words in all documents (a tenth of them rearranged), and what is left without the repeats."""
+    got = periodic.periodic_runs(table(spark, sf_dir, "documents"), least=12, plant=True)
+    lengthy = F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    best = F.get(lengthy, F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return got.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"), F.expr("(-1000 * best.less) div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_fm_decontamination, op2_best_fit_packing, op3_lexicon_toxicity, op4_byte_cnn_language, op5_qda_quality, op6_wavelet_tokens,
+    op7_mcd_rules, op8_line_chunks, op9_radix_suffix_dedup, op10_simhash_pivots, op12_periodic_runs)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+#: crc32 of a table's decimal ids: the byte table, and the sum over the digits of ``{id}``.
+_CRC_TABLE = """(SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda c, k: CASE WHEN (c & 1) = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n)) AS crc)"""
+_CRC = """xor(4294967295, list_reduce(list_transform(string_split({id}::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT))"""
+
 #: DuckDB SQL where SQL can express the operator; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op1_fm_decontamination": f"""
@@ -96,4 +117,23 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        sha256(coalesce(names, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op12_periodic_runs": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_CRC.format(id="doc_id")} AS h
+      FROM documents, {_CRC_TABLE}),
+e AS (SELECT *, (h // 10) % len(w) AS a, 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) AS p FROM d WHERE len(w) > 0),
+t AS (SELECT r, CASE WHEN h % 10 = 0 THEN list_transform(range(len(w)), lambda i: w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE w END AS w
+      FROM e),
+g AS (SELECT r, i, array_to_string(w[i + 1:i + 6], ' ') AS s FROM (SELECT r, w, unnest(range(len(w) - 5)) AS i FROM t)),
+eq AS (SELECT x.r, x.i, y.i - x.i AS q FROM g x JOIN g y ON x.r = y.r AND x.s = y.s AND x.i < y.i),
+st AS (SELECT r, q, min(i) AS start, max(i) - min(i) + 6 + q AS length
+       FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM eq) GROUP BY r, q, island),
+run AS (SELECT r, start, length, min(q) AS period FROM st WHERE length >= greatest(12, 2 * q) GROUP BY r, start, length),
+per AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+               arg_min(struct_pack(s := start, l := length, p := period), (-length, start, period)) AS best FROM run GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM run),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS rest
+         FROM (SELECT r, unnest(w) AS x, unnest(range(len(w))) AS i FROM t) ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.l::BIGINT AS length, best.p::BIGINT AS period,
+       (1000 * best.l // best.p)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM d LEFT JOIN per USING (r) LEFT JOIN kept USING (r)""",
 }
