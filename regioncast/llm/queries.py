@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regioncast.llm import decontaminate, langid, line_dedup, packing, periodic, quality, rules, simhash, suffix_dedup, toxicity, wavelet
+from regioncast.llm import decontaminate, langid, line_dedup, packing, periodic, prefix_trie, quality, rules, simhash, suffix_dedup, toxicity, wavelet
 from regioncast.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,9 +88,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations, with its subtree totals."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), family=100, shares=6)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fm_decontamination, op2_best_fit_packing, op3_lexicon_toxicity, op4_byte_cnn_language, op5_qda_quality, op6_wavelet_tokens,
-    op7_mcd_rules, op8_line_chunks, op9_radix_suffix_dedup, op10_simhash_pivots, op12_periodic_runs)}
+    op7_mcd_rules, op8_line_chunks, op9_radix_suffix_dedup, op10_simhash_pivots, op12_periodic_runs, op13_prefix_trie)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -136,4 +141,21 @@ kept AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS rest
 SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.l::BIGINT AS length, best.p::BIGINT AS period,
        (1000 * best.l // best.p)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
 FROM d LEFT JOIN per USING (r) LEFT JOIN kept USING (r)""",
+    "op13_prefix_trie": f"""
+WITH c AS (SELECT conv_id, list(struct_pack(r := role, t := text) ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS ts
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL) GROUP BY conv_id),
+h AS (SELECT conv_id, ts, {_CRC.format(id="conv_id")} % 6 AS h FROM c, {_CRC_TABLE}),
+b AS (SELECT h.conv_id, list_concat(list_slice(coalesce(c.ts, []), 1, h), list_slice(h.ts, h + 1, len(h.ts))) AS ts
+      FROM h LEFT JOIN c ON c.conv_id = h.conv_id - h.conv_id % 100),
+p AS (SELECT conv_id, d, list_slice(ts, 1, d) AS k, len(ts) = d AS whole, coalesce(length(ts[d].t), 0) AS chars
+      FROM (SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS d FROM b)),
+n AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved,
+             coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (whole), '') AS ends FROM p GROUP BY k, d),
+kid AS (SELECT list_slice(k, 1, d - 1) AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kid USING (k)),
+sub AS (SELECT list_slice(k, 1, e) AS k, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+        FROM (SELECT k, saved, n_children, unnest(range(d + 1)) AS e FROM f) GROUP BY 1)
+SELECT f.conv_id, f.d::BIGINT AS depth, up.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN sub USING (k) LEFT JOIN n up ON f.d > 0 AND up.k = list_slice(f.k, 1, f.d - 1)""",
 }
