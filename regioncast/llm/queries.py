@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regioncast.llm import decontaminate, langid, line_dedup, packing, periodic, prefix_trie, quality, rules, simhash, suffix_dedup, toxicity, wavelet
+from regioncast.llm import decontaminate, langid, line_dedup, packing, periodic, pii, prefix_trie, quality, rules, simhash, suffix_dedup, toxicity, wavelet
 from regioncast.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +75,19 @@ def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: counts and digest of the patterns' matches, and all spans, those of the field among them."""
+    got = pii.personal_data(table(spark, sf_dir, "documents"))
+
+    def joined(spans: str) -> F.Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    def matches(kind: str) -> F.Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return got.select("doc_id", *map(matches, pii.KINDS), F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of at least 12 words in all documents (a tenth of them rearranged), and what is left without the repeats."""
     got = periodic.periodic_runs(table(spark, sf_dir, "documents"), least=12, plant=True)
@@ -95,7 +108,7 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_fm_decontamination, op2_best_fit_packing, op3_lexicon_toxicity, op4_byte_cnn_language, op5_qda_quality, op6_wavelet_tokens,
-    op7_mcd_rules, op8_line_chunks, op9_radix_suffix_dedup, op10_simhash_pivots, op12_periodic_runs, op13_prefix_trie)}
+    op7_mcd_rules, op8_line_chunks, op9_radix_suffix_dedup, op10_simhash_pivots, op11_skip_chain_pii, op12_periodic_runs, op13_prefix_trie)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
