@@ -47,10 +47,11 @@ from regioncast.plans.exports import (
     export_q3_model_cells,
     export_q3_share_cells,
 )
+from regioncast.plans.params import KS
 from regioncast.plans.params import STAND_IN as B
 from regioncast.plans.query1 import avg_daily_doses_per_centre, centres_per_area, month_area_totals
 from regioncast.plans.query2 import band_month_forecasts, daily_band_totals, qualified_days, top_areas_next_month
-from regioncast.plans.query3 import area_forecasts, cluster_areas, coverage_share
+from regioncast.plans.query3 import area_forecasts, cluster_areas, coverage_share, share_sweep
 from regioncast.plans.run import run_all
 from regioncast.session import shared_dir
 from regioncast.sinks.files import compact, write_csv, write_result
@@ -272,6 +273,50 @@ def q_sweep_structure(spark: SparkSession, sf: str) -> DataFrame:
             .select(*run, "points", "clusters", "ordered_intervals", same.alias("cost_of_labels")))
 
 
+def _whole_sweep(spark, sf):
+    return share_sweep(coverage_share(T.daily_totals(spark, sf), T.population(spark, sf), B["first_june"], ordered=False))
+
+
+def q_sweep_optimality(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether every fit has converged, and its cost against the least cost that any k clusters of the shares have.
+
+    A fit is a fixed point if every point is at least as near to the mean of its own cluster as to that of any other; in a bisecting
+    fit this holds at every split, between the two sides.  The least cost is a dynamic programme over the sorted shares of the areas.
+    """
+    got, run = _whole_sweep(spark, sf), ["modello", "k"]
+    x = F.col("predizione_percentuale_vaccini")
+    # (choice, side): a k-means fit is one choice among its clusters, a bisecting fit one choice at each node above the leaf
+    choices = F.expr("""if(node = 0, array(named_struct('choice', 0L, 'side', bigint(cluster))),
+        transform(if(node > 1, sequence(1, int(floor(log2(node)))), array()),
+                  d -> named_struct('choice', shiftright(node, d), 'side', shiftright(node, d - 1))))""")
+    sides = got.clusters.select(*run, x.alias("x"), F.explode(choices).alias("c")).select(*run, "x", "c.choice", "c.side")
+    means = sides.groupBy(*run, "choice", "side").agg(F.avg("x").alias("mean"))
+    rivals = means.groupBy(*run, "choice").agg(F.collect_list("mean").alias("rivals"))  # k at most
+    own = sides.join(means, [*run, "choice", "side"]).join(rivals, [*run, "choice"])
+    near = F.abs(F.col("x") - F.col("mean")) <= F.array_min(F.transform("rivals", lambda m: F.abs(F.col("x") - m))) + 1e-12
+    fixed = own.groupBy(*run).agg(F.bool_and(near).alias("fixed_point"))
+    # one row: the shares of all areas about their mean, in order
+    xs = got.clusters.where((F.col("modello") == "K-MEANS") & (F.col("k") == KS[0])).agg(F.avg(x).alias("m"), F.sort_array(F.collect_list(x)).alias("v"))
+    xs = xs.select(F.transform("v", lambda v: v - F.col("m")).alias("x"), F.size("v").alias("n"))
+    places = F.expr("sequence(0, n)")
+    xs = xs.select("n", *(F.transform(places, lambda j: F.aggregate(F.slice("x", F.lit(1), j), F.lit(0.0), add)).alias(name)
+                          for name, add in (("s", lambda acc, v: acc + v), ("q", lambda acc, v: acc + v * v))))
+    part = "q[j] - q[i] - (s[j] - s[i]) * (s[j] - s[i]) / (j - i)"
+    best = xs.withColumn("d1", F.expr(f"transform(sequence(0, n), j -> if(j = 0, 0D, {part.replace('[i]', '[0]').replace('- i)', '- 0)')}))"))
+    for k in range(2, max(KS) + 1):
+        best = best.withColumn(f"d{k}", F.expr(f"transform(sequence(0, n), j -> if(j = 0, 0D, array_min(transform(sequence(0, j - 1), i -> d{k - 1}[i] + {part}))))"))
+    best = best.select(F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.expr(f"d{k}[n]").alias("least")) for k in KS))).alias("b")).select("b.k", "b.least")
+    return fixed.join(got.report, run).join(best, "k").select(
+        *run, "fixed_point", F.round("least", 9).alias("least_cost"), (F.col("cost_WSSSE") >= F.col("least") - 1e-12).alias("cost_not_below"))
+
+
+def q_sweep_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    """What each fit of the sweep took: passes, jobs and tasks counted by job group, and a wall time."""
+    got = _whole_sweep(spark, sf).accounts
+    return got.select("modello", "k", (F.col("steps") > 0).alias("stepped"), (F.col("jobs") >= F.col("steps")).alias("jobs_counted"),
+                      (F.col("tasks") >= F.col("jobs")).alias("tasks_counted"), (F.col("wall_ms") > 0).alias("timed"))
+
+
 # ---- Cells -----------------------------------------------------------------
 
 def q_cells_q1(spark: SparkSession, sf: str) -> DataFrame:
@@ -453,6 +498,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top5_in_order": q_top5_in_order,
     "coverage_in_order": q_coverage_in_order,
     "sweep_structure": q_sweep_structure,
+    "sweep_optimality": q_sweep_optimality,
+    "sweep_accounts": q_sweep_accounts,
     "full_run_cells_q2": q_full_run_cells_q2,
     "full_run_shares": q_full_run_shares,
     "full_run_clusters": q_full_run_clusters,

@@ -193,6 +193,47 @@ _RUNS = """runs AS (
   SELECT modello, k FROM (VALUES ('K-MEANS'), ('K-MEANS-BISECTING')) m(modello), (VALUES (2), (3), (4), (5)) n(k))"""
 
 
+# Bisecting k-means on the shares: the two means beside a node's own settle on a bound between its sides; k = 3 and the
+# last split of k = 5 take the largest leaf.
+def _split(nodes: str, out: str) -> str:
+    side = "list_filter(v, lambda x: x {} b)"
+    return f"""
+{out}_b AS (
+  SELECT node, v, list_avg(v) AS b, 0 AS step, FALSE AS settled FROM {nodes}
+  UNION ALL
+  SELECT node, v, n, step + 1, n = b FROM (
+    SELECT node, v, b, step, (list_avg({side.format('<=')}) + list_avg({side.format('>')})) / 2 AS n FROM {out}_b WHERE NOT settled AND step < 100)),
+{out} AS (
+  SELECT 2 * node AS node, {side.format('<=')} AS v FROM {out}_b WHERE settled
+  UNION ALL SELECT 2 * node + 1, {side.format('>')} FROM {out}_b WHERE settled)"""
+
+
+BISECTING_CTES = ",".join(("""
+root AS (SELECT 1 AS node, list_sort(list(predizione_percentuale_vaccini)) AS v FROM shares)""", _split("root", "two"), _split("two", "four"), """
+big AS (SELECT * FROM four ORDER BY len(v) DESC, node LIMIT 1)""", _split("big", "eight"), """
+larger AS (SELECT node FROM two ORDER BY len(v) DESC, node LIMIT 1),
+leaves AS (
+  SELECT 2 AS k, node, v FROM two
+  UNION ALL SELECT 3, node, v FROM two WHERE node NOT IN (FROM larger)
+  UNION ALL SELECT 3, node, v FROM four WHERE node // 2 IN (FROM larger)
+  UNION ALL SELECT 4, node, v FROM four
+  UNION ALL SELECT 5, node, v FROM four WHERE node NOT IN (SELECT node FROM big)
+  UNION ALL SELECT 5, node, v FROM eight),
+ranked AS (SELECT k, v, CAST(ROW_NUMBER() OVER (PARTITION BY k ORDER BY list_avg(v)) - 1 AS INTEGER) AS cluster FROM leaves)"""))
+
+# The least cost of k clusters of the shares, by a dynamic programme over their order.
+_PART = "q[j + 1] - q[i + 1] - (s[j + 1] - s[i + 1]) ** 2 / (j - i)"
+LEAST_CTES = """
+centred AS (SELECT list_sort(list(x)) AS x, len(list(x)) AS n
+  FROM (SELECT predizione_percentuale_vaccini - avg(predizione_percentuale_vaccini) OVER () AS x FROM shares)),
+prefix AS (SELECT n, list_transform(range(n + 1), lambda j: coalesce(list_sum(list_slice(x, 1, j)), 0)) AS s,
+  list_transform(range(n + 1), lambda j: coalesce(list_sum(list_transform(list_slice(x, 1, j), lambda v: v * v)), 0)) AS q FROM centred),
+l1 AS (SELECT *, list_transform(range(n + 1), lambda j: CASE WHEN j = 0 THEN 0 ELSE """ + _PART.replace("i + 1", "1").replace("j - i", "j") + """ END) AS d FROM prefix)""" + "".join(f""",
+l{k} AS (SELECT n, s, q, list_transform(range(n + 1), lambda j: CASE WHEN j = 0 THEN 0
+  ELSE list_min(list_transform(range(j), lambda i: d[i + 1] + {_PART})) END) AS d FROM l{k - 1})""" for k in range(2, 6)) + """,
+least AS (""" + " UNION ALL ".join(f"SELECT {k} AS k, d[n + 1] AS cost FROM l{k}" for k in range(2, 6)) + ")"
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip("\n") for c in ctes) + "\n"
 
@@ -300,6 +341,12 @@ SELECT regione, giorno, predizione_percentuale_vaccini, CAST(ROW_NUMBER() OVER (
     "predict_area_lenient": _with(VIEWS.replace("daily_totals AS", "all_totals AS"), LENIENT_VIEW, Q3_CTES) + "SELECT area, total, pred FROM area_fc",
     "unreadable_days": _with(VIEWS) + """
 SELECT area, COUNT(*) AS rows_left_out FROM daily_totals WHERE dayofmonth(CAST(day AS DATE)) = 31 GROUP BY area""",
+    "bisecting_sweep": _with(VIEWS, Q3_CTES, BISECTING_CTES).replace("WITH ", "WITH RECURSIVE ", 1) + """
+SELECT 'K-MEANS-BISECTING' AS modello, CAST(k AS INTEGER) AS k, regione, predizione_percentuale_vaccini AS percentuale_vaccinati, cluster
+FROM shares JOIN ranked ON list_contains(v, predizione_percentuale_vaccini)""",
+    "sweep_optimality": _with(VIEWS, Q3_CTES, _RUNS, LEAST_CTES) + """
+SELECT modello, k, TRUE AS fixed_point, ROUND(cost, 9) AS least_cost, TRUE AS cost_not_below FROM runs JOIN least USING (k)""",
+    "sweep_accounts": _with(_RUNS) + "SELECT modello, k, TRUE AS stepped, TRUE AS jobs_counted, TRUE AS tasks_counted, TRUE AS timed FROM runs",
     "sweep_structure": _with(VIEWS, Q3_CTES, _RUNS) + """
 SELECT modello, k, (SELECT COUNT(*) FROM shares) AS points, CAST(k AS BIGINT) AS clusters, TRUE AS ordered_intervals,
        TRUE AS cost_of_labels FROM runs""",

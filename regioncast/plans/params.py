@@ -17,10 +17,10 @@ STAND_IN = {
 }
 
 # Query 2 keeps the first 5 areas; a month needs 2 non-zero days; Query 3
-# sweeps k = 2..5 with at most 100 iterations; each bisecting split runs 20.
+# sweeps k = 2..5 with at most 100 iterations, of a k-means fit or a bisecting split.
 TOP_N = 5
 MIN_DAYS = 2
 KS = (2, 3, 4, 5)
 MAX_ITER = 100
-SPLIT_ITER = 20
+SPLIT_ITER = 100
 MODELS = ("K-MEANS", "K-MEANS-BISECTING")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from regioncast.functions.arith import share
 from regioncast.functions.calendar import day_x, first_day_label
 from regioncast.functions.names import DEFAULT_NAME_RULES, normalise_names
-from regioncast.operators.clustering import kmeans_sweep
+from regioncast.operators.clustering import Sweep, kmeans_sweep, sweep
 from regioncast.operators.filters import between_days, day_of, require_non_null
 from regioncast.operators.forecast import exact_forecast, regression_sums
 from regioncast.operators.ranking import order_result
@@ -59,8 +59,13 @@ def coverage_share(daily_totals: DataFrame, population: DataFrame, hi: str = REF
 
 def cluster_areas(shares: DataFrame, ks: Sequence[int] = KS, models: Sequence[str] = MODELS,
                   seed: int = 1, max_iter: int = MAX_ITER, bisecting: str = "bisecting", split_iter: int = SPLIT_ITER,
-                  checkpoint: bool = True, parallel_fits: int = 1) -> tuple[DataFrame, DataFrame]:
+                  checkpoint: bool = True, parallel_fits: int = 4) -> tuple[DataFrame, DataFrame]:
     """(clusters, model report) over the shares of ``coverage_share``."""
     return kmeans_sweep(shares, key="regione", value="predizione_percentuale_vaccini", ks=ks,
                         models=models, seed=seed, max_iter=max_iter, bisecting=bisecting, split_iter=split_iter,
                         checkpoint=checkpoint, parallel_fits=parallel_fits)
+
+
+def share_sweep(shares: DataFrame, ks: Sequence[int] = KS, models: Sequence[str] = MODELS, seed: int = 1) -> Sweep:
+    """The same fits with what they took and the bisecting tree's leaves."""
+    return sweep(shares, "regione", ["predizione_percentuale_vaccini"], ks, models, seed, MAX_ITER, split_iter=SPLIT_ITER)

@@ -9,7 +9,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from regioncast.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
-NO_SQL = {"kmeans_sweep", "bisecting_sweep", "model_report", "cells_q3_model", "cells_q3_cluster"}
+NO_SQL = {"kmeans_sweep", "model_report", "cells_q3_model", "cells_q3_cluster"}
 SLOW = NO_SQL
 
 
