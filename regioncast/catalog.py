@@ -8,6 +8,7 @@ by the parity of their id, and for key lookups and deletes the list of keys (the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -23,16 +24,19 @@ from regioncast.functions.calendar import (
     month_number,
     month_start,
     next_month_start,
+    parse_day,
 )
 from regioncast.functions.names import normalise_names
 from regioncast.operators.aggregate import count_by, sum_by
 from regioncast.operators.cells import (
     cell_history,
     delete_cells,
+    history_map,
     latest_cells,
     put_cells,
     resolve_versions,
     scan_cells,
+    store_cells,
 )
 from regioncast.operators.clustering import cluster_cost, vectors
 from regioncast.operators.filters import between_days, unreadable_days
@@ -54,7 +58,7 @@ from regioncast.plans.query2 import band_month_forecasts, daily_band_totals, qua
 from regioncast.plans.query3 import area_forecasts, cluster_areas, coverage_share, share_sweep
 from regioncast.plans.run import run_all
 from regioncast.session import shared_dir
-from regioncast.sinks.files import compact, write_csv, write_result
+from regioncast.sinks.files import compact, preview, write_csv, write_result
 from regioncast.sources import tables as T
 from regioncast.sources.files import REFERENCE_FILES, by_position, ingest_csv, read_inputs, read_result
 from regioncast.streaming.ingest import ingest_csv_stream
@@ -489,6 +493,79 @@ def q_compacted(spark: SparkSession, sf: str) -> DataFrame:
     return compact(spark, staging, f"{folder}/compacted")
 
 
+def q_cells_history_map(spark: SparkSession, sf: str) -> DataFrame:
+    """The same versions as one map per cell, shown as JSON."""
+    maps = history_map(_event_table(spark, sf), keys=_supplier_keys(spark, sf, EVENT_FAMILY))
+    return maps.select("row_key", "family", "qualifier", F.size("history").cast("long").alias("versions"), F.to_json("history").alias("history"))
+
+
+def _stored(cells: DataFrame) -> DataFrame:
+    """The cells as a table in buckets, written to the shared folder."""
+    name = f"cells_{uuid.uuid4().hex[:12]}"
+    return store_cells(cells, name, shared_dir(cells.sparkSession, name), buckets=8)
+
+
+def q_cells_stored_put(spark: SparkSession, sf: str) -> DataFrame:
+    """A put into a stored table: the events of even id are stored, those of odd id put into them."""
+    return put_cells(_stored(resolve_versions(T.event_cells(spark, sf, 0), "seq")), T.event_cells(spark, sf, 1), "seq")
+
+
+def q_cells_stored_get(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest values of the rows of a key list, from the stored table after the put."""
+    return latest_cells(_stored(_event_table(spark, sf)), keys=_supplier_keys(spark, sf))
+
+
+def q_cells_stored_deleted(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest version of a column of every row deleted, in the stored table after the put."""
+    return delete_cells(_stored(_event_table(spark, sf)), _event_columns(spark, sf), versions="latest")
+
+
+def _damaged_csv(spark: SparkSession, sf: str) -> str:
+    """Daily totals as CSV files in which records of days 31 have no number for a total and those of days 30 a field too many."""
+    day = F.dayofmonth("day")
+    total = F.when(day == 31, F.lit("n/a")).otherwise(F.col("total").cast("string"))
+    extra = F.when(day == 30, F.lit(",more")).otherwise(F.lit(""))
+    lines = T.daily_totals(spark, sf).select(F.concat(day_string("day"), F.lit(","), total, F.lit(","), "area", extra).alias("day,total,area"))
+    path = shared_dir(spark, "damaged")
+    lines.write.option("header", True).option("sep", "|").csv(path)
+    return path
+
+
+def _kept_and_rejected(good: DataFrame, bad: DataFrame) -> DataFrame:
+    kept = good.groupBy("area").agg(F.count("*").alias("kept"), F.sum("total").alias("total"))
+    lost = bad.groupBy(F.split("record", ",")[2].alias("area")).agg(F.count("*").alias("rejected"))
+    return kept.join(lost, "area", "full").select("area", F.coalesce("kept", F.lit(0)).alias("kept"), "total",
+                                                  F.coalesce("rejected", F.lit(0)).alias("rejected"))
+
+
+def q_csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Kept and rejected records per area of an ingest that goes on past malformed ones."""
+    out = shared_dir(spark, "ingest")
+    good = ingest_csv(spark, _damaged_csv(spark, sf), "day DATE, total BIGINT, area STRING", f"{out}/good", rejects=f"{out}/bad")
+    return _kept_and_rejected(good, spark.read.parquet(f"{out}/bad"))
+
+
+def q_stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by the ingest stream."""
+    out = shared_dir(spark, "stream")
+    query = ingest_csv_stream(spark, _damaged_csv(spark, sf), "day DATE, total BIGINT, area STRING", f"{out}/good", f"{out}/done",
+                              max_files_per_trigger=2, rejects=f"{out}/bad")
+    query.awaitTermination()
+    return _kept_and_rejected(spark.read.parquet(f"{out}/good"), spark.read.parquet(f"{out}/bad"))
+
+
+def q_smart_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per day and area when every 28th is written as a 31st: a day past its month's end is the month's last day."""
+    text = F.concat(F.date_format("day", "yyyy-MM-"), F.when(F.dayofmonth("day") == 28, "31").otherwise(F.date_format("day", "dd")))
+    rows = T.daily_totals(spark, sf).select(parse_day(text, mode="smart").alias("day"), "area")
+    return rows.groupBy("day", "area").agg(F.count("*").alias("n"))
+
+
+def q_previewed(spark: SparkSession, sf: str) -> DataFrame:
+    """The first rows of query 1's result, as the debug preview shows them."""
+    return preview(q1_avg_daily_per_centre(spark, sf).orderBy(F.desc("numero_medio_vaccini"), "mese", "regione"), 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1_avg_daily_per_centre": q1_avg_daily_per_centre,
     "q1_in_order": q1_in_order,
@@ -545,6 +622,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cells_history": q_cells_history,
     "cells_deleted": q_cells_deleted,
     "cells_scan": q_cells_scan,
+    "cells_history_map": q_cells_history_map,
+    "cells_stored_put": q_cells_stored_put,
+    "cells_stored_get": q_cells_stored_get,
+    "cells_stored_deleted": q_cells_stored_deleted,
+    "csv_rejects": q_csv_rejects,
+    "stream_rejects": q_stream_rejects,
+    "smart_days": q_smart_days,
+    "previewed": q_previewed,
     "position_scan": q_position_scan,
     "csv_round_trip": q_csv_round_trip,
     "compacted": q_compacted,

@@ -40,7 +40,7 @@ def parse_day(c: str | Column, lenient: bool = False, mode: str | None = None) -
         return F.try_to_date(c, DAY_FORMAT)
     if mode == "smart":
         parts = F.split(c, "-")
-        y, m, d = (F.element_at(parts, i).try_cast("int") for i in (1, 2, 3))
+        y, m, d = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
         first = F.when((F.size(parts) == 3) & m.between(1, 12) & d.between(1, 31),
                        F.make_date(y, m, F.lit(1)))
         return F.date_add(first, F.least(d, F.dayofmonth(F.last_day(first))) - 1)

@@ -126,14 +126,46 @@ def latest_cells(cells: DataFrame, keys: DataFrame | None = None) -> DataFrame:
 def cell_history(cells: DataFrame, keys: DataFrame | None = None, ordered: bool = False) -> DataFrame:
     """All versions of the selected cells, one row per version (C4).
 
-    The reference returns a ``ts -> value`` map per cell; a version list can
-    be arbitrarily long, so it stays in rows; ``ordered`` sorts the whole
-    result by cell, then ts.
+    A version list can be arbitrarily long, so it stays in rows; ``ordered`` sorts the whole
+    result by cell, then ts.  ``history_map`` is the reference's form of it.
     """
     hist = _restrict(cells, keys).select(*CELL_COLUMNS)
     return hist.orderBy(*CELL_ID, "ts") if ordered else hist
 
 
+def history_map(cells: DataFrame, keys: DataFrame | None = None, max_versions: int = 1_000_000) -> DataFrame:
+    """Per selected cell the map ``ts -> value`` of all its versions, in ascending order of ts (C4, the reference's form).
+
+    Output: row_key, family, qualifier, history.  A cell's map is one value in one row, so it has to fit a task's memory: a cell of more than
+    ``max_versions`` fails the query by name, rather than being cut; ``cell_history`` has no such limit.  Of equal versions the
+    greatest value stays.
+    """
+    versions = resolve_versions(_restrict(cells, keys))
+    many = F.raise_error(F.concat(F.lit("too many versions for a map in cell "), F.concat_ws(KEY_SEP, *CELL_ID))).cast("map<bigint,string>")
+    listed = F.sort_array(F.collect_list(F.struct("ts", "value")))
+    return versions.groupBy(*CELL_ID).agg(F.when(F.count("*") > max_versions, many).otherwise(F.map_from_entries(listed)).alias("history"))
+
+
+def store_cells(cells: DataFrame, name: str, path: str, buckets: int = 64, by: Sequence[str] = ("row_key",)) -> DataFrame:
+    """Write a cell table once, in ``buckets`` by a hash of ``by`` and sorted by cell and version, as the table ``name`` at ``path``.
+
+    Puts, gets, deletes and scans of the stored table then shuffle the batch or key list only, never the table; for the
+    joins this needs ``spark.sql.requireAllClusterKeysForCoPartition`` off, as `session.get_session` sets it.  A row that
+    holds a large share of all cells is one bucket: bucket by all of `CELL_ID` then, and name whole cells in key lists.
+    """
+    writer = check_cells(cells).repartition(buckets, *by).write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, *by).sortBy(*CELL_ID, "ts").saveAsTable(name)
+    return cells.sparkSession.table(name)
+
+
+def open_cells(spark, name: str, path: str, buckets: int = 64, by: Sequence[str] = ("row_key",)) -> DataFrame:
+    """A table of `store_cells` in a session whose catalog doesn't know it yet; ``buckets`` and ``by`` as it was stored with."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CELL_SCHEMA.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({', '.join(by)}) "
+              f"SORTED BY ({', '.join((*CELL_ID, 'ts'))}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def delete_cells(cells: DataFrame, targets: DataFrame, versions: str = "latest") -> DataFrame:
     """Delete rows, families or columns named by ``targets``.
 

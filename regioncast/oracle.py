@@ -314,6 +314,17 @@ WHERE NOT EXISTS (SELECT 1 FROM ev_latest l WHERE l.qualifier = 'click' AND l.ro
     "cells_scan": _with(CELL_CTES) + f"{_CELL_COLUMNS} ev_latest WHERE family = 'web' AND qualifier = 'click'",
     "cells_scan_family": _with(CELL_CTES) + f"{_CELL_COLUMNS} ev_latest WHERE family = 'web'",
     "position_scan": "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer",
+    "cells_history_map": _with(CELL_CTES) + """
+SELECT row_key, family, qualifier, CAST(cardinality(history) AS BIGINT) AS versions, CAST(to_json(history) AS VARCHAR) AS history
+FROM (SELECT row_key, family, qualifier, map_from_entries(list((ts, value) ORDER BY ts)) AS history FROM ev_table
+      WHERE family = 'web' AND row_key IN (SELECT row_key FROM ev_keys) GROUP BY ALL)""",
+    "csv_rejects": _with(VIEWS) + """
+SELECT area, COUNT(*) FILTER (dayofmonth(CAST(day AS DATE)) < 30) AS kept, CAST(SUM(total) FILTER (dayofmonth(CAST(day AS DATE)) < 30) AS BIGINT) AS total,
+       COUNT(*) FILTER (dayofmonth(CAST(day AS DATE)) >= 30) AS rejected FROM daily_totals GROUP BY area""",
+    "smart_days": _with(VIEWS) + """
+SELECT CASE WHEN dayofmonth(CAST(day AS DATE)) = 28 THEN last_day(CAST(day AS DATE)) ELSE CAST(day AS DATE) END AS day, area, COUNT(*) AS n FROM daily_totals GROUP BY ALL""",
+    "previewed": _with(VIEWS, Q1_CTES) + """
+SELECT mese, regione, numero_medio_vaccini FROM q1 ORDER BY numero_medio_vaccini DESC, mese, regione LIMIT 20""",
     "csv_round_trip": _with(VIEWS) + "SELECT day, total, area FROM daily_totals",
     "compacted": _with(VIEWS) + "SELECT day, total, area FROM daily_totals",
     "stream_ingested": _with(VIEWS) + "SELECT day, total, area FROM daily_totals",
@@ -361,3 +372,6 @@ SELECT modello, k, (SELECT COUNT(*) FROM shares) AS areas, CAST(k AS BIGINT) AS
         ("predizione_vaccinati_totale", "predizione_percentuale_vaccini")]),
 }
 ORACLE_SQL["full_run_cells_q2"] = ORACLE_SQL["cells_q2"]
+ORACLE_SQL["stream_rejects"] = ORACLE_SQL["csv_rejects"]
+for _name in ("put", "get", "deleted"):  # a stored table gives the same rows
+    ORACLE_SQL[f"cells_stored_{_name}"] = ORACLE_SQL[f"cells_{_name}"]

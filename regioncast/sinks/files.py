@@ -6,9 +6,11 @@ nothing is renamed and no single part file is assumed (B10).
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bytes of a Parquet file that compaction aims at.
+FILE_BYTES = 128 << 20
 
 
 def write_result(df: DataFrame, folder: str, name: str, mode: str = "overwrite",
@@ -29,24 +31,29 @@ def write_csv(df: DataFrame, folder: str, name: str, mode: str = "overwrite") ->
     return path
 
 
+def listed_bytes(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> int:
+    """Total size of a folder's files, subfolders too, as the file system lists them; no file is opened."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+             .load(folder).select("length"))
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
 def compact(spark: SparkSession, src: str, dst: str, num_files: int | None = None,
-            rows_per_file: int = 5_000_000) -> DataFrame:
-    """Rewrite the Parquet folder ``src`` into fewer files at ``dst`` (K3).
-
-    ``num_files`` fixes the count (1 reproduces the reference for small
-    results); otherwise it is derived from the row count so each file holds
-    about ``rows_per_file`` rows.  One file uses ``coalesce(1)`` (no
-    shuffle, as the reference); more files use ``repartition`` so the read
-    stays parallel and the files come out even.  ``src`` is left in place
-    for the caller.
+            rows_per_file: int | None = None, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Rewrite the Parquet folder ``src`` into files of about ``file_bytes`` at ``dst`` (K3).
+
+    The number of files is the listed size of ``src`` over ``file_bytes``, whatever the rows' width; ``num_files`` fixes it
+    (1 reproduces the reference).  Rows are dealt evenly, so the read stays parallel and no row is counted.
+    ``rows_per_file`` also bounds the rows of a file.  ``src`` is left in place for the caller.
     """
     if src.rstrip("/") == dst.rstrip("/"):
         raise ValueError("compact: source and destination must differ")
-    df = spark.read.parquet(src)
     if num_files is None:
-        num_files = max(1, math.ceil(df.count() / rows_per_file))
-    out = df.coalesce(1) if num_files == 1 else df.repartition(num_files)
-    out.write.mode("overwrite").parquet(dst)
+        num_files = max(1, round(listed_bytes(spark, src) / file_bytes))
+    writer = spark.read.parquet(src).repartition(num_files).write.mode("overwrite")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(dst)
     return spark.read.parquet(dst)
 
 
@@ -55,6 +62,7 @@ def write_cells(cells: DataFrame, folder: str, table: str, mode: str = "overwrit
     return write_result(cells, folder, table, mode=mode)
 
 
-def preview(df: DataFrame, n: int = 20) -> None:
-    """Print the first ``n`` rows (K5); never an unbounded collect."""
+def preview(df: DataFrame, n: int = 20) -> DataFrame:
+    """Print the first ``n`` rows (K5) and return them; never an unbounded collect."""
     df.show(n, truncate=False)
+    return df.limit(n)

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def by_position(df: DataFrame, positions: Sequence[int] | Mapping[int, str]) -> DataFrame:
@@ -81,15 +81,46 @@ def read_result(spark: SparkSession, name: str, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}")
 
 
+#: Column that holds the text of a record that doesn't fit the schema.
+BAD_RECORD = "_bad_record"
+
+
+def permissive(schema: StructType | str) -> StructType:
+    """The schema with `BAD_RECORD` after its columns."""
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    return StructType([*fields.fields, StructField(BAD_RECORD, StringType())])
+
+
+def split_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows read with `permissive`, as (good rows, rejects): a reject is its ``record``, the ``file`` it came from and ``parsed``,
+    the fields that could be read as JSON."""
+    fields = [c for c in df.columns if c != BAD_RECORD]
+    good = df.where(F.col(BAD_RECORD).isNull()).select(*fields)
+    bad = df.where(F.col(BAD_RECORD).isNotNull()).select(
+        F.col(BAD_RECORD).alias("record"), F.input_file_name().alias("file"), F.to_json(F.struct(*fields)).alias("parsed"))
+    return good, bad
+
+
 def ingest_csv(spark: SparkSession, src: str, schema: StructType | str,
                dst: str | None = None, mode: str = "overwrite",
-               partition_by: Sequence[str] | None = None) -> DataFrame:
+               partition_by: Sequence[str] | None = None, rejects: str | None = None) -> DataFrame:
     """Bring header CSV files in with an explicit schema (no inference).
 
     With ``dst`` the rows are written as Parquet (optionally partitioned, so
     later date filters prune whole folders) and the Parquet copy is returned.
+    A record that doesn't fit the schema (a field too many or too few, a value of another type) fails the ingest; with ``rejects`` it
+    goes to the Parquet table of that path (record, file, parsed) and the others are kept.  ``rejects`` needs ``dst``: only
+    when all fields are read is a record judged as a whole.
     """
-    df = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(src)
+    reader = spark.read.option("header", True)
+    if rejects is None:
+        df = reader.schema(schema).option("mode", "FAILFAST").csv(src)
+    elif dst is None:
+        raise ValueError("rejects need a destination for the good rows")
+    else:
+        every = reader.schema(permissive(schema)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_RECORD).csv(src)
+        df, bad = split_records(every)
+        bad.write.mode(mode).parquet(rejects)
     if dst is None:
         return df
     writer = df.write.mode(mode)
