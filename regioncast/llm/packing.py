@@ -5,8 +5,8 @@ sequence; `pack_pieces` places pieces by best-fit decreasing.  A segment tree
 over the remaining capacities finds the tightest open sequence in
 logarithmic time per piece.
 
-Pieces are dealt by a hash of their key into groups of about `GROUP_PIECES`, so
-that no source, id range or length class meets in one task; each group is
+Pieces are dealt by a hash of their key and of their place in the table into groups of about `GROUP_PIECES`, or
+`GROUP_BYTES` of token ids if that is less, so that no id, source, id range or length class meets in one task; each group is
 packed by itself and can leave a sequence or two part-filled, which is far
 below one in a thousand.
 """
@@ -15,15 +15,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regioncast.llm.common import groups_for, narrowed, slices, small_batches, stored
 from regioncast.llm.tokens import Encoder, little_endian
 
 #: Pieces that one task packs.
 GROUP_PIECES = 60_000
+#: Token ids, as bytes, that one task packs.
+GROUP_BYTES = 64 << 20
 
 
 class CapacityTree:
@@ -112,29 +116,41 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, en
         cut, "doc_id long, piece int, start long, length long, ids binary")
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = 2048, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """``pieces`` (doc_id, piece, length and any further columns) with sequence_id and offset added.
+def pack_pieces(pieces: DataFrame, capacity: int = 2048, group_pieces: int = GROUP_PIECES, group_bytes: int = GROUP_BYTES) -> DataFrame:
+    """``pieces`` (doc_id, piece, length and any further columns, such as their ids) with sequence_id and offset added.
 
     Every sequence holds its pieces without gaps from offset 0 on.  Sequence ids are
-    unique, not consecutive.  An empty input gives no rows.  Ties are ordered by doc_id, piece.
+    unique, not consecutive.  An empty input gives no rows.  Ties are ordered by doc_id, piece.  Repeated and null doc_ids are pieces
+    like any other, and are spread over all groups.
     """
-    kept = stored(pieces, "pieces")
-    groups = groups_for(kept.count(), group_pieces)
-    schema = kept.schema.add("sequence_id", "long").add("offset", "long")
+    kept = stored(pieces.withColumn("place", F.monotonically_increasing_id()), "pieces")
+    rows, tokens = kept.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    groups = max(groups_for(rows, group_pieces), groups_for(4 * tokens, group_bytes))
+    schema = T.StructType([*pieces.schema.fields, *(T.StructField(n, T.LongType()) for n in ("sequence_id", "offset"))])
 
     def pack(batches):
         parts = [b for b in batches if b.num_rows]
         if not parts:
             return
-        rows = pa.Table.from_batches(parts).sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
-        seq, off = best_fit_decreasing(rows["length"].to_numpy(), capacity)
+        rows = pa.Table.from_batches(parts)
+        order = pc.sort_indices(rows, sort_keys=[("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("place", "ascending")]).to_numpy()
+        seq, off = np.empty(len(order), dtype=np.int64), np.empty(len(order), dtype=np.int64)
+        seq[order], off[order] = best_fit_decreasing(rows["length"].to_numpy()[order], capacity)
         seq += TaskContext.get().partitionId() << 32
-        yield from rows.append_column("sequence_id", pa.array(seq)).append_column("offset", pa.array(off)).combine_chunks().to_batches()
+        at = 0
+        for b in parts:  # as they came: the ids are not copied
+            to = at + b.num_rows
+            columns = [c for c, name in zip(b.columns, b.schema.names) if name != "place"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(seq[at:to]), pa.array(off[at:to])], names=schema.names)
+            at = to
 
-    return kept.repartition(groups, F.xxhash64("doc_id", "piece")).mapInArrow(pack, schema)
+    return kept.repartition(groups, F.xxhash64("doc_id", "piece", "place")).mapInArrow(pack, schema)
 
 
 def packed(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
-    """Tokenize, cut and pack; the ids of each piece travel as their checksum (`ids_crc32`)."""
-    pieces = cut_documents(docs, tokenizer_path, capacity, end_id)
-    return pack_pieces(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), capacity)
+    """(doc_id, piece, start, length, ids, sequence_id, offset, ids_crc32): all documents' tokens, cut into pieces and packed.
+
+    A training sequence is the ``ids`` of one sequence_id's pieces by offset.  Null and empty texts are the end id alone, a text of any
+    length is cut whole, rows with a null or repeated doc_id are documents like any other, extra columns are ignored, no rows give no rows.
+    """
+    return pack_pieces(cut_documents(docs, tokenizer_path, capacity, end_id), capacity).withColumn("ids_crc32", F.crc32("ids"))

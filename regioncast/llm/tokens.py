@@ -3,8 +3,9 @@
 The library's byte-level BPE never merges across the pieces that its
 pre-tokenizer cuts, so a piece has the same ids wherever it stands.  Texts of
 plain characters are therefore split at blanks, each new word is cut into pieces, and each
-new piece goes to the library's model; the ids of words met before are kept.  Texts with any other character, or with blanks beside other white
-space, go to the library whole.  Both ways give the same ids.
+new piece goes to the library's model; the ids of words met before are kept.  Texts with any other character, with blanks beside other white
+space, or with the string of an added token (such as ``<|endoftext|>``, which the library gives its own id) go to the library whole.
+Both ways give the library's ids with its defaults.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import pyarrow as pa
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+# The byte-level vocabulary's alphabet and cutting pattern, as the tokenizer file has them.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[\x20-\x7e\n{_LETTERS}]*")
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
@@ -56,7 +58,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = (t.content for t in self.whole.get_added_tokens_decoder().values())
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.model = self.whole.model
         self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self.blank = _byte_letters()[32]
@@ -92,7 +95,8 @@ class Encoder:
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers; null is empty."""
         values = [x or "" for x in texts.to_pylist()]
-        plain = [_PLAIN.fullmatch(x) is not None and not ("  " in x or "\n " in x or " \n" in x or x.endswith(" ")) for x in values]
+        plain = [_PLAIN.fullmatch(x) is not None and not ("  " in x or "\n " in x or " \n" in x or x.endswith(" ") or self.added.search(x))
+                 for x in values]
         out = [self._plain(x) if ok else b"" for x, ok in zip(values, plain)]
         odd = [i for i, ok in enumerate(plain) if not ok]
         for i, e in zip(odd, self.whole.encode_batch_fast([values[i] for i in odd], add_special_tokens=False)):

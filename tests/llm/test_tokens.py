@@ -18,7 +18,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def whole():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda x: t.encode(x or "", add_special_tokens=False).ids
 
 
@@ -29,6 +28,13 @@ def test_encoder_equals_library(whole):
         assert np.frombuffer(ids, "<u4").tolist() == whole(x)
 
 
+def test_added_tokens_have_their_own_ids(whole):
+    texts = ["<|endoftext|>", "<|endoftext|> as text", "plain <|endoftext|> inside", "tail<|endoftext|>", "<|endoftext|" + "|>", "<|endoftext |>"]
+    got = Encoder.at(PATH).encode(pa.array(texts, type=pa.string()))
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [whole(x) for x in texts]
+    assert np.frombuffer(got[0], "<u4").tolist() == [50256]
+
+
 def test_best_fit_matches_a_scan_over_all_open_bins():
     rng = np.random.default_rng(1)
     for cap in (10, 63, 64, 2048):
@@ -88,6 +94,36 @@ def test_packing_hard_cases(spark, whole):
     assert packing.packed(docs.limit(0), PATH).collect() == []
 
 
+def test_sequences_hold_the_tokens(spark, whole):
+    docs = dict(sf_rows())
+    by_seq = {}
+    for r in packing.packed(documents(spark, list(docs.items())), PATH).collect():
+        ids = np.frombuffer(bytes(r.ids), "<u4")
+        assert len(ids) == r.length
+        by_seq.setdefault(r.sequence_id, []).append((r.offset, r.doc_id, r.piece, ids))
+    found = {}
+    for parts in by_seq.values():
+        tokens = np.concatenate([p[3] for p in sorted(parts, key=lambda p: p[0])])
+        assert len(tokens) <= 2048
+        for offset, doc_id, piece, ids in parts:
+            assert (tokens[offset:offset + len(ids)] == ids).all()
+            found.setdefault(doc_id, {})[piece] = ids
+    assert all(np.concatenate([found[d][p] for p in sorted(found[d])]).tolist() == whole(t) + [0] for d, t in docs.items())
+
+
+def test_a_null_id_does_not_fill_one_group(spark, monkeypatch):
+    rows = [(None, f"word {i}") for i in range(1500)] + [(i, f"other {i}") for i in range(1500)]
+    pieces = packing.cut_documents(documents(spark, rows), PATH)
+    got = packing.pack_pieces(pieces, group_pieces=300).collect()
+    assert len(got) == 3000
+    sizes = {}
+    for r in got:
+        sizes[r.sequence_id >> 32] = sizes.get(r.sequence_id >> 32, 0) + 1
+    assert len(sizes) == 10 and max(sizes.values()) < 600
+    by_bytes = packing.pack_pieces(pieces, group_bytes=4 * sum(r.length for r in got) // 4).collect()
+    assert len({r.sequence_id >> 32 for r in by_bytes}) == 4
+
+
 def test_packing_in_several_groups(spark):
     docs = documents(spark, sf_rows())
     pieces = packing.cut_documents(docs, PATH).select("doc_id", "piece", "start", "length")
