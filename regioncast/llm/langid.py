@@ -5,7 +5,7 @@ response in a window is kept (max pooling), and a softmax layer gives the langua
 log-probabilities, so long texts are read whole and in constant memory.
 
 The network is trained in numpy on the driver with windows of at most `TRAIN_DOCS` labelled documents of each language (the first by a hash of the
-id, so the choice does not depend on order or source); at most `TRAIN_WINDOWS` windows of each, spread evenly over its whole text.
+id, so the choice does not depend on order or source); `TRAIN_WINDOWS` windows of each, any of its whole text, drawn by a hash of it.
 """
 
 from __future__ import annotations
@@ -134,27 +134,35 @@ def training_windows(docs: DataFrame, folds: int, held_fold: int) -> tuple[list[
     """Languages, windows and labels of the bounded sample."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()
                           & (F.pmod(crc_of_id(F.col("doc_id")), F.lit(folds)) != held_fold))
-    # The ids are chosen before the texts are read.  Each language's ids are first thinned by their hash to about twice what is
-    # taken, so few rows of a language meet in the ranking, whatever its share of the corpus.
+    # The ids are chosen before the texts are read.  Each language's ids are first thinned by their hash to a few times what is
+    # taken, so few ids of a language meet in the ranking, whatever its share of the corpus; the share comes from the number of
+    # different ids, as the rows of one id stay or go together.
     ids = labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("place"))
-    share = F.least(F.lit(1.0), 2.0 * TRAIN_DOCS / F.col("count"))
-    counts = stored(ids.groupBy("lang").count(), "counts")  # a row for each language
-    thin = ids.join(F.broadcast(counts), "lang").where(F.pmod("place", F.lit(1_000_003)) < share * 1_000_003)
+    share = F.least(F.lit(1.0), 4.0 * TRAIN_DOCS / F.col("ids"))
+    counts = stored(ids.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids")), "counts")  # a row for each language
+    thin = ids.join(F.broadcast(counts), "lang").where(F.pmod("place", F.lit(1_000_003)) < share * 1_000_003).select("lang", "doc_id", "place").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
-    chosen = stored(thin.withColumn("rank", rank).where(F.col("rank") <= TRAIN_DOCS).select("lang", "doc_id").distinct(), "chosen")
+    first = stored(thin.withColumn("rank", rank).where(F.col("rank") <= TRAIN_DOCS).select("lang", "doc_id", "place"), "chosen")
+    # At most TRAIN_DOCS ids of each language, as the network has a column for each; an id may have many rows, of which as many stay.
+    keyed = labelled.withColumn("key", F.xxhash64("text"))
+    rows = keyed.join(F.broadcast(first), ["lang", "doc_id"]).select("lang", "doc_id", "place", "key").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id", "key"))
+    chosen = stored(rows.withColumn("rank", rank).where(F.col("rank") <= TRAIN_DOCS).select("lang", "doc_id", "key"), "rows")
 
     def cut(batches):
         for batch in slices(batches, "text"):
             rows = []
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            for lang, key, text in zip(batch.column("lang").to_pylist(), batch.column("key").to_pylist(), batch.column("text").to_pylist()):
                 all_ = windows_of(text)
-                for k in np.unique(np.linspace(0, len(all_) - 1, min(TRAIN_WINDOWS, len(all_))).astype(int)):
-                    rows.append((lang, all_[k].tobytes()))
+                some = np.random.default_rng(key & (2**63 - 1)).choice(len(all_), min(TRAIN_WINDOWS, len(all_)), replace=False)
+                rows += [(lang, key, int(k), all_[k].tobytes()) for k in some]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), (pa.string(), pa.binary()))], names=["lang", "bytes"])
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=["lang", "key", "place", "bytes"])
 
-    # At most TRAIN_DOCS ids of each language, as the network has a column for each.
-    got = labelled.join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi").select("lang", "text").mapInArrow(cut, "lang string, bytes binary").collect()
+    texts = keyed.join(F.broadcast(chosen), ["lang", "doc_id", "key"], "left_semi").select("lang", "key", "text")
+    # Equal rows give equal windows, and one of each stays.
+    got = texts.mapInArrow(cut, "lang string, key long, place long, bytes binary").distinct().collect()
     got.sort(key=lambda r: (r.lang, bytes(r.bytes)))
     classes = sorted({r.lang for r in got})
     windows = np.frombuffer(b"".join(bytes(r.bytes) for r in got), dtype=np.uint8).reshape(-1, WINDOW)

@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from regioncast.llm.common import crc_of_id, narrowed, slices, small_batches, stored
+from regioncast.llm.common import crc_of_id, narrowed, slices, small_batches, stored, whole_row
 
 TRAIN_TOXIC, TRAIN_CLEAN = 8_000, 16_000
 #: Insults that are offered to the lexicon beside the learned terms.
@@ -239,8 +240,13 @@ def _sample(docs: DataFrame, labels: DataFrame, folds: int, held_fold: int) -> D
     own = docs.where("doc_id is not null").select("doc_id", "text")
     part = lambda toxic, n: open_.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     ids = stored(part(1, TRAIN_TOXIC).union(part(0, TRAIN_CLEAN)), "ids")
-    # At most TRAIN_TOXIC + TRAIN_CLEAN ids: small enough for every worker, whatever the corpus.
-    texts = own.join(F.broadcast(ids), "doc_id").select(F.xxhash64("text").alias("text_id"), "toxic", "text")
+    # At most TRAIN_TOXIC + TRAIN_CLEAN ids: small enough for every worker, whatever the corpus.  An id may have many rows, so as
+    # many different texts are taken of all of them.
+    texts = own.join(F.broadcast(ids.distinct()), "doc_id").select(F.xxhash64("text").alias("text_id"), "toxic", "text")
+    keys = texts.select("toxic", "text_id").distinct()
+    some = lambda toxic, n: keys.where(F.col("toxic") == toxic).orderBy(F.xxhash64("text_id"), "text_id").limit(n)
+    chosen = stored(some(1, TRAIN_TOXIC).union(some(0, TRAIN_CLEAN)), "texts")
+    texts = texts.join(F.broadcast(chosen), ["toxic", "text_id"]).select("text_id", "toxic", "text")
     return stored(texts.dropDuplicates(["text_id", "toxic"]), "sample")
 
 
@@ -378,16 +384,20 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 3, held_fol
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 3, held_fold: int = 1, threshold: float = 0.7) -> DataFrame:
-    """All columns of the documents whose score is under the threshold; rows are scored one by one, as by `toxicity_scores`."""
+    """All columns of the documents whose score is under the threshold; rows are scored one by one, as by `toxicity_scores`.
+
+    Null, empty and wordless texts stay; of repeated rows all stay or go; without labels the built-in words decide; columns may have any
+    names; no rows give no rows.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     sent = spark.sparkContext.broadcast(learn(narrowed(docs, doc_id="long", text="string"), labels, folds, held_fold))
-    names = docs.columns
 
     def keep(batches):
         model = sent.value
-        for batch in slices(batches, "__text"):
-            good = [model.score(model.evidence(t)) < threshold for t in batch.column("__text").to_pylist()]
-            yield batch.select(names).filter(pa.array(good, type=pa.bool_()))
+        for batch in slices(batches, "text"):
+            good = [model.score(model.evidence(t)) < threshold for t in batch.column("text").to_pylist()]
+            yield batch.select(["row"]).filter(pa.array(good, type=pa.bool_()))
 
-    return docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(keep, docs.schema)
+    both = docs.select(whole_row(docs), docs["text"].cast("string").alias("text"))
+    return both.mapInArrow(keep, T.StructType([T.StructField("row", docs.schema)])).select("row.*")
