@@ -60,6 +60,13 @@ def narrowed(docs: DataFrame, **types: str) -> DataFrame:
     return docs.select(*(docs[c].cast(t).alias(c) for c, t in types.items()))
 
 
+def whole_row(df: DataFrame, *without: str) -> F.Column:
+    """All columns as one struct ``row``, but for those named (in any case): an operator's own columns beside it can't clash with them,
+    whatever their names.  ``select("row.*")`` gives them back."""
+    left_out = {w.lower() for w in without}
+    return F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in left_out)).alias("row")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that the texts of each hold ``limit`` bytes at most, or are a single text."""
     for batch in batches:

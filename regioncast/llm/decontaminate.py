@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regioncast.llm.common import narrowed, slices, small_batches, stored
+from regioncast.llm.common import narrowed, slices, small_batches, stored, whole_row
 from regioncast.llm.fm_index import SEPARATOR, FMIndex
 
 #: Text of the benchmark that is searched in one pass.
@@ -187,11 +187,16 @@ def is_contaminated(n_hit="n_hit", n_words="n_words") -> F.Column:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
-    """All columns of the documents that are not contaminated; these stay as they are.  Rows are judged as by `contamination`."""
-    bad = contamination(docs, benchmark, width).where(is_contaminated()).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__bad")).distinct()
-    keyed = docs.withColumn("__key", F.xxhash64(F.col("text").cast("binary")))
-    same = (F.col("__key") == F.col("__bad")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-    return keyed.join(stored(bad, "contaminated"), same, "left_anti").drop("__key")
+    """All columns of the documents that are not contaminated; these stay as they are.
+
+    Rows are judged as by `contamination`: null, empty and wordless texts are never contaminated, an empty benchmark contaminates nothing,
+    of equal rows all stay or go, a text of any length is judged whole.  Columns may have any names; no rows give no rows.
+    """
+    bad = contamination(docs, benchmark, width).where(is_contaminated()).select("doc_id", "text_key").distinct()
+    keyed = docs.select(whole_row(docs), docs["doc_id"].cast("long").alias("id"), F.xxhash64(docs["text"].cast("binary")).alias("key"))
+    bad = stored(bad, "contaminated")
+    same = (keyed["key"] == bad["text_key"]) & keyed["id"].eqNullSafe(bad["doc_id"])
+    return keyed.join(bad, same, "left_anti").select("row.*")
 
 
 def without_spans(text: bytes, removed: list[int]) -> bytes:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regioncast.llm.common import narrowed, slices, small_batches, stored
+from regioncast.llm.common import narrowed, slices, small_batches, stored, whole_row
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -125,23 +125,28 @@ def without_repeated_chunks(docs: DataFrame) -> DataFrame:
 
     Null texts stay null; empty texts have no lines; blank lines and single lines are never compared; rows with the same doc_id are one
     document: each keeps its own first occurrence; null doc_ids count as larger than any other, and texts that only
-    such rows share keep their chunks; columns of ``docs`` named like an added one are replaced; no rows give no rows.
+    such rows share keep their chunks; columns of ``docs`` named like an added one, in any case, are replaced, others may have any names; no
+    rows give no rows.
     """
     small_batches(docs.sparkSession)
-    kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]
-    names = [f.name for f in kept]
+    added = ("n_lines", "n_removed")
+    kept = [f for f in docs.schema.fields if f.name.lower() not in added]
+    rest = T.StructType([f for f in kept if f.name.lower() != "text"])
     # The drops grow with the corpus: they are never broadcast, whatever their size here.
-    drops = stored(repeated_chunks(docs), "drops").toDF("__id", "__key", "__drops").hint("merge")
-    keyed = docs.select(*names).withColumn("text", F.col("text").cast("string")).withColumn("__own", F.xxhash64(F.col("text").cast("binary")))
-    found = keyed.join(drops, (F.col("__own") == F.col("__key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left")
-    out = T.StructType([T.StructField("text", T.StringType()) if f.name == "text" else f for f in kept]
-                       + [T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
+    drops = stored(repeated_chunks(docs), "drops").hint("merge")
+    keyed = docs.select(whole_row(docs, "text", *added), docs["text"].cast("string").alias("text"), docs["doc_id"].cast("long").alias("id"),
+                        F.xxhash64(docs["text"].cast("binary")).alias("own"))
+    found = keyed.join(drops, (keyed["own"] == drops["text_key"]) & keyed["id"].eqNullSafe(drops["doc_id"]), "left")
+    out = T.StructType([T.StructField("row", rest), T.StructField("text", T.StringType()), *(T.StructField(n, T.LongType()) for n in added)])
 
     def cut(batches):
         for batch in slices(batches, "text"):
-            rows = [kept_text(t, d or []) for t, d in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("__drops").to_pylist())]
+            rows = [kept_text(t, d or []) for t, d in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("drops").to_pylist())]
             texts, lines, gone = zip(*rows)
-            columns = [pa.array([None if t is None else t.decode("utf-8", "replace") for t in texts], type=pa.string()) if n == "text" else batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, type=pa.int64()), pa.array(gone, type=pa.int64())], names=[*names, "n_lines", "n_removed"])
+            text = pa.array([None if t is None else t.decode("utf-8", "replace") for t in texts], type=pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), text, pa.array(lines, type=pa.int64()), pa.array(gone, type=pa.int64())],
+                                             names=["row", "text", *added])
 
-    return found.select(*names, "__drops").mapInArrow(cut, out)
+    cleaned = found.select("row", "text", "drops").mapInArrow(cut, out)
+    columns = [F.col("text").alias(f.name) if f.name.lower() == "text" else F.col("row")[f.name].alias(f.name) for f in kept]
+    return cleaned.select(*columns, *added)

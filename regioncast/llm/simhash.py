@@ -23,10 +23,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regioncast.llm.common import narrowed, slices, small_batches, stored
+from regioncast.llm.common import narrowed, slices, small_batches, stored, whole_row
 from regioncast.llm.components import connected_components
 
 BLOCKS = 6
@@ -210,12 +210,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4)
 def first_of_each_group(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
     """The documents with one row of each near-duplicate group: that with the smallest doc_id.
 
-    Of rows that share this doc_id the text with the smallest hash stays, and of identical rows one.
+    Of rows that share this doc_id the text with the smallest hash stays, and of rows with the same id and text one.  Null, empty and
+    wordless texts are one group; a null doc_id counts as larger than any other; a text of any length is fingerprinted whole; columns may have any
+    names; no rows give no rows.
     """
     groups = near_duplicates(docs, shingle_words, max_bits)
-    keep = groups.select(F.coalesce("component_id", F.lit(0)).alias("__id"), F.col("component_id").isNull().alias("__none"), F.col("first_key").alias("__key")).distinct()
-    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__none": F.col("doc_id").isNull(), "__key": F.xxhash64(F.col("text").cast("binary"))})
-    keys = ["__id", "__none", "__key"]
-    one = Window.partitionBy(*keys).orderBy("__key")
-    left = keyed.join(stored(keep, "keep"), keys, "left_semi").withColumn("__copy", F.row_number().over(one))
-    return left.where("__copy = 1").drop(*keys, "__copy")
+    keep = groups.select(F.coalesce("component_id", F.lit(0)).alias("id"), F.col("component_id").isNull().alias("no_id"), F.col("first_key").alias("key")).distinct()
+    keyed = docs.select(whole_row(docs), F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("id"), docs["doc_id"].isNull().alias("no_id"),
+                        F.xxhash64(docs["text"].cast("binary")).alias("key"))
+    left = keyed.join(stored(keep, "keep"), ["id", "no_id", "key"], "left_semi")
+    # Equal rows are reduced to one before they meet, however many there are.
+    return left.groupBy("id", "no_id", "key").agg(F.first("row").alias("row")).select("row.*")
