@@ -47,11 +47,11 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives lost executors."""
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write to the shared folder (with options of the Parquet writer) and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = shared_dir(spark, "llm", name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

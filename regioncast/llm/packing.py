@@ -27,7 +27,7 @@ from regioncast.llm.tokens import Encoder, little_endian
 #: Pieces that one task packs.
 GROUP_PIECES = 60_000
 #: Token ids, as bytes, that one task packs.
-GROUP_BYTES = 64 << 20
+GROUP_BYTES = 16 << 20
 
 
 class CapacityTree:
@@ -123,7 +123,9 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, group_pieces: int = GRO
     unique, not consecutive.  An empty input gives no rows.  Ties are ordered by doc_id, piece.  Repeated and null doc_ids are pieces
     like any other, and are spread over all groups.
     """
-    kept = stored(pieces.withColumn("place", F.monotonically_increasing_id()), "pieces")
+    # Row groups of the size of a group, and compressed well: ids are the bulk of what a task holds and of the disk.
+    kept = stored(pieces.withColumn("place", F.monotonically_increasing_id()), "pieces",
+                  **{"compression": "zstd", "parquet.block.size": str(group_bytes)})
     rows, tokens = kept.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
     groups = max(groups_for(rows, group_pieces), groups_for(4 * tokens, group_bytes))
     schema = T.StructType([*pieces.schema.fields, *(T.StructField(n, T.LongType()) for n in ("sequence_id", "offset"))])
