@@ -7,8 +7,9 @@ A term that clean texts hold too weighs less, the less so the rarer it is in the
 unless the training rows speak against it.
 
 Matching.  The lexicon is a trie.  Levenshtein automata of its terms run over it together: a state is a set of (trie node, edits),
-and states are made as they are first reached, so a word costs one table step a character and dies early.  Words that clean
-training texts hold are never taken for misspellings.
+and states are made as they are first reached, so a word costs one table step a character and dies early.  Two neighbouring letters in the
+other order are one edit: the state then also holds the node beyond both, with the letter it waits for.  Words that clean training texts hold
+are never taken for misspellings.
 
 Context.  Each hit looks at the words around it.  Inside quotation marks, or after a word that reports speech, it counts as quotation, with a small
 weight.  The evidence of a text is the sum of its hits' weights, and a logistic curve fitted on training rows turns it into a score.
@@ -38,15 +39,12 @@ REPORTING = frozenset("said says say called calls quote quoted quotes word term
 QUOTES = "\"“”„«»‹›"
 #: Words before a hit that are looked at.
 CONTEXT = 6
-#: Weights of a hit: plain, quoted or reported, and of a misspelled hit against an exact one.
+#: Weights of a hit: plain, quoted or reported, and of each edit against an exact one.
 PLAIN, QUOTED, MISSPELLED = 1.0, 0.25, 0.7
 #: Lengths of stems; toxic texts that a term, and different words that a stem, must have.
 STEM_LENGTHS, STEM_WORDS = range(4, 9), 3
-MAX_TERMS = 2_000
 #: A term's rate in toxic texts over that in clean ones: the least, after so many standard deviations are taken off, and that of full weight.
 RATIO, DEVIATIONS, FULL_RATIO = 4.0, 2.0, 50.0
-#: Different clean words one edit from a term that end its misspellings.
-DENSE = 2
 #: Words whose verdict a worker keeps.
 CACHE = 200_000
 
@@ -54,29 +52,23 @@ _WORD = re.compile(r"\w+")
 
 
 def allowed_edits(term: str, stem: bool) -> int:
-    """Edits that still count as the term: none in short terms and stems, one from five (stems: seven) letters."""
-    return 1 if len(term) >= (7 if stem else 5) else 0
-
-
-def one_edit_apart(a: str, b: str) -> bool:
-    """Whether one letter inserted, left out or changed turns a into b."""
-    if len(a) > len(b):
-        a, b = b, a
-    same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
-    return a != b and (a[same:] == b[same + 1:] or a[same + 1:] == b[same + 1:])
+    """Edits that still count as the term: none in short terms and stems, one from five (stems: seven) letters, two from eight (stems: never)."""
+    if stem:
+        return 1 if len(term) >= 7 else 0
+    return 2 if len(term) >= 8 else 1 if len(term) >= 5 else 0
 
 
 class LexiconAutomaton:
     """Trie of terms run together with their Levenshtein automata, made deterministic as states are reached."""
 
-    def __init__(self, words: list[str], stems: list[str], exact: frozenset = frozenset(), weights: dict[str, float] | None = None):
+    def __init__(self, words: list[str], stems: list[str], weights: dict[str, float] | None = None):
         self.children: list[dict[str, int]] = [{}]
         self.words: list[int] = [-1]  # edits that the whole word ending in a node allows
         self.stems: list[int] = [-1]
         self.budget: list[int] = [0]  # most edits that any term through a node allows
         self.word_weight, self.stem_weight = {}, {}  # of the term ending in a node
         for term, stem in [(w, False) for w in words] + [(s, True) for s in stems]:
-            node, edits = 0, 0 if term in exact else allowed_edits(term, stem)
+            node, edits = 0, allowed_edits(term, stem)
             self.budget[0] = max(self.budget[0], edits)
             for c in term:
                 if c not in self.children[node]:
@@ -88,14 +80,15 @@ class LexiconAutomaton:
             ends = self.stems if stem else self.words
             ends[node] = max(ends[node], edits)
             (self.stem_weight if stem else self.word_weight)[node] = (weights or {}).get("^" + term if stem else term, 1.0)
-        self.states: dict[frozenset, int] = {}
+        self.states: dict[tuple[frozenset, frozenset], int] = {}
         self.sets: list[dict[int, int]] = []
+        self.swaps: list[dict[tuple[int, str], int]] = []  # least edits by node and the letter waited for
         self.steps: list[dict[str, int]] = []
-        self.start = self._state({0: 0})
+        self.start = self._state({0: 0}, {})
         self.verdicts: dict[str, tuple[int, float]] = {}
 
-    def _state(self, reached: dict[int, int]) -> int:
-        """Number of the state with these nodes (least edits each), after skipping letters of the terms."""
+    def _state(self, reached: dict[int, int], swaps: dict[tuple[int, str], int]) -> int:
+        """Number of the state with these nodes (least edits each), after skipping letters of the terms, and half-read swaps."""
         todo = list(reached)
         while todo:
             node = todo.pop()
@@ -104,15 +97,17 @@ class LexiconAutomaton:
                 if edits <= self.budget[child] and edits < reached.get(child, 99):
                     reached[child] = edits
                     todo.append(child)
-        key = frozenset(reached.items())
+        key = frozenset(reached.items()), frozenset(swaps.items())
         if key not in self.states:
             self.states[key] = len(self.sets)
             self.sets.append(reached)
+            self.swaps.append(swaps)
             self.steps.append({})
         return self.states[key]
 
     def _step(self, state: int, c: str) -> int:
         out: dict[int, int] = {}
+        swaps: dict[tuple[int, str], int] = {}
 
         def reach(node, edits):
             if edits <= self.budget[node] and edits < out.get(node, 99):
@@ -122,7 +117,13 @@ class LexiconAutomaton:
             reach(node, edits + 1)  # c was inserted
             for letter, child in self.children[node].items():
                 reach(child, edits + (letter != c))
-        got = self._state(out)
+                beyond = self.children[child].get(c)
+                if beyond is not None and letter != c and edits < self.budget[beyond]:
+                    swaps[beyond, letter] = min(edits + 1, swaps.get((beyond, letter), 99))
+        for (node, letter), edits in self.swaps[state].items():
+            if letter == c:
+                reach(node, edits)
+        got = self._state(out, swaps)
         self.steps[state][c] = got
         return got
 
@@ -133,7 +134,7 @@ class LexiconAutomaton:
             nxt = self.steps[state].get(c)
             state = self._step(state, c) if nxt is None else nxt
             reached = self.sets[state]
-            if not reached:
+            if not reached and not self.swaps[state]:
                 break
             for node, e in reached.items():
                 if e <= self.stems[node]:
@@ -161,7 +162,6 @@ class ToxicityModel:
     words: list[str]
     stems: list[str]
     blocked: frozenset = frozenset()
-    exact: frozenset = frozenset()
     slope: float = 8.0
     offset: float = -3.0
     weights: dict[str, float] = field(default_factory=dict)  # of terms, stems with a ^ before them; 1 if not named
@@ -169,7 +169,7 @@ class ToxicityModel:
 
     def _ready(self) -> LexiconAutomaton:
         if self.automaton is None:
-            self.automaton = LexiconAutomaton(self.words, self.stems, self.exact, self.weights)
+            self.automaton = LexiconAutomaton(self.words, self.stems, self.weights)
         return self.automaton
 
     def hits(self, text: str) -> list[tuple[int, int, int, float]]:
@@ -191,7 +191,7 @@ class ToxicityModel:
         total = 0.0
         for start, end, edits, weight in self.hits(text):
             weight *= QUOTED if is_quoted(text, start, end) else PLAIN
-            total += weight * (MISSPELLED if edits else 1.0)
+            total += weight * MISSPELLED**edits
         return total
 
     def score(self, evidence: float) -> float:
@@ -208,7 +208,10 @@ def is_quoted(text: str, start: int, end: int) -> bool:
 
 
 def choose_terms(pairs: list[tuple[int, str]], least: int, weights: dict[str, float] | None = None) -> list[str]:
-    """Greedy cover: terms in order of the toxic texts that they alone explain, times their weight, while these texts are ``least`` or more."""
+    """Greedy cover: terms in order of the toxic texts that they alone explain, times their weight, while these texts are ``least`` or more.
+
+    Each term explains ``least`` texts of its own, so there are at most texts / ``least`` of them.
+    """
     weights = weights or {}
     by_term: dict[str, set[int]] = {}
     for doc, term in pairs:
@@ -217,7 +220,7 @@ def choose_terms(pairs: list[tuple[int, str]], least: int, weights: dict[str, fl
     covered: set[int] = set()
     # Of terms with the same texts the longest: a stem should not be cut shorter than it is.
     order = sorted(by_term, key=lambda t: (-len(by_term[t]), -len(t), t))
-    while order and len(chosen) < MAX_TERMS:
+    while order:
         best, gain = None, 0.0
         for t in order:
             if len(by_term[t]) <= gain or len(by_term[t]) < least:
@@ -326,14 +329,11 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int, held_fold: int) -> Tox
 
     clean_words = words.where("toxic = 0").select("word").distinct()
     model.blocked = frozenset(r.word for r in clean_words.mapInArrow(near_words, "word string").collect())
-    # A term that clean texts surround with words of their own is only taken as it is written.
-    model.exact = frozenset(t for t in model.words if sum(one_edit_apart(t, w) for w in model.blocked) >= DENSE)
-    model.exact |= frozenset(t for t in model.stems if any(one_edit_apart(t, w[:n]) for w in model.blocked for n in (len(t) - 1, len(t), len(t) + 1)))
     model.automaton = None
 
     def weigh(batches):
         for batch in slices(batches, "text"):
-            x = [round(min(model.evidence(t), 50.0), 2) for t in batch.column("text").to_pylist()]
+            x = [round(model.evidence(t), 2) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(x, type=pa.float64())], names=["toxic", "x"])
 
     table = sample.select("toxic", "text").mapInArrow(weigh, "toxic int, x double").groupBy("toxic", "x").count().collect()

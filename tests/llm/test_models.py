@@ -6,7 +6,6 @@ from collections import Counter
 
 import duckdb
 import numpy as np
-import pytest
 
 from regioncast.llm import doc_stats, langid, quality, queries, rules, toxicity
 from tests.llm.helpers import HARD, SF, documents, sf_rows
@@ -173,12 +172,14 @@ def test_network_gradient():
 
 
 def brute_distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row, last = [i], row
-        for j, y in enumerate(b, 1):
-            row.append(min(row[-1] + 1, last[j] + 1, last[j - 1] + (x != y)))
-    return row[-1]
+    """Edits from a to b: letters put in, left out, changed, or two neighbours swapped (no letter edited twice)."""
+    d = {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a), len(b)]
 
 
 def test_automaton_equals_edit_distance():
@@ -192,6 +193,9 @@ def test_automaton_equals_edit_distance():
             for _ in range(rng.integers(0, 3)):
                 k = int(rng.integers(0, len(s)))
                 s[k:k + int(rng.integers(0, 2))] = [chr(c) for c in rng.integers(97, 123, rng.integers(0, 2))]
+            for _ in range(rng.integers(0, 3)):
+                k = int(rng.integers(0, max(1, len(s) - 1)))
+                s[k:k + 2] = s[k:k + 2][::-1]
             tries.append("".join(s))
     for t in filter(None, tries):
         near = [brute_distance(w, t) for w in words if brute_distance(w, t) <= toxicity.allowed_edits(w, False)]
@@ -203,7 +207,45 @@ def test_context_tells_quotation_from_abuse():
     model = toxicity.ToxicityModel(["idiot"], [])
     plain, quoted, said = (model.evidence(t) for t in ("You idiot, go.", 'The word "idiot" is old.', "He said idiot twice."))
     assert plain == toxicity.PLAIN and quoted == said == toxicity.QUOTED
-    assert model.evidence("You idoit") == 0 and model.evidence("You idiott") == toxicity.MISSPELLED
+    assert model.evidence("You idoit") == model.evidence("You idiott") == toxicity.MISSPELLED and model.evidence("You iditoo") == 0
+
+
+def test_edits_by_length_and_blocked_words():
+    model = toxicity.ToxicityModel(["scum", "moron", "worthless"], [], blocked=frozenset(["moroni"]))
+    assert [model.evidence(t) for t in ("scumm", "mooron", "moroni", "moooron")] == [0, toxicity.MISSPELLED, 0, 0]
+    assert [model.evidence(t) for t in ("wortless", "wrothles", "wrothels")] == [toxicity.MISSPELLED, toxicity.MISSPELLED**2, 0]
+
+
+def test_score_equals_plain_recomputation(spark):
+    """Learned on a whole table: every held-out text's evidence again, by edit distances to all terms."""
+    docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    got = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, labels).collect()}
+    model = toxicity.learn(docs.select("doc_id", "text"), labels, 3, 1)
+    terms = [(w, False, model.weights.get(w, 1.0)) for w in model.words] + [(w, True, model.weights.get("^" + w, 1.0)) for w in model.stems]
+    known = {}
+
+    def verdict(word):
+        found = []
+        for term, stem, weight in terms:
+            tails = [word[:k] for k in range(1, len(word) + 1)] if stem else [word]
+            for tail in tails:
+                if abs(len(tail) - len(term)) <= 2 and (e := brute_distance(term, tail)) <= toxicity.allowed_edits(term, stem):
+                    found.append((e, -weight))
+        return min(found, default=None)
+
+    rows = [(d, t) for d, t in sf_rows() if crc(d, 3) == 1]
+    assert len(rows) > 10
+    for doc_id, text in rows:
+        low, total = (text or "").lower(), 0.0
+        for m in re.finditer(r"\w+", low):
+            w = m[0]
+            if w not in known:
+                known[w] = verdict(w)
+            if known[w] and not (known[w][0] and w in model.blocked):
+                quoted = toxicity.is_quoted(low, m.start(), m.end())
+                total += -known[w][1] * (0.25 if quoted else 1.0) * 0.7 ** known[w][0]
+        x = max(-30.0, min(30.0, model.slope * np.log1p(total) + model.offset))
+        assert abs(got[doc_id] - 1 / (1 + np.exp(-x))) < 1e-9
 
 
 def test_greedy_terms_leave_out_what_is_explained():
@@ -255,8 +297,3 @@ def test_toxicity_hard_cases(spark):
     kept = toxicity.without_toxic(docs, labels)
     assert kept.columns == docs.columns and kept.count() == len(HARD)
     assert toxicity.toxicity_scores(docs.limit(0), labels).collect() == []
-
-
-@pytest.mark.parametrize("a, b, want", [("abc", "abc", False), ("abc", "ab", True), ("abc", "xabc", True), ("abc", "adc", True), ("abc", "acb", False), ("a", "", True)])
-def test_one_edit_apart(a, b, want):
-    assert toxicity.one_edit_apart(a, b) is want
