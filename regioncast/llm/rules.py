@@ -2,8 +2,8 @@
 
 Every document's statistics are turned into a short vector.  For each language and source a minimum-covariance-determinant
 estimate is made of the vectors: concentration steps take the share `CORE` of rows nearest to the current centre and
-compute mean and covariance of exactly these rows again, until the determinant stops falling.  Two starts are made (coordinatewise
-medians, and mean with full covariance), and the smaller determinant wins.  A document whose Mahalanobis distance is over the
+compute mean and covariance of exactly these rows again, until the determinant stops falling, for each group and start by itself.  Two
+starts are made (coordinatewise medians, and mean with full covariance), and the smaller determinant wins.  A document whose Mahalanobis distance is over the
 cutoff is rejected.
 
 Rows never meet by group: a step is two aggregates over all rows (a quantile sketch of the distances, then counts, sums and products), both
@@ -14,6 +14,7 @@ language's small groups together, then by all small groups; if these are still f
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,8 @@ from regioncast.llm.doc_stats import document_stats
 #: Share of a group's rows that the estimate is made of.
 CORE = 0.75
 LEAST = 200
-#: Concentration steps at most; they stop when no group's determinant falls.
-STEPS = 12
+#: Fall of a log-determinant under which a group's start has settled.  The floors bound it from below, so every start settles.
+SETTLED = 1e-6
 #: Share of regular rows beyond the cutoff if vectors were normal.
 TAIL = 1e-9
 #: Smallest standard deviations of the coordinates: statistics that are the same in nearly all texts have no spread of their own.  Symbols
@@ -124,7 +125,7 @@ def _measured(rows: DataFrame, fit: DataFrame) -> DataFrame:
     return rows.join(fit.drop("n", "det"), _KEY).withColumn("distance", _distance()).drop("mean", "inverse")
 
 
-def mcd_estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFrame:
+def mcd_estimates(rows: DataFrame, core: float = CORE) -> DataFrame:
     """(lang_key, source_key, mean, inverse, scale): the estimate of each group of ``rows`` (keys and `X`).
 
     ``scale`` makes the median squared distance that of the normal distribution.
@@ -138,17 +139,18 @@ def mcd_estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS) -> Da
                            *((F.col("n") * (F.col(f"m_{X[i]}") * F.col(f"m_{X[j]}") + (F.pow(1.4826 * F.col(f"d_{X[i]}"), 2) if i == j else F.lit(0.0)))).alias(f"p{i}{j}")
                              for i in range(D) for j in range(i, D)), F.lit(True).alias("plain"))
     both = robust.unionByName(_sums(rows.withColumn("start", F.lit(1)), plain=False))
-    fit = stored(_fit(both), "fit")
-    best = None
-    for _ in range(steps):
-        near = _measured(rows, fit)
+    # A start's own determinant is of all rows, so falls count from the first step on.
+    moving, settled = stored(_fit(both), "fit").withColumn("before", F.lit(None).cast("double")), []
+    while not moving.isEmpty():
+        near = _measured(rows, moving.drop("before"))
         cut = stored(near.groupBy(*_KEY, "start").agg(F.percentile_approx("distance", core, 10_000).alias("cut")), "cut")
         inner = near.join(cut, [*_KEY, "start"]).where("distance <= cut")
-        fit = stored(_fit(_sums(inner, plain=False)), "fit")
-        total = fit.agg(F.sum("det")).first()[0]
-        if best is not None and total is not None and total >= best - 1e-6:
-            break
-        best = total
+        last = moving.select(*_KEY, "start", F.when(F.lit(bool(settled)), F.col("det")).alias("before"))
+        fit = stored(_fit(_sums(inner, plain=False)).join(last, [*_KEY, "start"]), "fit")
+        falling = F.col("before").isNull() | (F.col("det") < F.col("before") - SETTLED)
+        settled.append(fit.where(~falling).drop("before"))
+        moving = fit.where(falling)
+    fit = reduce(DataFrame.unionByName, settled) if settled else moving.drop("before")
     least = fit.groupBy(*_KEY).agg(F.min(F.struct("det", "start")).alias("pick"))
     chosen = stored(fit.join(least, _KEY).where("start = pick.start").drop("pick", "start"), "chosen")
     medians = _measured(rows, chosen).groupBy(*_KEY).agg(F.percentile_approx("distance", 0.5, 10_000).alias("median"))

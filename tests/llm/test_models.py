@@ -86,6 +86,43 @@ def test_mcd_estimate_ignores_outliers(spark):
     assert (d[900:] > rules.chi_square(1 - 1e-9, rules.D)).all() and (d[:900] < rules.chi_square(1 - 1e-9, rules.D)).all()
 
 
+def plain_mcd(x, core=rules.CORE):
+    """Mean and covariance by plain concentration steps from both starts, each until its own determinant stands."""
+    floors = np.diag(np.square(rules.FLOORS))
+    lower = lambda v, p: np.sort(v, axis=0)[int(np.ceil(p * len(v))) - 1]
+    middle = lower(x, 0.5)
+    starts = [(middle, np.diag(np.square(1.4826 * lower(np.abs(x - middle), 0.5)))), (x.mean(axis=0), np.cov(x.T, bias=True))]
+    best = None
+    for mean, cov in starts:
+        before = None
+        while True:
+            d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov + floors), x - mean)
+            inner = x[d <= lower(d, core)]
+            mean, cov = inner.mean(axis=0), np.cov(inner.T, bias=True)
+            det = np.linalg.slogdet(cov + floors)[1]
+            if before is not None and det >= before - rules.SETTLED:
+                break
+            before = det
+        if best is None or det < best[0]:
+            best = det, mean, np.linalg.inv(cov + floors)
+    return best
+
+
+def test_estimates_equal_plain_mcd_group_by_group(spark):
+    """Groups that settle after different numbers of steps; none is cut short or moved by the others, whatever their number."""
+    rng = np.random.default_rng(9)
+    groups = {"a": rng.normal(0, 1, (500, rules.D)), "c": rng.gamma(1.0, 2.0, (700, rules.D))}
+    groups["b"] = np.vstack([rng.normal(0, 1, (300, rules.D)) @ rng.normal(0, 1, (rules.D, rules.D)), rng.normal(4, 3, (250, rules.D))])
+    columns = "lang_key string, source_key string, " + ", ".join(f"{x} double" for x in rules.X)
+    together = spark.createDataFrame([(k, "s", *map(float, r)) for k, x in groups.items() for r in x], columns)
+    got = {r.lang_key: r for r in rules.mcd_estimates(together).collect()}
+    assert got.keys() == groups.keys()
+    for k, x in groups.items():
+        _, mean, inverse = plain_mcd(x)
+        assert np.allclose(got[k]["mean"], mean, atol=1e-7) and np.allclose(np.reshape(got[k]["inverse"], (rules.D, rules.D)), inverse, rtol=1e-6, atol=1e-7)
+    assert rules.mcd_estimates(together.limit(0)).collect() == []
+
+
 def test_chi_square_quantiles():
     for p, d, want in ((0.95, 1, 3.841), (0.5, 5, 4.351), (0.999, 5, 20.515)):
         assert abs(rules.chi_square(p, d) - want) < 2e-3
