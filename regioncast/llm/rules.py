@@ -7,13 +7,15 @@ starts are made (coordinatewise medians, and mean with full covariance), and the
 cutoff is rejected.
 
 Rows never meet by group: a step is two aggregates over all rows (a quantile sketch of the distances, then counts, sums and products), both
-partial before the shuffle, so a source with a third of all rows is no hot spot.  Groups with fewer than `LEAST` rows are judged by their
-language's small groups together, then by all small groups; if these are still fewer, only the base rules apply.
+partial before the shuffle, so a source with a third of all rows is no hot spot.  Estimates are made of all rows, of each language and of each
+language and source.  A language's is shrunk towards that of all rows and a source's towards its language's, with the weight of `SHRINK`
+rows (mean, covariance with the spread of the two centres, and scale), so a group of any size is judged, and the fewer its rows the more by its parent.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -26,7 +28,8 @@ from regioncast.llm.doc_stats import document_stats
 
 #: Share of a group's rows that the estimate is made of.
 CORE = 0.75
-LEAST = 200
+#: Rows that a parent's estimate counts for in that of its part.
+SHRINK = 200
 #: Fall of a log-determinant under which a group's start has settled.  The floors bound it from below, so every start settles.
 SETTLED = 1e-6
 #: Share of regular rows beyond the cutoff if vectors were normal.
@@ -126,7 +129,7 @@ def _measured(rows: DataFrame, fit: DataFrame) -> DataFrame:
 
 
 def mcd_estimates(rows: DataFrame, core: float = CORE) -> DataFrame:
-    """(lang_key, source_key, mean, inverse, scale): the estimate of each group of ``rows`` (keys and `X`).
+    """(lang_key, source_key, mean, inverse, scale, n): the estimate of each group of ``rows`` (keys and `X`), n its rows.
 
     ``scale`` makes the median squared distance that of the normal distribution.
     """
@@ -153,34 +156,65 @@ def mcd_estimates(rows: DataFrame, core: float = CORE) -> DataFrame:
     fit = reduce(DataFrame.unionByName, settled) if settled else moving.drop("before")
     least = fit.groupBy(*_KEY).agg(F.min(F.struct("det", "start")).alias("pick"))
     chosen = stored(fit.join(least, _KEY).where("start = pick.start").drop("pick", "start"), "chosen")
-    medians = _measured(rows, chosen).groupBy(*_KEY).agg(F.percentile_approx("distance", 0.5, 10_000).alias("median"))
+    medians = _measured(rows, chosen).groupBy(*_KEY).agg(F.percentile_approx("distance", 0.5, 10_000).alias("median"), F.count("*").alias("n"))
     # Never narrower than the core's own covariance.
     scale = F.greatest(F.lit(1.0), F.col("median") / F.lit(chi_square(0.5, D)))
-    return chosen.join(medians, _KEY).select(*_KEY, "mean", "inverse", scale.alias("scale"))
+    return chosen.drop("n").join(medians, _KEY).select(*_KEY, "mean", "inverse", scale.alias("scale"), "n")
 
 
-def quality_rules(docs: DataFrame, least: int = LEAST, tail: float = TAIL) -> DataFrame:
+def shrunk_estimate(n: int, own: tuple, parent: tuple, weight: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """(mean, inverse, scale) of a group of n rows with its parent's counted as ``weight`` rows; the spread of the two means is part of the covariance."""
+    (mean, inverse, scale), (above, above_inverse, above_scale) = own, parent
+    share = n / (n + weight)
+    apart = mean - above
+    cov = share * np.linalg.inv(inverse) + (1 - share) * np.linalg.inv(above_inverse) + share * (1 - share) * np.outer(apart, apart)
+    return above + share * apart, np.linalg.inv(cov), float(scale ** share * above_scale ** (1 - share))
+
+
+def _shrunk(pairs: DataFrame, weight: int) -> DataFrame:
+    """The estimates, each shrunk towards that in the columns above_mean, above_inverse and above_scale."""
+    def solve(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            t = batch.to_pydict()
+            out = {k: t[k] for k in (*_KEY, "n")} | {"mean": [], "inverse": [], "scale": []}
+            for r in range(batch.num_rows):
+                own, parent = ((np.array(t[f"{c}mean"][r]), np.reshape(t[f"{c}inverse"][r], (D, D)), t[f"{c}scale"][r]) for c in ("", "above_"))
+                mean, inverse, scale = shrunk_estimate(t["n"][r], own, parent, weight)
+                out["mean"].append(mean.tolist())
+                out["inverse"].append(inverse.ravel().tolist())
+                out["scale"].append(scale)
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
+                ("lang_key", pa.string()), ("source_key", pa.string()), ("n", pa.int64()),
+                ("mean", pa.list_(pa.float64())), ("inverse", pa.list_(pa.float64())), ("scale", pa.float64())]))
+
+    return pairs.mapInArrow(solve, "lang_key string, source_key string, n long, mean array<double>, inverse array<double>, scale double")
+
+
+def quality_rules(docs: DataFrame, shrink: int = SHRINK, tail: float = TAIL) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept) for every row.
 
-    distance is the squared Mahalanobis distance over the cutoff (null without an estimate); kept is false for rows that fail the base
-    rules or are farther than the cutoff.  Rows that fail the base rules take no part in the estimates.  Null texts have no words; null
-    lang and source are values like any other; rows that share an id are judged one by one; extra columns are ignored; no rows give no rows.
+    distance is the squared Mahalanobis distance over the cutoff (null for a language and source without rows that pass the base rules); kept
+    is false for rows that fail the base rules or are farther than the cutoff.  Rows that fail the base rules take no part in the estimates.
+    Null texts have no words; null lang and source are values like any other; rows that share an id are judged one by one; extra columns are
+    ignored; no rows give no rows.
     """
     stats = document_stats(docs, "lang", "source").withColumns({x: v for x, v in zip(X, vector())}).withColumn("base_failed", base_failed())
-    # The marker letter keeps null apart from texts, and the pooled groups' empty keys apart from both.
+    # The marker letter keeps null apart from texts, and the parents' empty keys apart from both.
     named = [F.coalesce(F.concat(F.lit("v"), F.col(c)), F.lit("n")) for c in ("lang", "source")]
-    stats = stored(stats.withColumns(dict(zip(("own_lang", "own_source"), named))), "stats")
-    counts = stored(stats.where("not base_failed").groupBy("own_lang", "own_source").agg(F.count("*").alias("n")), "counts")
-    small = counts.where(F.col("n") < least).groupBy("own_lang").agg(F.sum("n").alias("pool"))
-    keys = counts.join(small, "own_lang", "left").select(
-        "own_lang", "own_source",
-        F.when((F.col("n") >= least) | (F.col("pool") >= least), F.col("own_lang")).otherwise("").alias("lang_key"),
-        F.when(F.col("n") >= least, F.col("own_source")).otherwise("").alias("source_key"))
-    keyed = stored(stats.join(stored(keys, "keys"), ["own_lang", "own_source"], "left"), "keyed")
-    regular = keyed.where("not base_failed").select(*_KEY, *X)
-    enough = stored(regular.groupBy(*_KEY).count().where(F.col("count") >= least).select(*_KEY), "enough")
-    estimates = stored(mcd_estimates(stored(regular.join(enough, _KEY), "regular")), "estimates")
+    stats = stored(stats.withColumns(dict(zip(_KEY, named))), "stats")
+    regular = stats.where("not base_failed")
+    # Each row counts for its source, its language and all rows.
+    own, lang, every = F.struct(*_KEY), F.struct("lang_key", F.lit("").alias("source_key")), F.struct(F.lit("").alias("lang_key"), F.lit("").alias("source_key"))
+    groups = stored(regular.select(F.explode(F.array(own, lang, every)).alias("group"), *X).select("group.*", *X), "groups")
+    estimates = stored(mcd_estimates(groups), "estimates")
+    of_all, of_langs, of_sources = (estimates.where(w) for w in ("lang_key = ''", "lang_key != '' and source_key = ''", "source_key != ''"))
+    parts = ("mean", "inverse", "scale")
+    root = of_all.select(*parts).first()  # one row of 31 numbers
+    top = {f"above_{c}": F.lit(root[c] if root else None) for c in parts}
+    of_langs = stored(_shrunk(of_langs.withColumns(top), shrink), "shrunk")
+    above = of_langs.select("lang_key", *(F.col(c).alias(f"above_{c}") for c in parts))
+    of_sources = stored(_shrunk(of_sources.join(above, "lang_key"), shrink), "shrunk")
     cutoff = chi_square(1 - tail, D)
-    judged = keyed.join(estimates, _KEY, "left").withColumn("distance", _distance() / F.col("scale") / F.lit(cutoff))
+    judged = stats.join(of_sources.drop("n"), _KEY, "left").withColumn("distance", _distance() / F.col("scale") / F.lit(cutoff))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= 1, F.lit(True))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", kept.alias("kept"))

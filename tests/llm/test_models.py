@@ -60,7 +60,7 @@ def test_op7_whole_table(spark):
 def test_rules_keep_good_texts_and_reject_junk(spark):
     from regioncast.llm.common import table
 
-    got = rules.quality_rules(table(spark, CHECK, "documents"), least=40).select("doc_id", "base_failed", "kept").toPandas()
+    got = rules.quality_rules(table(spark, CHECK, "documents")).select("doc_id", "base_failed", "kept").toPandas()
     m = got.merge(duckdb.sql(f"select doc_id, quality from '{CHECK}/labels.parquet'").df(), on="doc_id")
     m = m[~m.base_failed]
     assert m[m.quality == 1].kept.mean() > 0.98 and m[m.quality == 0].kept.mean() < 0.3
@@ -69,7 +69,9 @@ def test_rules_keep_good_texts_and_reject_junk(spark):
 def test_rules_hard_cases(spark):
     docs = documents(spark, [(*r, None, "s") for r in HARD])
     rows = rules.quality_rules(docs).collect()
-    assert len(rows) == len(HARD) and all(r.kept == (not r.base_failed) for r in rows)  # too few rows for any estimate
+    assert len(rows) == len(HARD) and all(r.kept == (not r.base_failed) for r in rows)  # no row is left for an estimate
+    alone = documents(spark, [(1, "ten plain words of a text that is all alone here", "xx", None)])
+    assert [r.kept for r in rules.quality_rules(alone).collect()] == [True]
     assert rules.quality_rules(docs.limit(0)).collect() == []
 
 
@@ -123,6 +125,50 @@ def test_estimates_equal_plain_mcd_group_by_group(spark):
     assert rules.mcd_estimates(together.limit(0)).collect() == []
 
 
+def plain_estimate(x):
+    """Plain MCD with the scale of the operator: (mean, inverse, scale)."""
+    _, mean, inverse = plain_mcd(x)
+    d = np.sort(np.einsum("ij,jk,ik->i", x - mean, inverse, x - mean))
+    return mean, inverse, max(1.0, d[(len(d) + 1) // 2 - 1] / rules.chi_square(0.5, rules.D))
+
+
+def plain_shrunk(x, above):
+    """The estimate of rows x with ``above`` counted as SHRINK rows, from moments about zero."""
+    mean, inverse, scale = plain_estimate(x)
+    n, k = len(x), rules.SHRINK
+    first = (n * mean + k * above[0]) / (n + k)
+    second = (n * (np.linalg.inv(inverse) + np.outer(mean, mean)) + k * (np.linalg.inv(above[1]) + np.outer(above[0], above[0]))) / (n + k)
+    return first, np.linalg.inv(second - np.outer(first, first)), np.exp((n * np.log(scale) + k * np.log(above[2])) / (n + k))
+
+
+def test_kept_equals_plain_mcd_at_production_constants(spark):
+    """Languages of all sizes, a source with a third of the rows, a language of three texts and a null source."""
+    texts = sf_rows(columns="doc_id, text, lang, source")
+    junk = " ".join(["##$$ %% zz"] * 5) + " ".join(f" w{i} &&&&" for i in range(40))
+    texts += [(90_000 + i, f"few long-winded words numbered {i} in some tongue of its own, number {i * i}", "zz", None) for i in range(3)]
+    texts += [(90_010, junk, "zz", None), (90_011, junk + " end", texts[0][2], texts[0][3])]
+    docs = documents(spark, texts)
+    got = {r.doc_id: r for r in rules.quality_rules(docs).collect()}
+    stats = doc_stats.document_stats(docs, "lang", "source").withColumns(dict(zip(rules.X, rules.vector()))).withColumn("base_failed", rules.base_failed())
+    frame = stats.toPandas()
+    frame["source"] = frame["source"].fillna("none")
+    good = frame[~frame.base_failed]
+    x = list(rules.X)
+    every, verdict = plain_estimate(good[x].to_numpy()), {}
+    for _, part in good.groupby("lang"):
+        lang = plain_shrunk(part[x].to_numpy(), every)
+        for _, own in part.groupby("source"):
+            rows = own[x].to_numpy()
+            mean, inverse, scale = plain_shrunk(rows, lang)
+            d = np.einsum("ij,jk,ik->i", rows - mean, inverse, rows - mean) / scale / rules.chi_square(1 - rules.TAIL, rules.D)
+            verdict.update(zip(own.doc_id, d))
+    assert len(got) == len(texts)
+    for doc_id, d in verdict.items():
+        assert np.isclose(got[doc_id].distance, d, rtol=1e-5) and got[doc_id].kept == (d <= 1)
+    assert all(not r.kept for r in got.values() if r.base_failed)
+    assert not got[90_011].kept and all(got[90_000 + i].kept for i in range(3))
+
+
 def test_chi_square_quantiles():
     for p, d, want in ((0.95, 1, 3.841), (0.5, 5, 4.351), (0.999, 5, 20.515)):
         assert abs(rules.chi_square(p, d) - want) < 2e-3
